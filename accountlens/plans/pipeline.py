@@ -56,6 +56,8 @@ class Pipeline:
     def plan(self, name: str) -> DataFrame:
         if name.startswith("stg_"):
             return self.staged(name.removeprefix("stg_"))
+        if name.startswith("rule_"):
+            return self.rules(name.removeprefix("rule_"))
         return getattr(self, f"_{name}")()
 
     def table(self, name: str) -> DataFrame:

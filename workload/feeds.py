@@ -90,7 +90,7 @@ def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "CASE WHEN l_linestatus = 'O' THEN concat('{\"commit\":\"c', l_partkey, '\",\"branch\":\"main\",\"dirty\":', "
             "CASE WHEN l_discount > 0.05 THEN 'true' ELSE 'false' END, ',\"author_name\":\"', "
             "CASE WHEN l_tax > 0.065 THEN 'ci-runner' WHEN l_tax > 0.055 THEN 'renovate[bot]' ELSE 'dev' END, "
-            "'\"}') END AS repo_info",
+            "'\",\"commit_time\":\"2024-01-20 00:00:00\"}') END AS repo_info",
             "CASE l_linenumber WHEN 1 THEN concat('{\"ci_run_id\":\"run-', l_orderkey, '\"}') "
             "WHEN 2 THEN '{\"ci\":\"true\",\"model\":\"m1\"}' WHEN 3 THEN '{\"source\":\"ci-daily\"}' "
             "WHEN 4 THEN '{\"source\":\"lambda-prod\"}' WHEN 5 THEN '{\"eval_name\":\"eval\",\"source\":null}' "

@@ -34,7 +34,8 @@ FEEDS: dict[str, str] = {
     "stg_experiments": f"""
         SELECT l_orderkey || '-' || l_linenumber AS experiment_id, 'p' || l_suppkey || l_returnflag AS project_id,
                'u' || o_custkey AS user_id, l_shipdate + {SHIFT} AS created_at,
-               l_linestatus = 'O' AS has_repo_info,
+               CASE WHEN l_linestatus = 'O' THEN 'json' END AS repo_info_json, l_linestatus = 'O' AS has_repo_info,
+               CASE WHEN l_linestatus = 'O' THEN TIMESTAMP '2024-01-20 00:00:00' END AS repo_commit_time,
                CASE WHEN l_linestatus = 'O' THEN 'c' || l_partkey END AS repo_commit,
                CASE WHEN l_linestatus = 'O' THEN l_discount > 0.05 END AS repo_is_dirty,
                CASE WHEN l_linestatus = 'O' THEN CASE WHEN l_tax > 0.065 THEN 'ci-runner'

@@ -65,7 +65,14 @@ _CI_WHY = """CASE WHEN meta_ci_run_id IS NOT NULL THEN 'metadata.ci_run_id prese
     THEN 'repo_info.author_name = ' || repo_author_name END"""
 
 JOBS: dict[str, str] = {
-    "surface_rules": f"SELECT * FROM {_SIGNAL_RULES}",
+    "rule_org_mapping_sources": """
+        SELECT * FROM (VALUES ('contract', 0.95, 1), ('billing_parent', 0.85, 2), ('org_c_fallback', 0.5, 3))
+            AS r(mapping_source, confidence_score, precedence)""",
+    "rule_external_match_rules": """
+        SELECT * FROM (VALUES ('linkedin_slug', 1, 0.9, true), ('website_domain', 2, 0.85, true),
+            ('linkedin_domain', 3, 0.75, true), ('company_name', 99, 0.0, false))
+            AS r(match_method, precedence, base_confidence, can_resolve)""",
+    "rule_surface_signals": f"SELECT * FROM {_SIGNAL_RULES}",
     "surface_names": f"SELECT * FROM (VALUES {_SURFACE_ROWS}) AS s(surface, surface_order, what_we_can_see)",
 
     # ------------------------------------------------------------------ people
@@ -303,7 +310,7 @@ JOBS: dict[str, str] = {
                    coalesce(o.resolution_status LIKE 'resolved%', false) AS org_ok,
                    placed.org_id IS NULL AND coalesce(w.resolution_status = 'resolved', false) AS person_ok
             FROM placed LEFT JOIN org_accounts o ON o.org_id = placed.org_id LEFT JOIN people w ON w.person_id = placed.person_id
-            LEFT JOIN surface_rules r ON r.signal_code = placed.signal_code)
+            LEFT JOIN rule_surface_signals r ON r.signal_code = placed.signal_code)
         SELECT activity_id, source_table, activity_type, object_id, user_id, person_id, project_id, org_id, activity_at,
                coalesce({recent('activity_at')}, false) AS is_in_lookback, signal_code, surface, evidence_kind, attribution,
                confidence_score, actor_type, evidence_detail,
