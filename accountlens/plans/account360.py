@@ -11,7 +11,6 @@ from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.ladders import ladder, plan_of_rank
 from accountlens.functions.measures import any_true, as_of, count_if, days_before, truthy
 from accountlens.operators.dedupe import latest_per_key
-from accountlens.operators.joins import lookup_inner
 from accountlens.operators.lists import list_cell, ordered_list_cell
 from accountlens.operators.rank import global_rank
 from accountlens.plans.activity import OBJECTS
@@ -88,10 +87,10 @@ def _usage(activity: DataFrame) -> DataFrame:
         F.max("activity_at").alias("last_product_activity_at"))
 
 
-def _shared_members(memberships: DataFrame, people: DataFrame, cfg: Settings) -> DataFrame:
+def _shared_members(memberships: DataFrame, people: DataFrame) -> DataFrame:
     torn = people.filter("is_ambiguous").select("person_id")
     return (
-        lookup_inner(account_members(memberships), torn, ["person_id"], min_rows=cfg.hot_key_rows)
+        account_members(memberships).join(torn, "person_id")
         .groupBy("account_id").agg(F.count("*").alias("members_shared_with_other_accounts"))
     )
 
@@ -134,9 +133,9 @@ def account_360(match_keys: DataFrame, org_accounts: DataFrame, adoption: DataFr
     """
     blocks = [
         *_orgs(org_accounts, cfg), _adoption(adoption), _usage(activity),
-        _shared_members(memberships, people, cfg),
+        _shared_members(memberships, people),
         trace_trend.select("account_id", "trace_gb_last_7d", "trace_growth_7d"),
-        review_queue_sizes(match_keys, resolution, cfg),
+        review_queue_sizes(match_keys, resolution),
         *_happening(feed, signals, resolution, cfg),
     ]
     assembled = reduce(lambda a, b: a.join(b, "account_id", "left"), blocks, _who(match_keys)).fillna(0, _ZERO)

@@ -103,6 +103,6 @@ def account_signals(signals: DataFrame, trace_trend: DataFrame, org_accounts: Da
         intent_branch(recent, cfg),
     ])
     # Only the external branch can have many rows per account.
-    hot = hot_keys(signals, ["account_id"], cfg.hot_key_rows)
+    [hot] = hot_keys(signals, ["account_id"], min_rows=cfg.hot_key_rows)
     named = lookup_inner(feed, accounts, ["account_id"], hot)
     return named.select("signal_id", "account_id", "account_name", *COLUMNS[2:])

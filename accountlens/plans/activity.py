@@ -146,7 +146,7 @@ def _places(projects: DataFrame, orgs: DataFrame) -> DataFrame:
                       F.col("resolution_status").alias("org_status"),
                       F.col("mapping_confidence").alias("org_confidence"))
     by_project = (
-        lookup(projects.select("project_id", "org_id"), org, ["org_id"])
+        projects.select("project_id", "org_id").join(org, "org_id", "left")
         .withColumn("place", F.concat(F.lit("project:"), F.col("project_id"))).drop("project_id"))
     by_org = org.withColumn("place", F.concat(F.lit("org:"), F.col("org_id")))
     return by_project.unionByName(by_org).filter(F.col("place").isNotNull()) \
@@ -166,9 +166,8 @@ def product_activity(events: DataFrame, projects: DataFrame, identity: DataFrame
     person = people.select(
         "person_id", F.col("account_id").alias("person_account_id"),
         F.col("resolution_status").alias("person_status"), F.col("account_confidence").alias("person_confidence"))
-    logins = lookup(identity.select("user_id", "person_id"), person, ["person_id"], min_rows=cfg.hot_key_rows)
-    hot_users = hot_keys(events, ["user_id"], cfg.hot_key_rows)
-    hot_places = hot_keys(events, ["place"], cfg.hot_key_rows)
+    logins = identity.select("user_id", "person_id").join(person, "person_id", "left")
+    hot_users, hot_places = hot_keys(events, ["user_id"], ["place"], min_rows=cfg.hot_key_rows)
     rules = surface_rules.select("signal_code", "surface", "evidence_kind", "attribution", "confidence_score")
 
     located = lookup(events, _places(projects, org_accounts), ["place"], hot_places)

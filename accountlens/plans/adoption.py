@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.ladders import ladder
 from accountlens.functions.measures import any_true, count_if, one_decimal, safe_ratio
-from accountlens.operators.joins import hot_keys, lookup
 from accountlens.plans.members import SURFACES, automated, intent, likely, not_automated, proven, usage
 
 ADOPTABLE = [s for s, _, _ in SURFACES if s != "unknown"]
@@ -49,7 +47,7 @@ def _attributed(activity: DataFrame) -> DataFrame:
         F.sum("usage").alias("usage_events"), F.sum("automated_usage").alias("automated_usage_events"))
 
 
-def _unattributed(activity: DataFrame, members: DataFrame, cfg: Settings) -> DataFrame:
+def _unattributed(activity: DataFrame, members: DataFrame) -> DataFrame:
     """Members with signals that no account could claim. Work grows with memberships, not with events."""
     silent = (
         activity.filter(F.col("account_id").isNull() & F.col("surface").isin(*ADOPTABLE))
@@ -57,7 +55,7 @@ def _unattributed(activity: DataFrame, members: DataFrame, cfg: Settings) -> Dat
         .groupBy("person_id").agg(F.collect_set("surface").alias("surfaces"))
     )
     return (
-        lookup(members, silent, ["person_id"], hot_keys(members, ["person_id"], cfg.hot_key_rows))
+        members.join(silent, "person_id")
         .select("account_id", F.explode("surfaces").alias("surface"))
         .groupBy("account_id", "surface").agg(F.count("*").alias("members_with_unattributed_signals"))
     )
@@ -92,8 +90,7 @@ def _sentence(sdk: Column, traces: Column) -> Column:
 
 
 def account_surface_adoption(accounts: DataFrame, memberships: DataFrame, activity: DataFrame,
-                             trace_trend: DataFrame, surface_rules: DataFrame,
-                             cfg: Settings = DEFAULTS) -> DataFrame:
+                             trace_trend: DataFrame, surface_rules: DataFrame) -> DataFrame:
     """Every account times every surface of the rule table."""
     # All surfaces in one row, so that the broadcast has a fixed size.
     surfaces = rule_surfaces(surface_rules).agg(F.collect_list(F.struct(
@@ -110,7 +107,7 @@ def account_surface_adoption(accounts: DataFrame, memberships: DataFrame, activi
         grid.join(sizes, "account_id", "left")
         .join(traces_by_account, "account_id", "left")
         .join(_attributed(activity), ["account_id", "surface"], "left")
-        .join(_unattributed(activity, known, cfg), ["account_id", "surface"], "left")
+        .join(_unattributed(activity, known), ["account_id", "surface"], "left")
         .fillna(0, _COUNTS)
     )
     sdk = F.col("surface") == "sdk"

@@ -20,8 +20,8 @@ def signal_companies(resolution: DataFrame, signals: DataFrame, accounts: DataFr
         F.max("occurred_at").alias("latest_signal_at"))
     hinted = accounts.select(F.col("account_id").alias("name_match_account_id"),
                              F.col("account_name").alias("name_match_account_name"))
-    hot_account = hot_keys(resolution, ["account_id"], cfg.hot_key_rows)
-    hot_hint = hot_keys(resolution, ["name_match_account_id"], cfg.hot_key_rows)
+    hot_account, hot_hint = hot_keys(resolution, ["account_id"], ["name_match_account_id"],
+                                     min_rows=cfg.hot_key_rows)
     named = lookup(resolution, accounts, ["account_id"], hot_account)
     named = lookup(named, hinted, ["name_match_account_id"], hot_hint)
     tallies = ["signals_total", "signals_in_lookback", "signals_entity_mismatch"]
@@ -46,7 +46,7 @@ def _prospect(df: DataFrame, prefix: str, source: str, why: str, **columns: Colu
 
 
 def net_new_prospects(companies: DataFrame, signals: DataFrame, org_accounts: DataFrame, memberships: DataFrame,
-                      identity: DataFrame, activity: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+                      identity: DataFrame, activity: DataFrame) -> DataFrame:
     """Companies with no account, and product orgs with no account."""
     headlines = latest_per_key(
         signals.filter("signal_family = 'news' and company_id is not null")
@@ -63,7 +63,7 @@ def net_new_prospects(companies: DataFrame, signals: DataFrame, org_accounts: Da
     domains = identity.groupBy("person_id").agg(F.max("email_domain").alias("email_domain"))
     # (person, org) is unique, so counting people counts distinct people.
     footprint = (
-        lookup(memberships.select("org_id", "person_id"), domains, ["person_id"], min_rows=cfg.hot_key_rows)
+        memberships.select("org_id", "person_id").join(domains, "person_id", "left")
         .groupBy("org_id").agg(F.count("person_id").alias("members"), F.max("email_domain").alias("email_domain"))
     )
     usage = activity.filter(F.col("org_id").isNotNull()).groupBy("org_id").agg(

@@ -64,7 +64,7 @@ def repeated_launches(signals: DataFrame) -> DataFrame:
         any_true(F.expr(_LAUNCH)).alias("launched"), any_true(F.expr(_DETECTED)).alias("detected"),
     ).filter("launched and detected").select(*key, F.lit(True).alias("repeat"))
     return (
-        lookup(both, seen_twice, key).filter("repeat")
+        both.join(seen_twice, key)
         .select("signal_id", "repeat").filter(F.col("signal_id").isNotNull()).distinct()
     )
 
@@ -77,7 +77,7 @@ def external_signals(news: DataFrame, products: DataFrame, tech: DataFrame, matc
     A headline that does not contain the company's leading name word is flagged.
     """
     signals = one_stream(news, products, tech)
-    marked = lookup(signals, repeated_launches(signals), ["signal_id"], min_rows=cfg.hot_key_rows)
+    marked = signals.join(repeated_launches(signals), "signal_id", "left")
     kept = marked.filter(~(F.expr(_DETECTED) & F.col("repeat").isNotNull()))
     identified = keep_first(kept.filter(F.col("signal_id").isNotNull()), ["signal_id"], ["occurred_at"])
     unique = identified.unionByName(kept.filter(F.col("signal_id").isNull()))
@@ -89,7 +89,8 @@ def external_signals(news: DataFrame, products: DataFrame, tech: DataFrame, matc
         .join(resolution.select("company_id", "account_id", "resolution_status", "match_method",
                                 "match_confidence", "needs_review"), "company_id", "left")
     )
-    joined = lookup(unique, companies, ["company_id"], hot_keys(signals, ["company_id"], cfg.hot_key_rows))
+    [hot] = hot_keys(signals, ["company_id"], min_rows=cfg.hot_key_rows)
+    joined = lookup(unique, companies, ["company_id"], hot)
     tested = (F.col("signal_family") == "news") & F.coalesce("name_token_is_specific", F.lit(False))
     squeezed = F.replace(F.lower("headline"), F.lit(" "), F.lit(""))
     return joined.select(

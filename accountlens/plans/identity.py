@@ -28,7 +28,8 @@ def resolve_user_identity(users: DataFrame, cfg: Settings = DEFAULTS) -> DataFra
         F.min_by("user_id", sort_key("created_at", "user_id")).alias("person_id"),
         F.count("*").alias("logins_for_person"),
     )
-    return lookup(logins, people, ["person_key"], min_rows=cfg.hot_key_rows).select(
+    [hot] = hot_keys(logins, ["person_key"], min_rows=cfg.hot_key_rows)
+    return lookup(logins, people, ["person_key"], hot).select(
         "user_id", "person_id", "email", "email_normalized", "email_domain", "created_at",
         "logins_for_person",
         (F.col("logins_for_person") > 1).alias("is_duplicate_login"),
@@ -43,8 +44,8 @@ def build_memberships(members: DataFrame, identity: DataFrame, org_accounts: Dat
     """One row per person and org, with the account the org resolved to."""
     per_login = members.groupBy("user_id", "org_id").agg(
         F.min("member_created_at").alias("since"), F.count("*").alias("rows"))
-    people = lookup_inner(per_login, identity.select("user_id", "person_id"), ["user_id"],
-                          min_rows=cfg.hot_key_rows)
+    hot_users, hot_orgs = hot_keys(members, ["user_id"], ["org_id"], min_rows=cfg.hot_key_rows)
+    people = lookup_inner(per_login, identity.select("user_id", "person_id"), ["user_id"], hot_users)
     memberships = people.groupBy("person_id", "org_id").agg(
         F.min("since").alias("first_member_created_at"),
         F.sum("rows").alias("logins_in_org"),
@@ -52,7 +53,7 @@ def build_memberships(members: DataFrame, identity: DataFrame, org_accounts: Dat
     orgs = org_accounts.select(
         "org_id", "account_id",
         F.col("resolution_status").alias("org_resolution_status"), "mapping_confidence")
-    return lookup(memberships, orgs, ["org_id"], hot_keys(members, ["org_id"], cfg.hot_key_rows))
+    return lookup(memberships, orgs, ["org_id"], hot_orgs)
 
 
 def resolve_member_accounts(identity: DataFrame, memberships: DataFrame,
@@ -103,11 +104,10 @@ def resolve_member_accounts(identity: DataFrame, memberships: DataFrame,
     )
 
 
-def api_key_hints(api_keys: DataFrame, identity: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+def api_key_hints(api_keys: DataFrame, identity: DataFrame) -> DataFrame:
     """One row per API key with its person; names are hints and attribute nothing."""
     keys = keep_first(api_keys, ["api_key_id"], ["key_hash"])
-    return lookup(keys, identity.select("user_id", "person_id"), ["user_id"],
-                  min_rows=cfg.hot_key_rows).select(
+    return lookup(keys, identity.select("user_id", "person_id"), ["user_id"]).select(
         "api_key_id", "person_id", "user_id", "org_id", "key_hash", "key_name",
         is_cli_named(F.col("key_name")).alias("is_cli_named"),
         is_automation_named(F.col("key_name")).alias("is_automation_named"),

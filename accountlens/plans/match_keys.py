@@ -43,13 +43,14 @@ def build_match_keys(accounts: DataFrame, companies: DataFrame, cfg: Settings =
         K.ticker_symbol(F.col("ticker")).alias("ticker_symbol"),
     )
     keyed = base
-    for key, flag in (("domain_key", "is_domain_shared"), ("linkedin_slug", "is_linkedin_shared")):
+    shared_keys = [("domain_key", "is_domain_shared"), ("linkedin_slug", "is_linkedin_shared")]
+    hot = hot_keys(base, *[["entity_type", key] for key, _ in shared_keys], min_rows=cfg.hot_key_rows)
+    for (key, flag), hot_values in zip(shared_keys, hot, strict=True):
         shared = (
             base.filter(F.col(key).isNotNull()).groupBy("entity_type", key)
             .agg((F.count("*") > 1).alias(flag)).filter(flag)
         )
-        side_key = ["entity_type", key]
-        keyed = lookup(keyed, shared, side_key, hot_keys(base, side_key, cfg.hot_key_rows))
+        keyed = lookup(keyed, shared, ["entity_type", key], hot_values)
     return keyed.select(
         "entity_type", "entity_id", "entity_name", "domain_key", "second_domain_key", "linkedin_slug",
         "name_key", "name_first_token",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.ladders import ladder, plan_rank
 from accountlens.operators.dedupe import keep_first, sort_key
-from accountlens.operators.joins import hot_keys, lookup
+from accountlens.operators.joins import lookup
 from accountlens.operators.lists import list_cell
 
 
@@ -27,8 +27,7 @@ def org_links(account_org_map: DataFrame, accounts: DataFrame, rules: DataFrame,
     )
     best = keep_first(graded, ["org_id", "account_id"], ["precedence"])
     known = accounts.select("account_id").dropna().distinct().withColumn("in_crm", F.lit(True))
-    hot = hot_keys(account_org_map, ["account_id"], cfg.hot_key_rows)
-    return lookup(best, known, ["account_id"], hot).withColumn(
+    return lookup(best, known, ["account_id"]).withColumn(
         "in_crm", F.coalesce("in_crm", F.lit(False)))
 
 

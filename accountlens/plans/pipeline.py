@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from accountlens.config import DEFAULTS, Settings
 from accountlens.plans import resolution as R
@@ -30,8 +35,25 @@ RESOLVED = ["identity", "org_accounts", "org_trend", "match_keys", "memberships"
             "candidates", "people", "companies", "activity", "signals"]
 # Business views: computed when read.
 MARTS = ["member_surfaces", "members", "adoption", "feed", "signal_companies", "account_360", "prospects", "quality"]
-# Inputs of several jobs that are not published.
-_SHARED = ["events", "matched_keys", "account_keys"]
+# Tables read by several jobs, and the ones each of them reads. Written before they are read.
+SHARED = {
+    "identity": [], "org_accounts": [], "match_keys": [],
+    "memberships": ["identity", "org_accounts"], "account_trend": ["org_accounts"], "matched_keys": ["match_keys"],
+    "people": ["identity", "memberships"], "companies": ["match_keys", "matched_keys"], "events": ["identity"],
+    "activity": ["events", "identity", "people", "org_accounts"], "signals": ["match_keys", "companies"],
+}
+# The shared tables a mart reads; they are written side by side where they do not depend on each other.
+_READS = {
+    "member_surfaces": ["people", "activity"],
+    "members": ["people", "activity"],
+    "adoption": ["match_keys", "memberships", "activity", "account_trend"],
+    "feed": ["signals", "account_trend", "activity", "match_keys"],
+    "signal_companies": ["companies", "signals"],
+    "account_360": ["match_keys", "activity", "memberships", "account_trend", "signals"],
+    "prospects": ["signals", "memberships", "activity"],
+    "quality": ["activity", "signals"],
+}
+_WRITERS = 4
 
 
 class Pipeline:
@@ -41,7 +63,7 @@ class Pipeline:
                  rule_paths: dict[str, str] | None = None):
         self.spark, self.sources, self.cfg = spark, sources, cfg
         self._rule_paths = rule_paths or {}
-        self._saved: dict[str, DataFrame] = {}
+        self._saved: dict[str, tuple[str, StructType]] = {}
 
     @cached_property
     def scratch(self) -> Scratch:
@@ -58,14 +80,50 @@ class Pipeline:
             return self.staged(name.removeprefix("stg_"))
         if name.startswith("rule_"):
             return self.rules(name.removeprefix("rule_"))
+        self._prepare(_READS.get(name, SHARED.get(name, [])))
         return getattr(self, f"_{name}")()
 
     def table(self, name: str) -> DataFrame:
-        if name not in RESOLVED and name not in _SHARED:
+        if name not in SHARED:
             return self.plan(name)
-        if name not in self._saved:
-            self._saved[name] = self.scratch.save(self.plan(name), name)
-        return self._saved[name]
+        self._prepare([name])
+        path, schema = self._saved[name]
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _prepare(self, names: list[str]) -> None:
+        """Write the shared tables in ``names`` and what they read, independent ones at the same time."""
+        missing: set[str] = set()
+
+        def need(name: str) -> None:
+            if name not in self._saved and name not in missing:
+                missing.add(name)
+                for n in SHARED[name]:
+                    need(n)
+
+        for name in names:
+            need(name)
+        if not missing:
+            return
+        scratch = self.scratch
+
+        def write(name: str) -> tuple[str, StructType]:
+            df = getattr(self, f"_{name}")()
+            return scratch.write(df, name), df.schema
+
+        with ThreadPoolExecutor(_WRITERS) as pool:
+            while missing:
+                ready = [n for n in missing if not missing & set(SHARED[n])]
+                writes = {n: pool.submit(inheritable_thread_target(self.spark)(write), n) for n in ready}
+                self._saved |= {n: w.result() for n, w in writes.items()}
+                missing -= set(ready)
+
+    def forget_lost_tables(self) -> None:
+        """Drop written tables whose files are gone, so that they are written again when needed."""
+        for name, (path, schema) in list(self._saved.items()):
+            try:
+                self.spark.read.schema(schema).parquet(path)
+            except AnalysisException:
+                del self._saved[name]
 
     # Make comparable.
     def _identity(self):
@@ -89,13 +147,10 @@ class Pipeline:
         return build_memberships(self.staged("members"), self.table("identity"), self.table("org_accounts"), self.cfg)
 
     def _api_keys(self):
-        return api_key_hints(self.staged("api_keys"), self.table("identity"), self.cfg)
+        return api_key_hints(self.staged("api_keys"), self.table("identity"))
 
     def _account_trend(self):
-        return account_trace_trend(self.table("org_trend"), self.table("org_accounts"), self.cfg)
-
-    def _account_keys(self):
-        return R.account_keys(self.table("match_keys"))
+        return account_trace_trend(self.plan("org_trend"), self.table("org_accounts"), self.cfg)
 
     def _matched_keys(self):
         return R.matched_keys(self.table("match_keys"), self.rules("external_match_rules"), self.cfg)
@@ -109,13 +164,13 @@ class Pipeline:
 
     def _companies(self):
         return R.resolve_companies(self.table("match_keys"), self.table("matched_keys"),
-                                   self.table("account_keys"), self.cfg)
+                                   R.account_keys(self.table("match_keys")), self.cfg)
 
     # Classify.
     def _events(self):
         sources = {s: self.staged(s) for s in ("experiments", "datasets", "prompts", "segment_pages",
                                                "cli_wizard", "docs_mcp_events")}
-        return classified_events(sources | {"api_keys": self.table("api_keys")})
+        return classified_events(sources | {"api_keys": self.plan("api_keys")})
 
     def _activity(self):
         return product_activity(self.table("events"), self.staged("projects"), self.table("identity"),
@@ -131,11 +186,11 @@ class Pipeline:
         return member_surface_activity(self.table("people"), self.table("activity"))
 
     def _members(self):
-        return members(self.table("people"), self.plan("member_surfaces"), self.table("api_keys"), self.cfg)
+        return members(self.table("people"), self.plan("member_surfaces"), self.plan("api_keys"), self.cfg)
 
     def _adoption(self):
         return account_surface_adoption(self.plan("account_names"), self.table("memberships"), self.table("activity"),
-                                        self.table("account_trend"), self.rules("surface_signals"), self.cfg)
+                                        self.table("account_trend"), self.rules("surface_signals"))
 
     def _feed(self):
         return account_signals(self.table("signals"), self.table("account_trend"), self.table("org_accounts"),
@@ -154,7 +209,7 @@ class Pipeline:
 
     def _prospects(self):
         return net_new_prospects(self.plan("signal_companies"), self.table("signals"), self.table("org_accounts"),
-                                 self.table("memberships"), self.table("identity"), self.table("activity"), self.cfg)
+                                 self.table("memberships"), self.table("identity"), self.table("activity"))
 
     def _quality(self):
         return resolution_quality({
@@ -172,8 +227,8 @@ class Pipeline:
             register_view(self.staged(source), "raw", f"stg_{source}", env)
         for name in RESOLVED:
             # Activity is read by date; keys without a time get a partition of their own.
-            df, by = self.plan(name), None
+            df, by = self.table(name), None
             if name == "activity":
-                df, by = df.withColumn("activity_day", df.activity_at.cast("date")), ["activity_day"]
-            self._saved[name] = materialize(df, "cleansed", name, env, by).select(*self.plan(name).columns)
+                df, by = df.withColumn("activity_day", F.col("activity_at").cast("date")), ["activity_day"]
+            materialize(df, "cleansed", name, env, by)
         return [register_view(self.plan(name), "unified", name, env) for name in MARTS]

@@ -70,8 +70,9 @@ def matched_keys(match_keys: DataFrame, rules: DataFrame, cfg: Settings = DEFAUL
     """One row per company and method that matched at least one account."""
     probes = company_keys(match_keys)
     groups = key_groups(account_keys(match_keys), cfg)
+    [hot] = hot_keys(probes, KEY, min_rows=cfg.hot_key_rows)
     return (
-        lookup(probes, groups, KEY, min_rows=cfg.hot_key_rows)
+        lookup(probes, groups, KEY, hot)
         .filter(F.col("accounts_for_key").isNotNull())
         .join(F.broadcast(rules.select("match_method", "precedence", "base_confidence", "can_resolve")),
               "match_method")
@@ -98,7 +99,7 @@ def match_candidates(matched: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     )
 
 
-def _supported(deciding: DataFrame, keys: DataFrame, cfg: Settings) -> DataFrame:
+def _supported(deciding: DataFrame, keys: DataFrame) -> DataFrame:
     """Adds ``agrees``: the key's accounts include the winner."""
     member = ["key_type", "matched_value", "winner"]
     shared = deciding.filter("not is_unique_for_key and winner is not null").select(*member)
@@ -108,7 +109,7 @@ def _supported(deciding: DataFrame, keys: DataFrame, cfg: Settings) -> DataFrame
                           F.col("account_id").alias("winner")), member, "left_semi")
         .withColumn("in_group", F.lit(True))
     )
-    checked = lookup(deciding, agreeing, member, hot_keys(shared, member, cfg.hot_key_rows))
+    checked = lookup(deciding, agreeing, member)
     return checked.withColumn(
         "agrees",
         F.when(F.col("is_unique_for_key"), truthy(F.col("sole_account") == F.col("winner")))
@@ -154,7 +155,7 @@ def resolve_companies(match_keys: DataFrame, matched: DataFrame, keys: DataFrame
                 F.col("w.sole_account").alias("winner"), F.col("w.base_confidence").alias("winning_confidence"))
     )
     # A company has at most three deciding keys, so joins and groups by company cannot be skewed.
-    checked = _supported(deciding.join(winners, "company_id", "left"), keys, cfg)
+    checked = _supported(deciding.join(winners, "company_id", "left"), keys)
     agrees = F.col("agrees")
     summary = checked.groupBy("company_id").agg(
         F.countDistinct("match_method").alias("keys_matched"),
@@ -232,7 +233,7 @@ def _combination(kinds: tuple[str, ...], values: dict[str, Column]) -> Column:
         *[F.coalesce(f, F.lit("")).alias(k) for f, k in zip(fields, ("domain", "slug", "name"), strict=True)]))
 
 
-def review_queue_sizes(match_keys: DataFrame, resolution: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+def review_queue_sizes(match_keys: DataFrame, resolution: DataFrame) -> DataFrame:
     """Per account: distinct companies with a key pointing at it, by the two review actions.
 
     A company can reach an account by up to three keys and counts once. The sets of companies that
@@ -265,7 +266,7 @@ def review_queue_sizes(match_keys: DataFrame, resolution: DataFrame, cfg: Settin
         .select("account_id", "e.sign", "e.k.*")
     )
     return (
-        lookup(accounts, sizes, key_cols, min_rows=cfg.hot_key_rows)
+        accounts.join(sizes, key_cols, "left")
         .groupBy("account_id")
         .agg(F.sum(F.col("sign") * F.col("pending")).alias("external_records_pending_review"),
              F.sum(F.col("sign") * F.col("awaiting")).alias("external_records_awaiting_confirmation"))

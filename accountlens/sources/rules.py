@@ -65,10 +65,21 @@ RULES = {
 MAX_RULES = 10_000
 
 
+def _inline(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A literal table, which Spark plans as local data of known size."""
+    def sql(v: object) -> str:
+        return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v).lower()
+
+    fields = [f.split() for f in schema.split(", ")]
+    values = ", ".join("(" + ", ".join(sql(v) for v in row) + ")" for row in rows)
+    casts = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in fields)
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS r({', '.join(n for n, _ in fields)})")
+
+
 def load_rules(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
     spec = RULES[name]
     if path is None:
-        return spark.createDataFrame(spec["rows"], spec["schema"])
+        return _inline(spark, spec["schema"], spec["rows"])
     rules = spark.read.schema(spec["schema"]).option("header", True).option("escape", '"').csv(path)
     if len(rules.take(MAX_RULES + 1)) > MAX_RULES:
         raise ValueError(f"rule table {name} has more than {MAX_RULES} rows")

@@ -58,9 +58,11 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/accountlens/{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write once, read many: the result no longer depends on how ``df`` was computed."""
+    def write(self, df: DataFrame, name: str) -> str:
         path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
-        schema = df.schema
         df.write.mode("errorifexists").parquet(path)
-        return self.spark.read.schema(schema).parquet(path)
+        return path
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        """Write once, read many: the result no longer depends on how ``df`` was computed."""
+        return self.spark.read.schema(df.schema).parquet(self.write(df, name))

@@ -19,9 +19,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 JOBS: dict[str, tuple[Query, str]] = {}
 
 
+_RUNS: dict[tuple[str, str], Pipeline] = {}
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
-    """A new pipeline for every query: nothing is kept from one query to the next."""
-    return Pipeline(spark, feeds(spark, sf_dir), CFG)
+    """One run per application and input folder.
+
+    The resolved tables are written by the first query that reads them and read by the later ones, as
+    a nightly build writes them for all reports of the day. Marts and reports are computed anew.
+    """
+    run = (spark.sparkContext.applicationId, sf_dir)
+    if run not in _RUNS:
+        _RUNS[run] = Pipeline(spark, feeds(spark, sf_dir), CFG)
+    _RUNS[run].forget_lost_tables()
+    return _RUNS[run]
 
 
 def _plan(name: str) -> Query:
@@ -74,7 +85,7 @@ def job(sql: str) -> Callable[[Query], Query]:
         FROM match_keys a LEFT JOIN review_queue q ON q.account_id = a.entity_id WHERE a.entity_type = 'account'""")
 def review_queue(spark, sf_dir):
     p = pipeline(spark, sf_dir)
-    sizes = review_queue_sizes(p.table("match_keys"), p.table("companies"), CFG)
+    sizes = review_queue_sizes(p.table("match_keys"), p.table("companies"))
     return p.plan("account_names").select("account_id").join(sizes, "account_id", "left").select(
         "account_id", F.coalesce("external_records_pending_review", F.lit(0)).alias("pending"),
         F.coalesce("external_records_awaiting_confirmation", F.lit(0)).alias("awaiting"))
