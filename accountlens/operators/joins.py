@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accountlens.config import DEFAULTS
@@ -35,6 +35,10 @@ def hot_keys(df: DataFrame, *key_sets: Sequence[str], min_rows: int = DEFAULTS.h
     return found
 
 
+def _bucket(columns: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 20))
+
+
 def _hot_rows(dim: DataFrame, keys: Sequence[str], hot: Hot) -> DataFrame:
     """The rows of ``dim`` for the hot keys: at most HOT_KEYS, since ``dim`` has one row per key."""
     wanted = dim.sparkSession.createDataFrame(hot, dim.select(*keys).schema)
@@ -49,6 +53,9 @@ def lookup(facts: DataFrame, dim: DataFrame, keys: Sequence[str], hot: Hot | Non
     match nothing; all other rows meet their key there. A key missing from ``hot``
     costs balance, never rows.
     """
+    for k in keys:
+        if facts.schema[k].dataType != dim.schema[k].dataType:
+            raise TypeError(f"key {k} has different types on the two sides")
     values = [c for c in dim.columns if c not in keys]
     settled = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     left, columns = facts, facts.columns
@@ -59,12 +66,14 @@ def lookup(facts: DataFrame, dim: DataFrame, keys: Sequence[str], hot: Hot | Non
         on_hot = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__hk_{k}") for k in keys])
         left = facts.join(F.broadcast(hot_dim), on_hot, "left")
         settled = settled | F.col("__hot").isNotNull()
-    spread = F.when(settled, F.pmod(F.xxhash64(*columns), F.lit(1 << 20))).otherwise(F.lit(-1).cast("bigint"))
+    # The second join key follows from the first, except for settled rows: theirs is negative and
+    # differs from row to row. (A constant on the right would be folded away, and the spread with it.)
+    spread = F.when(settled, -1 - _bucket(columns)).otherwise(_bucket(keys))
     right = dim.select(
         *[F.col(k).alias(f"__dk_{k}") for k in keys], *[F.col(v).alias(f"__dv_{v}") for v in values],
-        F.lit(-1).cast("bigint").alias("__dim"))
+        _bucket(keys).alias("__bucket"))
     on_dim = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__dk_{k}") for k in keys],
-                    F.col("__spread") == F.col("__dim"))
+                    F.col("__spread") == F.col("__bucket"))
     joined = left.withColumn("__spread", spread).join(right, on_dim, "left")
     return joined.select(*columns, *[
         F.coalesce(f"__hv_{v}", f"__dv_{v}").alias(v) if hot else F.col(f"__dv_{v}").alias(v) for v in values])

@@ -65,7 +65,7 @@ def repeated_launches(signals: DataFrame) -> DataFrame:
     ).filter("launched and detected").select(*key, F.lit(True).alias("repeat"))
     return (
         both.join(seen_twice, key)
-        .select("signal_id", "repeat").filter(F.col("signal_id").isNotNull()).distinct()
+        .select("signal_id", "repeat").distinct()
     )
 
 
@@ -77,10 +77,11 @@ def external_signals(news: DataFrame, products: DataFrame, tech: DataFrame, matc
     A headline that does not contain the company's leading name word is flagged.
     """
     signals = one_stream(news, products, tech)
-    marked = signals.join(repeated_launches(signals), "signal_id", "left")
+    identified = signals.filter(F.col("signal_id").isNotNull())
+    marked = identified.join(repeated_launches(identified), "signal_id", "left")
     kept = marked.filter(~(F.expr(_DETECTED) & F.col("repeat").isNotNull()))
-    identified = keep_first(kept.filter(F.col("signal_id").isNotNull()), ["signal_id"], ["occurred_at"])
-    unique = identified.unionByName(kept.filter(F.col("signal_id").isNull()))
+    nameless = signals.filter(F.col("signal_id").isNull()).withColumn("repeat", F.lit(None).cast("boolean"))
+    unique = keep_first(kept, ["signal_id"], ["occurred_at"]).unionByName(nameless)
 
     companies = (
         match_keys.filter("entity_type = 'company'")

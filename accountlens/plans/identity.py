@@ -20,15 +20,16 @@ def resolve_user_identity(users: DataFrame, cfg: Settings = DEFAULTS) -> DataFra
     The earliest login and the size of each group come from an aggregate that is combined before
     the shuffle, so an address used by very many logins is no burden for one task.
     """
-    logins = keep_first(users, ["user_id"], ["created_at"]).withColumns({
+    keyed = users.withColumns({
         "email_normalized": folded(F.col("email")),
         "email_domain": email_domain(folded(F.col("email"))),
     }).withColumn("person_key", F.coalesce("email_normalized", "user_id"))
+    logins = keep_first(keyed, ["user_id"], ["created_at"])
     people = logins.groupBy("person_key").agg(
         F.min_by("user_id", sort_key("created_at", "user_id")).alias("person_id"),
         F.count("*").alias("logins_for_person"),
     )
-    [hot] = hot_keys(logins, ["person_key"], min_rows=cfg.hot_key_rows)
+    [hot] = hot_keys(keyed, ["person_key"], min_rows=cfg.hot_key_rows)
     return lookup(logins, people, ["person_key"], hot).select(
         "user_id", "person_id", "email", "email_normalized", "email_domain", "created_at",
         "logins_for_person",

@@ -53,6 +53,8 @@ _READS = {
     "prospects": ["signals", "memberships", "activity"],
     "quality": ["activity", "signals"],
 }
+# The activity of the lookback window is read more often than all of it.
+_PARTITIONED = {"activity": ["is_in_lookback"]}
 _WRITERS = 4
 
 
@@ -88,7 +90,7 @@ class Pipeline:
             return self.plan(name)
         self._prepare([name])
         path, schema = self._saved[name]
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
     def _prepare(self, names: list[str]) -> None:
         """Write the shared tables in ``names`` and what they read, independent ones at the same time."""
@@ -108,7 +110,7 @@ class Pipeline:
 
         def write(name: str) -> tuple[str, StructType]:
             df = getattr(self, f"_{name}")()
-            return scratch.write(df, name), df.schema
+            return scratch.write(df, name, _PARTITIONED.get(name, [])), df.schema
 
         with ThreadPoolExecutor(_WRITERS) as pool:
             while missing:
@@ -230,5 +232,7 @@ class Pipeline:
             df, by = self.table(name), None
             if name == "activity":
                 df, by = df.withColumn("activity_day", F.col("activity_at").cast("date")), ["activity_day"]
+                # Gathers each day in few files and splits days that are too large for one task.
+                df = df.hint("rebalance", "activity_day")
             materialize(df, "cleansed", name, env, by)
         return [register_view(self.plan(name), "unified", name, env) for name in MARTS]

@@ -154,15 +154,17 @@ def resolve_companies(match_keys: DataFrame, matched: DataFrame, keys: DataFrame
         .select("company_id", F.col("w.match_method").alias("winning_method"),
                 F.col("w.sole_account").alias("winner"), F.col("w.base_confidence").alias("winning_confidence"))
     )
+    def set_size(c: Column) -> Column:
+        return F.size(F.collect_set(c)).cast("bigint")
+
     # A company has at most three deciding keys, so joins and groups by company cannot be skewed.
     checked = _supported(deciding.join(winners, "company_id", "left"), keys)
     agrees = F.col("agrees")
     summary = checked.groupBy("company_id").agg(
-        F.countDistinct("match_method").alias("keys_matched"),
-        F.countDistinct(F.when(agrees, F.col("match_method"))).alias("keys_agreeing"),
+        set_size(F.col("match_method")).alias("keys_matched"),
+        set_size(F.when(agrees, F.col("match_method"))).alias("keys_agreeing"),
         # One value seen in two vendor fields is one piece of evidence.
-        F.countDistinct(F.when(agrees & F.col("is_unique_for_key"), F.col("matched_value")))
-        .alias("unique_keys_agreeing"),
+        set_size(F.when(agrees & F.col("is_unique_for_key"), F.col("matched_value"))).alias("unique_keys_agreeing"),
         F.max("winner").alias("winner"),
         F.max("winning_method").alias("winning_method"),
         F.max("winning_confidence").alias("winning_confidence"),

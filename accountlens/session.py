@@ -6,8 +6,8 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: str = "*", app: str = "accountlens", memory: str = "12g",
-                  shuffle_partitions: int = 8) -> SparkSession:
-    spark = (
+                  shuffle_partitions: int = 8, warehouse: str | None = None) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -17,7 +17,9 @@ def local_session(cores: str = "*", app: str = "accountlens", memory: str = "12g
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .getOrCreate()
     )
+    if warehouse:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

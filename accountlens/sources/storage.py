@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,9 +59,9 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/accountlens/{uuid.uuid4().hex}"
 
-    def write(self, df: DataFrame, name: str) -> str:
+    def write(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
         path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
         return path
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
