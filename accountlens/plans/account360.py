@@ -16,7 +16,6 @@ from accountlens.operators.rank import global_rank
 from accountlens.plans.activity import OBJECTS
 from accountlens.plans.adoption import account_members
 from accountlens.plans.members import automated, usage
-from accountlens.plans.resolution import review_queue_sizes
 from accountlens.sources.storage import Scratch
 
 _ZERO = ["product_orgs", "known_members", "active_members_in_lookback", "members_shared_with_other_accounts",
@@ -125,7 +124,8 @@ def _happening(feed: DataFrame, signals: DataFrame, resolution: DataFrame, cfg:
 
 def account_360(match_keys: DataFrame, org_accounts: DataFrame, adoption: DataFrame, activity: DataFrame,
                 memberships: DataFrame, people: DataFrame, trace_trend: DataFrame, resolution: DataFrame,
-                signals: DataFrame, feed: DataFrame, scratch: Scratch, cfg: Settings = DEFAULTS) -> DataFrame:
+                signals: DataFrame, feed: DataFrame, review_queue: DataFrame, scratch: Scratch,
+                cfg: Settings = DEFAULTS) -> DataFrame:
     """One row per CRM account, ranked: more actionable signals first, then faster trace growth.
 
     Each block is first brought to one row per account, so all joins are one row to one row on
@@ -135,7 +135,7 @@ def account_360(match_keys: DataFrame, org_accounts: DataFrame, adoption: DataFr
         *_orgs(org_accounts, cfg), _adoption(adoption), _usage(activity),
         _shared_members(memberships, people),
         trace_trend.select("account_id", "trace_gb_last_7d", "trace_growth_7d"),
-        review_queue_sizes(match_keys, resolution),
+        review_queue,
         *_happening(feed, signals, resolution, cfg),
     ]
     assembled = reduce(lambda a, b: a.join(b, "account_id", "left"), blocks, _who(match_keys)).fillna(0, _ZERO)

@@ -28,19 +28,19 @@ from accountlens.plans.scorecard import resolution_quality
 from accountlens.plans.trends import account_trace_trend, org_trace_trend
 from accountlens.sources.rules import load_rules
 from accountlens.sources.staging import DELIVERED, stage
-from accountlens.sources.storage import Scratch, materialize, register_view
+from accountlens.sources.storage import WRITERS, Scratch, materialize, register_view
 
 # Resolved tables: written once and read by several jobs.
 RESOLVED = ["identity", "org_accounts", "org_trend", "match_keys", "memberships", "api_keys", "account_trend",
             "candidates", "people", "companies", "activity", "signals"]
 # Business views: computed when read.
 MARTS = ["member_surfaces", "members", "adoption", "feed", "signal_companies", "account_360", "prospects", "quality"]
-# Tables read by several jobs, and the ones each of them reads. Written before they are read.
+# Tables read by several jobs, and the ones each of them reads, which stand before it.
 SHARED = {
-    "identity": [], "org_accounts": [], "match_keys": [],
-    "memberships": ["identity", "org_accounts"], "account_trend": ["org_accounts"], "matched_keys": ["match_keys"],
-    "people": ["identity", "memberships"], "companies": ["match_keys", "matched_keys"], "events": ["identity"],
-    "activity": ["events", "identity", "people", "org_accounts"], "signals": ["match_keys", "companies"],
+    "identity": [], "org_accounts": [], "match_keys": [], "events": ["identity"],
+    "memberships": ["identity", "org_accounts"], "matched_keys": ["match_keys"], "account_trend": ["org_accounts"],
+    "companies": ["match_keys", "matched_keys"], "people": ["identity", "memberships"],
+    "signals": ["match_keys", "companies"], "activity": ["events", "identity", "people", "org_accounts"],
 }
 # The shared tables a mart reads; they are written side by side where they do not depend on each other.
 _READS = {
@@ -55,7 +55,6 @@ _READS = {
 }
 # The activity of the lookback window is read more often than all of it.
 _PARTITIONED = {"activity": ["is_in_lookback"]}
-_WRITERS = 4
 
 
 class Pipeline:
@@ -92,6 +91,10 @@ class Pipeline:
         path, schema = self._saved[name]
         return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
+    def build(self) -> None:
+        """Write all shared tables."""
+        self._prepare(list(SHARED))
+
     def _prepare(self, names: list[str]) -> None:
         """Write the shared tables in ``names`` and what they read, independent ones at the same time."""
         missing: set[str] = set()
@@ -106,18 +109,22 @@ class Pipeline:
             need(name)
         if not missing:
             return
-        scratch = self.scratch
+        scratch, writes = self.scratch, {}
 
-        def write(name: str) -> tuple[str, StructType]:
+        def write(name: str) -> None:
+            for n in SHARED[name]:
+                if n in writes:
+                    writes[n].result()
             df = getattr(self, f"_{name}")()
-            return scratch.write(df, name, _PARTITIONED.get(name, [])), df.schema
+            self._saved[name] = scratch.write(df, name, _PARTITIONED.get(name, [])), df.schema
 
-        with ThreadPoolExecutor(_WRITERS) as pool:
-            while missing:
-                ready = [n for n in missing if not missing & set(SHARED[n])]
-                writes = {n: pool.submit(inheritable_thread_target(self.spark)(write), n) for n in ready}
-                self._saved |= {n: w.result() for n, w in writes.items()}
-                missing -= set(ready)
+        # Submitted in the order of SHARED, a table only ever waits for tables submitted before it.
+        with ThreadPoolExecutor(WRITERS) as pool:
+            for name in SHARED:
+                if name in missing:
+                    writes[name] = pool.submit(inheritable_thread_target(self.spark)(write), name)
+            for w in writes.values():
+                w.result()
 
     def forget_lost_tables(self) -> None:
         """Drop written tables whose files are gone, so that they are written again when needed."""
@@ -203,11 +210,13 @@ class Pipeline:
         return signal_companies(self.table("companies"), self.table("signals"), self.plan("account_names"), self.cfg)
 
     def _account_360(self):
-        feed = self.scratch.save(self.plan("feed"), "feed")
-        return account_360(self.table("match_keys"), self.table("org_accounts"), self.plan("adoption"),
+        blocks = self.scratch.save_all({
+            "feed": self.plan("feed"), "adoption": self.plan("adoption"),
+            "review_queue": R.review_queue_sizes(self.table("match_keys"), self.table("companies"))})
+        return account_360(self.table("match_keys"), self.table("org_accounts"), blocks["adoption"],
                            self.table("activity"), self.table("memberships"), self.table("people"),
                            self.table("account_trend"), self.table("companies"), self.table("signals"),
-                           feed, self.scratch, self.cfg)
+                           blocks["feed"], blocks["review_queue"], self.scratch, self.cfg)
 
     def _prospects(self):
         return net_new_prospects(self.plan("signal_companies"), self.table("signals"), self.table("org_accounts"),

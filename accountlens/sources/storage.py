@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Tables written at the same time.
+WRITERS = 6
+
 # Stand-in for the shared folder in local mode, where driver and executors are one process.
 _LOCAL_FOLDER: list[str] = []
 
@@ -64,6 +69,12 @@ class Scratch:
         df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
         return path
 
+    def save_all(self, plans: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write independent tables side by side, so that small ones do not wait for large ones."""
+        with ThreadPoolExecutor(WRITERS) as pool:
+            saves = {n: pool.submit(inheritable_thread_target(self.spark)(self.save), df, n) for n, df in plans.items()}
+            return {n: s.result() for n, s in saves.items()}
+
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write once, read many: the result no longer depends on how ``df`` was computed."""
         return self.spark.read.schema(df.schema).parquet(self.write(df, name))

@@ -68,7 +68,8 @@ def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     # 25 nations, whatever the scale.
     customers = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")) \
         .join(first_order, F.col("c_custkey") == F.col("o_custkey"), "left")
-    ordered = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Both sides grow alike, so neither is broadcast, at any scale.
+    ordered = lineitem.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     k = "get_json_object(props, '$.k')"
 
     def of_type(kind: str) -> DataFrame:
