@@ -45,12 +45,8 @@ def surge_branch(trace_trend: DataFrame, org_accounts: DataFrame, surface_rules:
     plans = org_accounts.filter(F.col("account_id").isNotNull()).groupBy("account_id").agg(
         F.max("plan_rank").alias("best_plan_rank"), F.min("mapping_confidence").alias("weakest_link"))
     rule = "org_trace_ingestion"
-    surges = (
-        trace_trend.filter("is_usage_surge").withColumn("signal_code", F.lit(rule))
-        .join(F.broadcast(surface_rules.filter(F.col("signal_code") == rule)
-                          .select("signal_code", "confidence_score")), "signal_code")
-        .join(plans, "account_id", "left")
-    )
+    grade = surface_rules.filter(F.col("signal_code") == rule).select("confidence_score").head(1)
+    surges = trace_trend.filter("is_usage_surge").filter(F.lit(bool(grade))).join(plans, "account_id", "left")
     percent = F.round(F.col("trace_growth_7d") * 100, 0).cast("bigint").cast("string")
     return _own(
         surges, "usage_surge",
@@ -59,7 +55,7 @@ def surge_branch(trace_trend: DataFrame, org_accounts: DataFrame, surface_rules:
             F.lit("Trace ingestion up "), percent, F.lit("% in 7 days ("), one_decimal(F.col("gb_baseline_day")),
             F.lit(" -> "), one_decimal(F.col("gb_last_day")), F.lit(" GB/day)"),
             F.when(F.col("best_plan_rank") < 3, " on a non-Enterprise plan").otherwise("")),
-        signal_confidence=F.col("confidence_score"), attribution=F.lit(rule),
+        signal_confidence=F.lit(grade[0][0] if grade else None).cast("double"), attribution=F.lit(rule),
         attribution_confidence=F.col("weakest_link"),
         is_actionable=F.col("weakest_link") >= cfg.min_attribution_confidence,
         needs_review=F.col("weakest_link") < cfg.min_attribution_confidence)

@@ -92,13 +92,12 @@ def _sentence(sdk: Column, traces: Column) -> Column:
 def account_surface_adoption(accounts: DataFrame, memberships: DataFrame, activity: DataFrame,
                              trace_trend: DataFrame, surface_rules: DataFrame) -> DataFrame:
     """Every account times every surface of the rule table."""
-    # All surfaces in one row, so that the broadcast has a fixed size.
-    surfaces = rule_surfaces(surface_rules).agg(F.collect_list(F.struct(
-        "surface", "surface_order", "usage_is_measurable")).alias("surfaces")).withColumn("one", F.lit(1))
-    grid = (
-        accounts.withColumn("one", F.lit(1)).join(F.broadcast(surfaces), "one")
-        .select("account_id", "account_name", F.explode("surfaces").alias("s")).select("*", "s.*").drop("s")
-    )
+    # The handful of surfaces in the rule table become literals, so the grid needs no join.
+    surfaces = F.array(*[
+        F.struct(F.lit(r.surface).alias("surface"), F.lit(r.surface_order).alias("surface_order"),
+                 F.lit(r.usage_is_measurable).alias("usage_is_measurable"))
+        for r in rule_surfaces(surface_rules).collect()])
+    grid = accounts.select("account_id", "account_name", F.explode(surfaces).alias("s")).select("*", "s.*").drop("s")
     known = account_members(memberships)
     sizes = known.groupBy("account_id").agg(F.count("*").alias("known_members"))
     traces_by_account = trace_trend.select("account_id", F.col("trace_gb_last_7d").alias("trace_gb"))

@@ -248,13 +248,12 @@ def one_exit_per_company(companies: DataFrame, prospects: DataFrame) -> DataFram
 def complete_member_grid(member_surfaces: DataFrame, people: DataFrame) -> DataFrame:
     """People whose surfaces are not all there, and people missing altogether."""
     per_person = member_surfaces.groupBy("person_id").agg(F.countDistinct("surface").alias("surfaces_present"))
-    expected = member_surfaces.agg(F.countDistinct("surface").alias("surfaces_expected"))
-    checked = per_person.withColumn("one", F.lit(1)).join(
-        F.broadcast(expected.withColumn("one", F.lit(1))), "one").drop("one")
-    missing = people.select("person_id").join(per_person, "person_id", "left_anti").select(
-        "person_id", F.lit(0).cast("bigint").alias("surfaces_present"),
-        F.lit(len(SURFACES)).cast("bigint").alias("surfaces_expected"))
-    return checked.filter("surfaces_present <> surfaces_expected").unionByName(missing)
+    return (
+        people.select("person_id").join(per_person, "person_id", "left")
+        .select("person_id", F.coalesce("surfaces_present", F.lit(0)).alias("surfaces_present"),
+                F.lit(len(SURFACES)).alias("surfaces_expected"))
+        .filter("surfaces_present <> surfaces_expected")
+    )
 
 
 def objects_follow_project(activity: DataFrame, projects: DataFrame, org_accounts: DataFrame) -> DataFrame:

@@ -87,17 +87,15 @@ def totals(activity: DataFrame, profile: DataFrame) -> DataFrame:
     """One row of headline numbers from the activity and the profile of the delivered tables."""
     events = activity.agg(
         F.count_if(F.col("activity_type").isin(*OBJECTS)).alias("objects"),
-        F.count("*").alias("activities"), F.count("account_id").alias("attributed"),
-    ).withColumn("one", F.lit(1))
+        F.count("*").alias("activities"), F.count("account_id").alias("attributed"))
     per_table = profile.groupBy("table_name").agg(
         F.max("rows_total").alias("rows"), F.count("*").alias("columns"),
         F.sum("rows_null_or_blank").alias("null_cells"))
     cells = per_table.agg(
         F.sum("rows").alias("source_rows"), F.sum("columns").alias("source_columns"),
-        F.sum("null_cells").alias("null_cells"), F.sum(F.col("rows") * F.col("columns")).alias("cells"),
-    ).withColumn("one", F.lit(1))
-    return events.join(cells, "one").select(
-        "source_rows", "source_columns", "objects", "activities", "attributed", "null_cells", "cells")
+        F.sum("null_cells").alias("null_cells"), F.sum(F.col("rows") * F.col("columns")).alias("cells"))
+    names = ["source_rows", "source_columns", "objects", "activities", "attributed", "null_cells", "cells"]
+    return events.unionByName(cells, allowMissingColumns=True).agg(*[F.max(n).alias(n) for n in names])
 
 
 # Review extract -> (table, columns, order). A dash stands for null where a person reads the cell.
