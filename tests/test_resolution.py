@@ -12,6 +12,7 @@ from accountlens.config import DEFAULTS
 from accountlens.plans import resolution as R
 from accountlens.plans.match_keys import build_match_keys
 from accountlens.sources.rules import load_rules
+from accountlens.sources.storage import Scratch
 from test_keys import ACCOUNT_SCHEMA, COMPANY_SCHEMA
 
 METHODS = {"linkedin_slug": (1, 0.90, True), "website_domain": (2, 0.85, True), "linkedin_domain": (3, 0.75, True),
@@ -19,10 +20,11 @@ METHODS = {"linkedin_slug": (1, 0.90, True), "website_domain": (2, 0.85, True),
 
 
 def run(spark, accounts, companies, cfg=DEFAULTS):
-    keys = build_match_keys(spark.createDataFrame(accounts, ACCOUNT_SCHEMA),
-                            spark.createDataFrame(companies, COMPANY_SCHEMA), cfg).cache()
-    matched = R.matched_keys(keys, load_rules(spark, "external_match_rules"), cfg).cache()
-    return keys, matched, R.resolve_companies(keys, matched, R.account_keys(keys), cfg)
+    save = Scratch(spark).save
+    keys = save(build_match_keys(spark.createDataFrame(accounts, ACCOUNT_SCHEMA).coalesce(1),
+                                 spark.createDataFrame(companies, COMPANY_SCHEMA).coalesce(1), cfg), "keys")
+    matched = save(R.matched_keys(keys, load_rules(spark, "external_match_rules"), cfg), "matched")
+    return keys, matched, save(R.resolve_companies(keys, matched, R.account_keys(keys), cfg), "resolved")
 
 
 def url(slug):
@@ -184,7 +186,8 @@ def test_row_order_and_partitions_do_not_matter(spark):
     _, _, once = run(spark, accounts, companies)
     keys = build_match_keys(spark.createDataFrame(accounts[::-1], ACCOUNT_SCHEMA).repartition(7),
                             spark.createDataFrame(companies[::-1], COMPANY_SCHEMA).repartition(3))
-    matched = R.matched_keys(keys, load_rules(spark, "external_match_rules"))
+    keys = Scratch(spark).save(keys, "keys")
+    matched = Scratch(spark).save(R.matched_keys(keys, load_rules(spark, "external_match_rules")), "matched")
     assert rows(once) == rows(R.resolve_companies(keys, matched, R.account_keys(keys)))
 
 
