@@ -18,13 +18,13 @@ def global_rank(df: DataFrame, order: Sequence[Column], carry: Sequence[str], na
     the number of rows in earlier ranges. The range number is written with the rows, so a lost
     executor cannot move a row to another range. ``order`` must be total.
     """
-    spark = df.sparkSession
-    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without a number of ranges Spark may merge neighbouring small ones, which keeps the order.
+    spread = [ranges, *order] if ranges else list(order)
     split = scratch.save(
-        df.select(*carry).repartitionByRange(n, *order).withColumn("__range", F.spark_partition_id()),
+        df.select(*carry).repartitionByRange(*spread).withColumn("__range", F.spark_partition_id()),
         f"rank_{name}",
     )
-    # One row per range: at most ``n`` rows, whatever the size of the input.
+    # One row per range: at most as many as shuffle partitions, whatever the size of the input.
     sizes = split.groupBy("__range").agg(F.count("*").alias("__size"))
     earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

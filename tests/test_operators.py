@@ -90,7 +90,7 @@ def test_ordered_list_cell_keeps_repeats(spark):
     assert rows(ordered_list_cell(df, ["k"], "v", "l", order, 2, " | ")) == [("a", "top | low | (+1 more)")]
 
 
-@pytest.mark.parametrize("ranges", [1, 3, 7])
+@pytest.mark.parametrize("ranges", [None, 1, 3, 7])
 def test_global_rank_equals_plain_row_number(spark, ranges):
     df = spark.range(500).select(F.col("id").cast("string").alias("id"), (F.col("id") % 3).alias("a"),
                                  F.when(F.col("id") % 5 == 0, F.lit(-1.0)).otherwise(F.col("id") % 7 / 7.0).alias("g"))
