@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accountlens.llm import quality_rules
+from accountlens.llm import quality_rules, simhash, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash_near_dedup": simhash.query,
+    "op4_suffix_dedup": suffixes.query,
     "op7_quality_rules": quality_rules.query,
 }
 
