@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accountlens.llm import quality_rules, simhash, suffixes
+from accountlens.llm import pieces, quality_rules, simhash, suffixes, tiling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": tiling.query,
+    "op6_sentencepiece": pieces.query,
     "op3_simhash_near_dedup": simhash.query,
     "op4_suffix_dedup": suffixes.query,
     "op7_quality_rules": quality_rules.query,
