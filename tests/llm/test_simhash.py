@@ -6,41 +6,11 @@ import random
 
 import numpy as np
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from accountlens.llm import simhash
 from accountlens.llm.components import components
-
-
-def plain_print(text):
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    shingles = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
-    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
-def plain_groups(prints):
-    """Least id that each fingerprint reaches; ``prints``: (id, fingerprint)."""
-    fps = sorted({p for _, p in prints})
-    root = {p: p for p in fps}
-
-    def find(p):
-        while root[p] != p:
-            p = root[p]
-        return p
-
-    for i, a in enumerate(fps):
-        for b in fps[i + 1:]:
-            if (a ^ b).bit_count() <= 3:
-                root[find(b)] = find(a)
-    least = {}
-    for i, p in prints:
-        if i is not None:
-            least[find(p)] = min(i, least.get(find(p), i))
-    return {p: least.get(find(p)) for p in fps}
+from tests_llm_plain import plain_groups, plain_print
 
 
 def some_texts(seed=3):

@@ -3,42 +3,18 @@
 from __future__ import annotations
 
 import random
-import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from accountlens.llm import tiling
+from tests_llm_plain import plain_cover
+from tests_llm_plain import plain_tokens as tokens
 
 ITEM_DDL = "item_id long, text string"
 
 
-def tokens(text):
-    return re.sub(r"[\W_]+", " ", (text or "").lower()).split()
-
-
-def plain_cover(doc, item, shortest):
-    """Tokens of ``item`` that the tiles cover, by trying all starts for the longest match each time."""
-    seen_d, seen_i, total = set(), set(), 0
-    while True:
-        best = (0, 0, 0)
-        for i in range(len(item)):
-            for d in range(len(doc)):
-                n = 0
-                while (i + n < len(item) and d + n < len(doc) and item[i + n] == doc[d + n]
-                       and i + n not in seen_i and d + n not in seen_d):
-                    n += 1
-                if n > best[0]:
-                    best = (n, i, d)
-        n, i, d = best
-        if n < shortest:
-            return total
-        seen_i.update(range(i, i + n))
-        seen_d.update(range(d, d + n))
-        total += n
-
-
 def some_tables(seed):
     rng = random.Random(seed)
     words = ["Ab", "bé", "cc", "d'd", "e", "f", "ÉG", "h-h", "i", "j", "kk", "l"]
