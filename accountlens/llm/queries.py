@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accountlens.llm import pieces, quality_rules, simhash, suffixes, tiling
+from accountlens.llm import classifier, html_text, language, pieces, quality_rules, simhash, suffixes, tiling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": classifier.query,
     "op2_decontamination": tiling.query,
-    "op6_sentencepiece": pieces.query,
     "op3_simhash_near_dedup": simhash.query,
     "op4_suffix_dedup": suffixes.query,
+    "op6_sentencepiece": pieces.query,
     "op7_quality_rules": quality_rules.query,
+    "op8_language_id": language.query,
+    "op10_html_extraction": html_text.query,
 }
 
 STATEMENTS: dict[str, str] = {}
