@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accountlens.llm import classifier, html_text, language, pieces, quality_rules, simhash, suffixes, tiling
+from accountlens.llm import chat, classifier, html_text, language, pieces, quality_rules, simhash, suffixes, tiling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": classifier.query,
@@ -16,7 +16,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sentencepiece": pieces.query,
     "op7_quality_rules": quality_rules.query,
     "op8_language_id": language.query,
+    "op9_chat_formatting": chat.query,
     "op10_html_extraction": html_text.query,
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {
+    "op9_chat_formatting": chat.STATEMENT,
+}
