@@ -13,6 +13,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": tiling.query,
     "op3_simhash_near_dedup": simhash.query,
     "op4_suffix_dedup": suffixes.query,
+    "op5_lm_scoring": katz.query,
     "op6_sentencepiece": pieces.query,
     "op7_quality_rules": quality_rules.query,
     "op8_language_id": language.query,
