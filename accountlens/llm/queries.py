@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accountlens.llm import chat, classifier, html_text, language, pieces, quality_rules, simhash, suffixes, tiling
+from accountlens.llm import chat, classifier, html_text, katz, language, pieces, quality_rules, simhash, suffixes, tiling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": classifier.query,
