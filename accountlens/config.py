@@ -34,15 +34,6 @@ class Settings:
     automation_signal_confidence: float = 0.90
     intent_signal_confidence: float = 0.30
 
-    # Text cells that list ids show at most this many values, followed by the number left out.
-    # The long tables named in the README hold every value; nothing is decided from a list.
-    list_limit: int = 1000
-    # Accounts of one shared key written out next to a company (see plans/resolution.py).
-    accounts_listed_per_key: int = 100
-
-    # A join key with at least this many rows is joined by broadcast instead of by shuffle.
-    hot_key_rows: int = 100_000
-
     def as_of(self) -> dt.date | None:
         """The frozen as-of date, or None when it is the current date."""
         if self.as_of_date.lower() in ("today", "current_date"):

@@ -1,85 +1,28 @@
-"""A left join that stays balanced when one key, or null, holds a large share of the rows."""
+"""A left join to a dimension that adds its columns and nothing else."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accountlens.config import DEFAULTS
 
-# At most this many keys are ever treated as hot, so what reaches the driver and is broadcast
-# has a fixed size.
-HOT_KEYS = 1000
-
-Hot = list[tuple]
-
-
-def hot_keys(df: DataFrame, *key_sets: Sequence[str], min_rows: int = DEFAULTS.hot_key_rows) -> list[Hot]:
-    """For each set of key columns the keys with at least ``min_rows`` rows, counted exactly.
-
-    One pass over the key columns with a combining count; the HOT_KEYS most frequent keys come back.
-    """
-    columns = list(dict.fromkeys(c for keys in key_sets for c in keys))
-    counted = df.select(*columns).groupingSets([list(k) for k in key_sets], *columns).agg(
-        F.grouping_id(*columns).alias("__set"), F.count("*").alias("__n"))
-    top = counted.filter(F.col("__n") >= min_rows).orderBy(F.col("__n").desc()).limit(HOT_KEYS).collect()
-    found: list[Hot] = []
-    for keys in key_sets:
-        # grouping_id has a bit for every column left out of the set, the first column's the highest.
-        own = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
-        rows = [tuple(r[k] for k in keys) for r in top if r["__set"] == own]
-        found.append([r for r in rows if None not in r])
-    return found
-
-
-def _bucket(columns: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(1 << 20))
-
-
-def _hot_rows(dim: DataFrame, keys: Sequence[str], hot: Hot) -> DataFrame:
-    """The rows of ``dim`` for the hot keys: at most HOT_KEYS, since ``dim`` has one row per key."""
-    wanted = dim.sparkSession.createDataFrame(hot, dim.select(*keys).schema)
-    return dim.join(F.broadcast(wanted), list(keys), "left_semi")
-
-
-def lookup(facts: DataFrame, dim: DataFrame, keys: Sequence[str], hot: Hot | None = None) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of ``facts`` to ``dim``, which has one row per key.
 
-    Rows with a hot key take their values from a broadcast of at most HOT_KEYS rows of ``dim``.
-    They, and rows with a null key, are spread over all partitions of the shuffle join, where they
-    match nothing; all other rows meet their key there. A key missing from ``hot``
-    costs balance, never rows.
+    Spark picks the join. Where it shuffles, adaptive execution splits a partition in which one key, or
+    null, holds a large share of the facts; a session that groups by the same key right after sets
+    ``spark.sql.adaptive.forceOptimizeSkewedJoin``, as ``session.local_session`` does.
     """
     for k in keys:
         if facts.schema[k].dataType != dim.schema[k].dataType:
             raise TypeError(f"key {k} has different types on the two sides")
     values = [c for c in dim.columns if c not in keys]
-    settled = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    left, columns = facts, facts.columns
-    if hot:
-        hot_dim = _hot_rows(dim, keys, hot).select(
-            *[F.col(k).alias(f"__hk_{k}") for k in keys],
-            *[F.col(v).alias(f"__hv_{v}") for v in values], F.lit(True).alias("__hot"))
-        on_hot = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__hk_{k}") for k in keys])
-        left = facts.join(F.broadcast(hot_dim), on_hot, "left")
-        settled = settled | F.col("__hot").isNotNull()
-    # The second join key follows from the first, except for settled rows: theirs is negative and
-    # differs from row to row. (A constant on the right would be folded away, and the spread with it.)
-    spread = F.when(settled, -1 - _bucket(columns)).otherwise(_bucket(keys))
-    right = dim.select(
-        *[F.col(k).alias(f"__dk_{k}") for k in keys], *[F.col(v).alias(f"__dv_{v}") for v in values],
-        _bucket(keys).alias("__bucket"))
-    on_dim = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__dk_{k}") for k in keys],
-                    F.col("__spread") == F.col("__bucket"))
-    joined = left.withColumn("__spread", spread).join(right, on_dim, "left")
-    return joined.select(*columns, *[
-        F.coalesce(f"__hv_{v}", f"__dv_{v}").alias(v) if hot else F.col(f"__dv_{v}").alias(v) for v in values])
+    return facts.join(dim, list(keys), "left").select(*facts.columns, *values)
 
 
-def lookup_inner(facts: DataFrame, dim: DataFrame, keys: Sequence[str], hot: Hot | None = None) -> DataFrame:
+def lookup_inner(facts: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``lookup`` without the rows that found no match."""
     marked = dim.withColumn("__found", F.lit(True))
-    return lookup(facts, marked, keys, hot).filter("__found").drop("__found")
+    return lookup(facts, marked, keys).filter("__found").drop("__found")

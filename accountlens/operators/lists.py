@@ -1,57 +1,19 @@
-"""Lists in one cell per group, without gathering a whole group in one task."""
+"""Lists per group as long tables: one row for each value, so that no group is gathered in one task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def first_values(df: DataFrame, keys: Sequence[str], value: str, name: str,
-                 order: Sequence[Column], limit: int) -> DataFrame:
-    """(keys..., ``name``: array of the first ``limit`` values in order, ``name``_total: all rows).
-
-    The rank filter becomes a per-partition group limit: a group sends at most ``limit`` values
-    per map task to the shuffle, however large it is.
-    """
-    totals = df.groupBy(*keys).agg(F.count("*").alias(f"{name}_total"))
-    w = Window.partitionBy(*keys).orderBy(*order)
-    shown = (
-        df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= limit)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("__rn", F.col(value).alias("__value")))).alias("__values"))
-    )
-    values = F.transform("__values", lambda v: v["__value"])
-    return shown.join(totals, list(keys)).select(*keys, values.alias(name), f"{name}_total")
-
-
-def distinct_values(df: DataFrame, keys: Sequence[str], value: str | Column, name: str,
-                    limit: int) -> DataFrame:
-    """``first_values`` of the distinct non-null values in ascending order."""
+def listed(df: DataFrame, keys: Sequence[str], value: str | Column, name: str) -> DataFrame:
+    """(keys..., name): every distinct non-null value of every group."""
     value = F.col(value) if isinstance(value, str) else value
-    pairs = df.select(*keys, value.cast("string").alias("__v")).dropna().distinct()
-    return first_values(pairs, keys, "__v", name, [F.col("__v")], limit)
-
-
-def _as_text(lists: DataFrame, keys: Sequence[str], name: str, limit: int, sep: str) -> DataFrame:
-    more = F.col(f"{name}_total") - limit
-    note = F.when(more > 0, F.concat(F.lit(f"{sep}(+"), more.cast("string"), F.lit(" more)"))).otherwise("")
-    return lists.select(*keys, F.concat(F.array_join(name, sep), note).alias(name))
-
-
-def list_cell(df: DataFrame, keys: Sequence[str], value: str | Column, name: str,
-              limit: int, sep: str = ", ") -> DataFrame:
-    """Distinct sorted non-null values of every group as text: (keys..., name).
-
-    Groups without a value are absent, so a left join gives null. A group with more than
-    ``limit`` values shows the first ones and the number left out.
-    """
-    return _as_text(distinct_values(df, keys, value, name, limit), keys, name, limit, sep)
+    return df.select(*keys, value.alias(name)).filter(F.col(name).isNotNull()).distinct()
 
 
-def ordered_list_cell(df: DataFrame, keys: Sequence[str], value: str, name: str,
-                      order: Sequence[Column], limit: int, sep: str) -> DataFrame:
-    """Non-null values of every group as text in the given order, repeats kept."""
-    rows = df.filter(F.col(value).isNotNull())
-    return _as_text(first_values(rows, keys, value, name, order, limit), keys, name, limit, sep)
+def listed_in_order(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
+    """(keys..., order..., value): the non-null values of every group, repeats kept, beside what they are ordered by."""
+    return df.filter(F.col(value).isNotNull()).select(*keys, *[o for o in order if o not in keys], value)

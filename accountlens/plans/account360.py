@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.ladders import ladder, plan_of_rank
 from accountlens.functions.measures import any_true, as_of, count_if, days_before, truthy
-from accountlens.operators.dedupe import latest_per_key
-from accountlens.operators.lists import list_cell, ordered_list_cell
+from accountlens.operators.dedupe import sort_key
+from accountlens.operators.lists import listed, listed_in_order
 from accountlens.operators.rank import global_rank
 from accountlens.plans.activity import OBJECTS
 from accountlens.plans.adoption import account_members
@@ -22,21 +22,21 @@ _ZERO = ["product_orgs", "known_members", "active_members_in_lookback", "members
          "ui_members_proven", "sdk_members_proven", "objects_created_in_lookback", "automated_objects_in_lookback",
          "objects_origin_unknown_in_lookback", "external_companies_linked", "signals_in_lookback",
          "external_records_pending_review", "external_records_awaiting_confirmation", "signals_needing_review",
-         "actionable_signals"]
+         "actionable_signals", "technologies_detected"]
 
 COLUMNS = [
     "account_id", "account_name", "crm_domain", "crm_linkedin_slug", "ticker", "crm_identifier_gaps",
     "crm_domain_shared_with_other_account",
-    "product_orgs", "product_org_ids", "best_plan", "weakest_org_link_confidence", "has_unverified_org_link",
+    "product_orgs", "best_plan", "weakest_org_link_confidence", "has_unverified_org_link",
     "known_members", "active_members_in_lookback", "members_shared_with_other_accounts", "ui_adoption",
     "sdk_adoption", "sdk_evidence_level", "cli_adoption", "mcp_adoption", "ui_members_proven",
     "sdk_members_proven", "adoption_in_plain_english", "objects_created_in_lookback",
     "automated_objects_in_lookback", "objects_origin_unknown_in_lookback", "last_product_activity_at",
     "trace_gb_last_7d", "trace_growth_7d",
     "external_companies_linked", "signals_in_lookback", "latest_external_headline", "latest_external_signal_at",
-    "tech_stack", "external_records_pending_review", "external_records_awaiting_confirmation",
+    "technologies_detected", "external_records_pending_review", "external_records_awaiting_confirmation",
     "signals_needing_review",
-    "actionable_signals", "action_reasons", "priority_rank",
+    "actionable_signals", "top_action_reason", "priority_rank",
 ]
 
 
@@ -50,15 +50,11 @@ def _who(match_keys: DataFrame) -> DataFrame:
         gaps.alias("crm_identifier_gaps"), F.col("is_domain_shared").alias("crm_domain_shared_with_other_account"))
 
 
-def _orgs(org_accounts: DataFrame, cfg: Settings) -> list[DataFrame]:
-    mapped = org_accounts.filter(F.col("account_id").isNotNull())
-    return [
-        mapped.groupBy("account_id").agg(
-            F.count("*").alias("product_orgs"), F.max("plan_rank").alias("best_plan_rank"),
-            F.min("mapping_confidence").alias("weakest_org_link_confidence"),
-            any_true(F.col("resolution_status") == "resolved_low_confidence").alias("has_unverified_org_link")),
-        list_cell(mapped, ["account_id"], "org_id", "product_org_ids", cfg.list_limit),
-    ]
+def _orgs(org_accounts: DataFrame) -> DataFrame:
+    return org_accounts.filter(F.col("account_id").isNotNull()).groupBy("account_id").agg(
+        F.count("*").alias("product_orgs"), F.max("plan_rank").alias("best_plan_rank"),
+        F.min("mapping_confidence").alias("weakest_org_link_confidence"),
+        any_true(F.col("resolution_status") == "resolved_low_confidence").alias("has_unverified_org_link"))
 
 
 def _adoption(adoption: DataFrame) -> DataFrame:
@@ -94,59 +90,76 @@ def _shared_members(memberships: DataFrame, people: DataFrame) -> DataFrame:
     )
 
 
-def _happening(feed: DataFrame, signals: DataFrame, resolution: DataFrame, cfg: Settings) -> list[DataFrame]:
+def feed_by_account(feed: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """One pass over the feed: counts, the newest clear external headline, and the strongest reason to act."""
     day = F.col("occurred_at").cast("date")
     recent = (day > days_before(cfg, cfg.lookback_days)) & (day <= as_of(cfg))
-    reasons = feed.filter("is_actionable")
-    clear_external = feed.filter("signal_source = 'external' and not needs_review")
-    tech = signals.filter("signal_type = 'tech_detected' and resolution_status = 'resolved'")
-    return [
-        resolution.filter("resolution_status = 'resolved'").groupBy("account_id")
-        .agg(F.count("*").alias("external_companies_linked")),
-        feed.groupBy("account_id").agg(
-            count_if(~F.col("needs_review") & recent).alias("signals_in_lookback"),
-            count_if(F.col("is_actionable")).alias("actionable_signals"),
-            count_if(F.col("needs_review")).alias("signals_needing_review")),
-        latest_per_key(
-            clear_external.select("account_id", F.col("headline").alias("latest_external_headline"),
-                                  F.col("occurred_at").alias("latest_external_signal_at"), "signal_id"),
-            ["account_id"], "latest_external_signal_at", "signal_id").drop("signal_id"),
-        list_cell(tech, ["account_id"], "product_name", "tech_stack", cfg.list_limit),
-        # Strongest reason first, then the freshest.
-        ordered_list_cell(
-            reasons.select("account_id", F.col("headline").alias("action_reasons"), "signal_confidence",
-                           "occurred_at", "signal_id"),
-            ["account_id"], "action_reasons", "action_reasons",
-            [F.col("signal_confidence").desc_nulls_last(), F.col("occurred_at").desc_nulls_last(),
-             F.col("signal_id").asc_nulls_last()], cfg.list_limit, " | "),
-    ]
+    clear_external = (F.col("signal_source") == "external") & ~F.col("needs_review")
+    # Micro-seconds before now, so that the newest is the least; nulls come last in a sort key.
+    age = F.timestamp_diff("MICROSECOND", "occurred_at", F.lit("2100-01-01").cast("timestamp_ntz"))
+
+    def first(value: Column, where: Column, *order: Column) -> Column:
+        return F.min_by(value, F.when(where, sort_key(*order)))
+
+    return feed.groupBy("account_id").agg(
+        count_if(~F.col("needs_review") & recent).alias("signals_in_lookback"),
+        count_if(F.col("is_actionable")).alias("actionable_signals"),
+        count_if(F.col("needs_review")).alias("signals_needing_review"),
+        first(F.struct("headline", "occurred_at"), clear_external, age, F.col("signal_id")).alias("newest"),
+        first(F.col("headline"), F.col("is_actionable") & F.col("headline").isNotNull(), -F.col("signal_confidence"), age,
+              F.col("signal_id")).alias("top_action_reason"),
+    ).withColumns({"latest_external_headline": F.col("newest.headline"),
+                   "latest_external_signal_at": F.col("newest.occurred_at")}).drop("newest")
+
+
+def action_reasons(feed: DataFrame) -> DataFrame:
+    """(account_id, signal_confidence, occurred_at, signal_id, headline): every reason to act, beside what it is ranked by."""
+    return listed_in_order(feed.filter("is_actionable"), ["account_id"], "headline",
+                           ["signal_confidence", "occurred_at", "signal_id"])
+
+
+def _resolved_tech(signals: DataFrame) -> DataFrame:
+    return signals.filter("signal_type = 'tech_detected' and resolution_status = 'resolved'")
+
+
+def tech_stack(signals: DataFrame) -> DataFrame:
+    """(account_id, product_name): every technology detected at an account."""
+    return listed(_resolved_tech(signals), ["account_id"], "product_name", "product_name")
+
+
+def account_ranks(accounts: DataFrame, feed: DataFrame, trace_trend: DataFrame, scratch: Scratch) -> DataFrame:
+    """(account_id, priority_rank): more actionable signals first, then faster trace growth. Writes the rows it ranks, no more."""
+    actionable = feed.filter("is_actionable").groupBy("account_id").agg(F.count("*").alias("actionable_signals"))
+    rows = (accounts.select("account_id").join(actionable, "account_id", "left")
+            .join(trace_trend.select("account_id", "trace_growth_7d"), "account_id", "left")
+            .select("account_id", F.coalesce("actionable_signals", F.lit(0)).alias("actionable_signals"),
+                    F.coalesce("trace_growth_7d", F.lit(-1.0)).alias("growth")))
+    return global_rank(
+        rows, [F.col("actionable_signals").desc(), F.col("growth").desc(), F.col("account_id").asc_nulls_last()],
+        ["account_id", "actionable_signals", "growth"], "priority_rank", scratch,
+    ).select("account_id", "priority_rank")
 
 
 def account_360(match_keys: DataFrame, org_accounts: DataFrame, adoption: DataFrame, activity: DataFrame,
                 memberships: DataFrame, people: DataFrame, trace_trend: DataFrame, resolution: DataFrame,
-                signals: DataFrame, feed: DataFrame, review_queue: DataFrame, scratch: Scratch,
+                signals: DataFrame, feed: DataFrame, review_queue: DataFrame, ranks: DataFrame,
                 cfg: Settings = DEFAULTS) -> DataFrame:
-    """One row per CRM account, ranked: more actionable signals first, then faster trace growth.
+    """One row per CRM account. ``ranks`` is ``account_ranks``.
 
-    Each block is first brought to one row per account, so all joins are one row to one row on
-    ``account_id``. The rank is computed on its three columns and joined back.
+    Each block is first brought to one row per account, so all joins are one row to one row on ``account_id``.
     """
     blocks = [
-        *_orgs(org_accounts, cfg), _adoption(adoption), _usage(activity),
-        _shared_members(memberships, people),
+        _orgs(org_accounts), _adoption(adoption), _usage(activity), _shared_members(memberships, people),
         trace_trend.select("account_id", "trace_gb_last_7d", "trace_growth_7d"),
         review_queue,
-        *_happening(feed, signals, resolution, cfg),
+        resolution.filter("resolution_status = 'resolved'").groupBy("account_id")
+        .agg(F.count("*").alias("external_companies_linked")),
+        feed_by_account(feed, cfg),
+        _resolved_tech(signals).groupBy("account_id").agg(F.countDistinct("product_name").alias("technologies_detected")),
+        ranks,
     ]
     assembled = reduce(lambda a, b: a.join(b, "account_id", "left"), blocks, _who(match_keys)).fillna(0, _ZERO)
-    assembled = scratch.save(assembled, "account_360")
-    growth = F.coalesce("trace_growth_7d", F.lit(-1.0))
-    ranks = global_rank(
-        assembled.select("account_id", "actionable_signals", growth.alias("growth")),
-        [F.col("actionable_signals").desc(), F.col("growth").desc(), F.col("account_id").asc_nulls_last()],
-        ["account_id", "actionable_signals", "growth"], "priority_rank", scratch,
-    ).select("account_id", "priority_rank")
-    return assembled.join(ranks, "account_id").withColumns({
+    return assembled.withColumns({
         "best_plan": plan_of_rank(F.col("best_plan_rank")),
         "has_unverified_org_link": truthy(F.col("has_unverified_org_link")),
     }).select(*COLUMNS)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.measures import one_decimal, small_list
-from accountlens.operators.joins import hot_keys, lookup_inner
+from accountlens.operators.joins import lookup_inner
 from accountlens.plans.members import automated, intent
 
 COLUMNS = ["signal_id", "account_id", "signal_source", "signal_type", "occurred_at", "headline",
@@ -99,6 +99,5 @@ def account_signals(signals: DataFrame, trace_trend: DataFrame, org_accounts: Da
         intent_branch(recent, cfg),
     ])
     # Only the external branch can have many rows per account.
-    [hot] = hot_keys(signals, ["account_id"], min_rows=cfg.hot_key_rows)
-    named = lookup_inner(feed, accounts, ["account_id"], hot)
+    named = lookup_inner(feed, accounts, ["account_id"])
     return named.select("signal_id", "account_id", "account_name", *COLUMNS[2:])

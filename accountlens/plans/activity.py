@@ -12,7 +12,7 @@ from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.ladders import ci_author, ci_flag, ci_source, is_ci, ladder
 from accountlens.functions.measures import in_lookback, truthy
 from accountlens.operators.dedupe import keep_first
-from accountlens.operators.joins import hot_keys, lookup
+from accountlens.operators.joins import lookup
 
 OBJECTS = ("experiment", "dataset", "prompt")
 RESOLVED = ("resolved", "resolved_low_confidence")
@@ -158,8 +158,7 @@ def product_activity(events: DataFrame, projects: DataFrame, identity: DataFrame
     """One row per event with its place, person, evidence grade and account.
 
     Objects follow the org of their project, keys their own org, browser events the
-    account of a person who has only one. ``events`` is ``classified_events``, written out first:
-    it is read for the join and for counting hot keys.
+    account of a person who has only one. ``events`` is ``classified_events``.
     """
     events = events.withColumn("place", F.coalesce(
         F.concat(F.lit("project:"), F.col("project_id")), F.concat(F.lit("org:"), F.col("direct_org_id"))))
@@ -167,13 +166,12 @@ def product_activity(events: DataFrame, projects: DataFrame, identity: DataFrame
         "person_id", F.col("account_id").alias("person_account_id"),
         F.col("resolution_status").alias("person_status"), F.col("account_confidence").alias("person_confidence"))
     logins = identity.select("user_id", "person_id").join(person, "person_id", "left")
-    hot_users, hot_places = hot_keys(events, ["user_id"], ["place"], min_rows=cfg.hot_key_rows)
     rules = surface_rules.select("signal_code", "surface", "evidence_kind", "attribution", "confidence_score")
 
-    located = lookup(events, _places(projects, org_accounts), ["place"], hot_places)
+    located = lookup(events, _places(projects, org_accounts), ["place"])
     joined = (
-        lookup(located, logins, ["user_id"], hot_users)
-        .join(F.broadcast(rules), "signal_code", "left")
+        lookup(located, logins, ["user_id"])
+        .join(rules, "signal_code", "left")
         .withColumn("org_id", F.coalesce("place_org_id", "direct_org_id"))
     )
     has_org = F.col("org_id").isNotNull()

@@ -152,7 +152,7 @@ RESOLVED_CHECKS = (
     + combination("match_keys", "entity_type", "entity_id")
     + holds("match_keys", "every_entity_keeps_its_identity", "entity_id IS NOT NULL AND entity_name IS NOT NULL")
     + accepted("match_keys", "entity_type", ["account", "company"])
-    + combination("candidates", "company_id", "match_method", "account_id")
+    + combination("candidates", "company_id", "match_method")
     + same_rows("companies", "stg_signal_companies")
     + holds("companies", "resolved_has_account_method_and_confidence",
             "resolution_status <> 'resolved' OR (account_id IS NOT NULL AND match_method IS NOT NULL "

@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.measures import count_if
 from accountlens.operators.dedupe import latest_per_key
-from accountlens.operators.joins import hot_keys, lookup
+from accountlens.operators.joins import lookup
 
 
-def signal_companies(resolution: DataFrame, signals: DataFrame, accounts: DataFrame,
-                     cfg: Settings = DEFAULTS) -> DataFrame:
+def signal_companies(resolution: DataFrame, signals: DataFrame, accounts: DataFrame) -> DataFrame:
     """Every external company, resolved or not, with the names of both accounts it may point at."""
     counts = signals.filter(F.col("company_id").isNotNull()).groupBy("company_id").agg(
         F.count("*").alias("signals_total"), count_if(F.col("is_in_lookback")).alias("signals_in_lookback"),
@@ -20,15 +18,12 @@ def signal_companies(resolution: DataFrame, signals: DataFrame, accounts: DataFr
         F.max("occurred_at").alias("latest_signal_at"))
     hinted = accounts.select(F.col("account_id").alias("name_match_account_id"),
                              F.col("account_name").alias("name_match_account_name"))
-    hot_account, hot_hint = hot_keys(resolution, ["account_id"], ["name_match_account_id"],
-                                     min_rows=cfg.hot_key_rows)
-    named = lookup(resolution, accounts, ["account_id"], hot_account)
-    named = lookup(named, hinted, ["name_match_account_id"], hot_hint)
+    named = lookup(lookup(resolution, accounts, ["account_id"]), hinted, ["name_match_account_id"])
     tallies = ["signals_total", "signals_in_lookback", "signals_entity_mismatch"]
     return named.join(counts, "company_id", "left").fillna(0, tallies).select(
         "company_id", "company_name", "website_domain", "linkedin_slug", "linkedin_domain", "resolution_status",
         "account_id", "account_name", "match_method", "match_confidence", "is_conflict", "keys_matched",
-        "keys_agreeing", "match_evidence", "candidate_account_ids", "name_match_account_id",
+        "keys_agreeing", "match_evidence", "name_match_account_id",
         "name_match_account_name", "name_agrees_with_match", "needs_review", "is_website_shared_in_feed",
         "next_action", *tallies, "latest_signal_at")
 

@@ -11,7 +11,7 @@ from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.keys import folded
 from accountlens.functions.measures import any_true, in_lookback
 from accountlens.operators.dedupe import keep_first
-from accountlens.operators.joins import hot_keys, lookup
+from accountlens.operators.joins import lookup
 
 COLUMNS = ["signal_id", "source_record_id", "company_id", "signal_family", "signal_type", "headline",
            "product_name", "occurred_at", "vendor_confidence", "source_url"]
@@ -69,14 +69,15 @@ def repeated_launches(signals: DataFrame) -> DataFrame:
     )
 
 
-def external_signals(news: DataFrame, products: DataFrame, tech: DataFrame, match_keys: DataFrame,
-                     resolution: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+def external_signals(signals: DataFrame, match_keys: DataFrame, resolution: DataFrame,
+                     cfg: Settings = DEFAULTS) -> DataFrame:
     """One row per distinct signal, with the company's resolution.
 
+    ``signals`` is ``one_stream``, written before: it is read for the records and for their repeats.
+
     A detection that repeats a launch gives way to the news row, which is marked as corroborated.
     A headline that does not contain the company's leading name word is flagged.
     """
-    signals = one_stream(news, products, tech)
     identified = signals.filter(F.col("signal_id").isNotNull())
     marked = identified.join(repeated_launches(identified), "signal_id", "left")
     kept = marked.filter(~(F.expr(_DETECTED) & F.col("repeat").isNotNull()))
@@ -90,8 +91,7 @@ def external_signals(news: DataFrame, products: DataFrame, tech: DataFrame, matc
         .join(resolution.select("company_id", "account_id", "resolution_status", "match_method",
                                 "match_confidence", "needs_review"), "company_id", "left")
     )
-    [hot] = hot_keys(signals, ["company_id"], min_rows=cfg.hot_key_rows)
-    joined = lookup(unique, companies, ["company_id"], hot)
+    joined = lookup(unique, companies, ["company_id"])
     tested = (F.col("signal_family") == "news") & F.coalesce("name_token_is_specific", F.lit(False))
     squeezed = F.replace(F.lower("headline"), F.lit(" "), F.lit(""))
     return joined.select(

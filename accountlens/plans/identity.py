@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.keys import email_domain, folded
 from accountlens.functions.ladders import is_automation_named, is_cli_named, ladder
 from accountlens.functions.measures import count_if
 from accountlens.operators.dedupe import keep_first, sort_key
-from accountlens.operators.joins import hot_keys, lookup, lookup_inner
-from accountlens.operators.lists import list_cell
+from accountlens.operators.joins import lookup, lookup_inner
 
 
-def resolve_user_identity(users: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+def resolve_user_identity(users: DataFrame) -> DataFrame:
     """One row per login. Logins with exactly the same e-mail are one person: the earliest login.
 
     The earliest login and the size of each group come from an aggregate that is combined before
@@ -29,8 +27,7 @@ def resolve_user_identity(users: DataFrame, cfg: Settings = DEFAULTS) -> DataFra
         F.min_by("user_id", sort_key("created_at", "user_id")).alias("person_id"),
         F.count("*").alias("logins_for_person"),
     )
-    [hot] = hot_keys(keyed, ["person_key"], min_rows=cfg.hot_key_rows)
-    return lookup(logins, people, ["person_key"], hot).select(
+    return lookup(logins, people, ["person_key"]).select(
         "user_id", "person_id", "email", "email_normalized", "email_domain", "created_at",
         "logins_for_person",
         (F.col("logins_for_person") > 1).alias("is_duplicate_login"),
@@ -40,13 +37,11 @@ def resolve_user_identity(users: DataFrame, cfg: Settings = DEFAULTS) -> DataFra
     )
 
 
-def build_memberships(members: DataFrame, identity: DataFrame, org_accounts: DataFrame,
-                      cfg: Settings = DEFAULTS) -> DataFrame:
+def build_memberships(members: DataFrame, identity: DataFrame, org_accounts: DataFrame) -> DataFrame:
     """One row per person and org, with the account the org resolved to."""
     per_login = members.groupBy("user_id", "org_id").agg(
         F.min("member_created_at").alias("since"), F.count("*").alias("rows"))
-    hot_users, hot_orgs = hot_keys(members, ["user_id"], ["org_id"], min_rows=cfg.hot_key_rows)
-    people = lookup_inner(per_login, identity.select("user_id", "person_id"), ["user_id"], hot_users)
+    people = lookup_inner(per_login, identity.select("user_id", "person_id"), ["user_id"])
     memberships = people.groupBy("person_id", "org_id").agg(
         F.min("since").alias("first_member_created_at"),
         F.sum("rows").alias("logins_in_org"),
@@ -54,11 +49,10 @@ def build_memberships(members: DataFrame, identity: DataFrame, org_accounts: Dat
     orgs = org_accounts.select(
         "org_id", "account_id",
         F.col("resolution_status").alias("org_resolution_status"), "mapping_confidence")
-    return lookup(memberships, orgs, ["org_id"], hot_orgs)
+    return lookup(memberships, orgs, ["org_id"])
 
 
-def resolve_member_accounts(identity: DataFrame, memberships: DataFrame,
-                            cfg: Settings = DEFAULTS) -> DataFrame:
+def resolve_member_accounts(identity: DataFrame, memberships: DataFrame) -> DataFrame:
     """One row per person. An account only when all their orgs lead to that one account."""
     people = identity.groupBy("person_id").agg(
         F.max("email_normalized").alias("email"),
@@ -75,9 +69,6 @@ def resolve_member_accounts(identity: DataFrame, memberships: DataFrame,
         F.lit(True).alias("is_member"),
     )
 
-    def cell(df: DataFrame, column: str, name: str) -> DataFrame:
-        return list_cell(df, ["person_id"], column, name, cfg.list_limit)
-
     decided = (F.col("accounts") == 1) & (F.col("unmapped_orgs") == 0)
     status = ladder(
         (F.col("is_member").isNull(), "no_membership"),
@@ -87,15 +78,11 @@ def resolve_member_accounts(identity: DataFrame, memberships: DataFrame,
         otherwise="resolved",
     )
     return (
-        people
-        .join(cell(identity, "user_id", "user_ids"), "person_id", "left")
-        .join(footprint, "person_id", "left")
-        .join(cell(memberships, "org_id", "org_ids"), "person_id", "left")
-        .join(cell(memberships, "account_id", "candidate_account_ids"), "person_id", "left")
+        people.join(footprint, "person_id", "left")
         .select(
-            "person_id", "email", "email_domain", "login_count", "user_ids", "first_login_created_at",
-            F.coalesce("orgs", F.lit(0)).alias("org_count"), "org_ids",
-            F.coalesce("accounts", F.lit(0)).alias("account_count"), "candidate_account_ids",
+            "person_id", "email", "email_domain", "login_count", "first_login_created_at",
+            F.coalesce("orgs", F.lit(0)).alias("org_count"),
+            F.coalesce("accounts", F.lit(0)).alias("account_count"),
             F.when(decided, F.col("one_account")).alias("account_id"),
             F.when(decided, F.col("weakest_link")).alias("account_confidence"),
             (F.coalesce("unmapped_orgs", F.lit(0)) > 0).alias("has_unmapped_org"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from accountlens.config import DEFAULTS, Settings
 from accountlens.functions import keys as K
-from accountlens.operators.joins import hot_keys, lookup
+from accountlens.operators.joins import lookup
 
 
 def entities(accounts: DataFrame, companies: DataFrame) -> DataFrame:
@@ -24,14 +24,10 @@ def entities(accounts: DataFrame, companies: DataFrame) -> DataFrame:
     return account_side.unionByName(company_side)
 
 
-def build_match_keys(accounts: DataFrame, companies: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    """One row per entity. A key is shared when two entities of one side have it.
-
-    Group sizes are counted by a combining aggregate over non-null keys and looked up again, so
-    neither null nor a very common key forms a group in one task.
-    """
+def normalised_entities(accounts: DataFrame, companies: DataFrame) -> DataFrame:
+    """One row per entity with its keys. Written before ``build_match_keys``, which reads it three times."""
     name = F.col("entity_name")
-    base = entities(accounts, companies).select(
+    return entities(accounts, companies).select(
         "entity_type", "entity_id", "entity_name",
         K.domain_key(F.col("website")).alias("domain_key"),
         K.domain_key(F.col("second_domain")).alias("second_domain_key"),
@@ -42,15 +38,21 @@ def build_match_keys(accounts: DataFrame, companies: DataFrame, cfg: Settings =
         K.ticker_exchange(F.col("ticker")).alias("ticker_exchange"),
         K.ticker_symbol(F.col("ticker")).alias("ticker_symbol"),
     )
-    keyed = base
-    shared_keys = [("domain_key", "is_domain_shared"), ("linkedin_slug", "is_linkedin_shared")]
-    hot = hot_keys(base, *[["entity_type", key] for key, _ in shared_keys], min_rows=cfg.hot_key_rows)
-    for (key, flag), hot_values in zip(shared_keys, hot, strict=True):
+
+
+def build_match_keys(normalised: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """One row per entity. A key is shared when two entities of one side have it.
+
+    Group sizes are counted by a combining aggregate over non-null keys and looked up again, so
+    neither null nor a very common key forms a group in one task.
+    """
+    keyed = normalised
+    for key, flag in (("domain_key", "is_domain_shared"), ("linkedin_slug", "is_linkedin_shared")):
         shared = (
-            base.filter(F.col(key).isNotNull()).groupBy("entity_type", key)
+            normalised.filter(F.col(key).isNotNull()).groupBy("entity_type", key)
             .agg((F.count("*") > 1).alias(flag)).filter(flag)
         )
-        keyed = lookup(keyed, shared, ["entity_type", key], hot_values)
+        keyed = lookup(keyed, shared, ["entity_type", key])
     return keyed.select(
         "entity_type", "entity_id", "entity_name", "domain_key", "second_domain_key", "linkedin_slug",
         "name_key", "name_first_token",

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.ladders import ladder
 from accountlens.functions.measures import any_true, count_if, small_list
-from accountlens.operators.lists import list_cell
 
 # Surfaces in reading order, and what can be seen of each.
 SURFACES = [
@@ -97,8 +95,7 @@ def member_surface_activity(people: DataFrame, activity: DataFrame) -> DataFrame
     )
 
 
-def members(people: DataFrame, surface_activity: DataFrame, api_keys: DataFrame,
-            cfg: Settings = DEFAULTS) -> DataFrame:
+def members(people: DataFrame, surface_activity: DataFrame, api_keys: DataFrame) -> DataFrame:
     """One row per person; surface columns show what the person did, not what ran under their key."""
     def on(surface: str, column: str) -> Column:
         return F.max(F.when(F.col("surface") == surface, F.col(column)))
@@ -122,23 +119,22 @@ def members(people: DataFrame, surface_activity: DataFrame, api_keys: DataFrame,
     owned = api_keys.filter(F.col("person_id").isNotNull())
     keys = owned.groupBy("person_id").agg(
         F.count("*").alias("api_key_count"), any_true(F.col("is_automation_named")).alias("has_automation_named_key"))
-    names = list_cell(owned, ["person_id"], "key_name", "api_key_names", cfg.list_limit)
     human = F.col("human_usage_events") > 0
     kind = ladder(
         ((F.col("automated_usage_events") > 0) & ~human & (F.col("objects_origin_unknown") == 0),
          "automation_identity"),
         (human, "human"), otherwise="undetermined")
     return (
-        people.join(pivoted, "person_id", "left").join(keys, "person_id", "left").join(names, "person_id", "left")
+        people.join(pivoted, "person_id", "left").join(keys, "person_id", "left")
         .select(
-            "person_id", "email", "email_domain", "login_count", "user_ids",
-            (F.col("login_count") > 1).alias("has_duplicate_logins"), "org_ids", "account_id",
+            "person_id", "email", "email_domain", "login_count",
+            (F.col("login_count") > 1).alias("has_duplicate_logins"), "org_count", "account_count", "account_id",
             "account_confidence", F.col("resolution_status").alias("account_resolution_status"),
-            "candidate_account_ids", kind.alias("member_type"),
+            kind.alias("member_type"),
             "ui_evidence", "sdk_evidence", "cli_evidence", "mcp_evidence", "sdk_evidence_any_actor",
             "sdk_usage_actor", "ui_page_views", "sdk_objects", "objects_origin_unknown",
             "cli_mcp_intent_events", "human_usage_events", "automated_usage_events", "events_in_lookback",
-            "last_seen_at", F.coalesce("api_key_count", F.lit(0)).alias("api_key_count"), "api_key_names",
+            "last_seen_at", F.coalesce("api_key_count", F.lit(0)).alias("api_key_count"),
             F.coalesce("has_automation_named_key", F.lit(False)).alias("has_automation_named_key"),
         )
     )

@@ -9,7 +9,6 @@ from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.ladders import ladder, plan_rank
 from accountlens.operators.dedupe import keep_first, sort_key
 from accountlens.operators.joins import lookup
-from accountlens.operators.lists import list_cell
 
 
 def org_links(account_org_map: DataFrame, accounts: DataFrame, rules: DataFrame,
@@ -17,7 +16,7 @@ def org_links(account_org_map: DataFrame, accounts: DataFrame, rules: DataFrame,
     """One row per (org, account): its best link source and whether the CRM knows the account."""
     graded = (
         account_org_map.withColumn("mapping_source", F.lower("mapping_source"))
-        .join(F.broadcast(rules.select("mapping_source", "confidence_score", "precedence")),
+        .join(rules.select("mapping_source", "confidence_score", "precedence"),
               "mapping_source", "left")
         .select(
             "org_id", "account_id", "mapping_source",
@@ -42,7 +41,6 @@ def resolve_org_accounts(organizations: DataFrame, account_org_map: DataFrame, a
         F.min_by(F.struct("account_id", "mapping_source", "mapping_confidence", "in_crm"),
                  sort_key("precedence", "account_id")).alias("best"),
     )
-    names = list_cell(links, ["org_id"], "account_id", "candidate_account_ids", cfg.list_limit)
     single = F.col("candidates") == 1
     status = ladder(
         (F.col("candidates").isNull(), "unmapped"),
@@ -51,13 +49,12 @@ def resolve_org_accounts(organizations: DataFrame, account_org_map: DataFrame, a
         (F.col("best.mapping_confidence") < cfg.low_confidence_below, "resolved_low_confidence"),
         otherwise="resolved",
     )
-    return orgs.join(per_org, "org_id", "left").join(names, "org_id", "left").select(
+    return orgs.join(per_org, "org_id", "left").select(
         "org_id", "org_name", "plan", plan_rank(F.col("plan")).alias("plan_rank"), "created_at",
         F.when(single & F.col("best.in_crm"), F.col("best.account_id")).alias("account_id"),
         F.when(single, F.col("best.mapping_source")).alias("mapping_source"),
         F.when(single, F.col("best.mapping_confidence")).alias("mapping_confidence"),
         F.coalesce("candidates", F.lit(0)).alias("candidate_account_count"),
-        "candidate_account_ids",
         (F.coalesce("candidates", F.lit(0)) > 1).alias("is_ambiguous"),
         status.alias("resolution_status"),
     )

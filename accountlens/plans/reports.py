@@ -27,15 +27,12 @@ def cli_answer(adoption: DataFrame) -> DataFrame:
     )
 
 
-# Longer values are compared by digest, so that long texts do not travel through the shuffle.
-_DIGEST_OVER = 64
-
-
 def column_profile(df: DataFrame, table: str) -> DataFrame:
     """Per column: type, rows, populated, null or blank, distinct, and whether it is a key.
 
     The table is unpivoted and counted per (column, value) first; equal values are combined before
-    the shuffle and no column's values meet in one task. An empty table has no rows here.
+    the shuffle and no column's values meet in one task. Values travel as digests, whatever their length.
+    An empty table has no rows here.
     """
     def text(c: str, dtype: str) -> Column:
         # Adding zero makes -0.0 and 0.0 the same text.
@@ -49,7 +46,7 @@ def column_profile(df: DataFrame, table: str) -> DataFrame:
         df.select(F.explode(cells).alias("cell"))
         .select("cell.column_name", "cell.data_type", value.isNull().alias("is_null"),
                 (value.isNull() | (F.trim(value) == "")).alias("is_blank"),
-                F.when(F.length(value) > _DIGEST_OVER, F.sha2(value, 256)).otherwise(value).alias("v"))
+                F.sha2(value, 256).alias("v"))
         .groupBy("column_name", "data_type", "is_null", "is_blank", "v").agg(F.count("*").alias("n"))
     )
     filled = ~F.col("is_null")
@@ -102,7 +99,7 @@ def totals(activity: DataFrame, profile: DataFrame) -> DataFrame:
 EXTRACTS: dict[str, tuple[str, list[str], list[str]]] = {
     "org": ("orgs", ["org_id", "plan", "-account_id", "-mapping_source", "-mapping_confidence",
                      "resolution_status"], ["org_id"]),
-    "people": ("people", ["person_id", "email", "-org_ids", "-account_id", "-account_confidence",
+    "people": ("people", ["person_id", "email", "org_count", "-account_id", "-account_confidence",
                           "resolution_status", "login_count"], ["person_id"]),
     "companies": ("companies", ["company_id", "company_name", "resolution_status", "-account_id", "-match_method",
                                 "match_confidence", "needs_review", "next_action", "keys_matched",
@@ -110,7 +107,7 @@ EXTRACTS: dict[str, tuple[str, list[str], list[str]]] = {
                                 "name_match_account_id", "name_key"], ["company_id"]),
     "members": ("members", ["person_id", "email", "-account_id", "member_type", "ui_evidence", "sdk_evidence",
                             "-sdk_evidence_any_actor", "cli_evidence", "mcp_evidence", "human_usage_events",
-                            "automated_usage_events", "-api_key_names"], ["person_id"]),
+                            "automated_usage_events", "api_key_count"], ["person_id"]),
     "adoption": ("adoption", ["account_id", "surface", "surface_order", "usage_is_measurable", "known_members",
                               "members_usage_proven", "members_intent_only", "members_automation_only",
                               "account_evidence_status", "evidence_level", "pct_members_usage_proven",
@@ -120,7 +117,7 @@ EXTRACTS: dict[str, tuple[str, list[str], list[str]]] = {
                                     "-sdk_evidence_level", "-cli_adoption", "-mcp_adoption", "trace_gb_last_7d",
                                     "trace_growth_7d", "actionable_signals", "signals_needing_review",
                                     "external_records_pending_review",
-                                    "external_records_awaiting_confirmation", "action_reasons",
+                                    "external_records_awaiting_confirmation", "top_action_reason",
                                     "-crm_identifier_gaps"], ["priority_rank"]),
     "signals": ("feed", ["signal_id", "account_id", "signal_source", "signal_type", "occurred_at", "headline",
                          "signal_confidence", "attribution", "attribution_confidence", "is_actionable",

@@ -15,8 +15,7 @@ from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.ladders import ladder
 from accountlens.functions.measures import truthy
 from accountlens.operators.dedupe import sort_key
-from accountlens.operators.joins import hot_keys, lookup
-from accountlens.operators.lists import first_values
+from accountlens.operators.joins import lookup
 
 KEY = ["key_type", "key_value"]
 
@@ -51,52 +50,35 @@ def company_keys(match_keys: DataFrame) -> DataFrame:
     return _long(match_keys.filter("entity_type = 'company'"), "company_id", entries).distinct()
 
 
-def key_groups(keys: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    """One row per account key value: number of accounts, the account when it is one, and their ids.
+def key_groups(keys: DataFrame) -> DataFrame:
+    """One row per account key value: number of accounts, and the account when it is one."""
+    sizes = keys.groupBy(*KEY).agg(F.count("*").alias("accounts_for_key"), F.min("account_id").alias("one"))
+    return sizes.select(*KEY, "accounts_for_key", F.when(F.col("accounts_for_key") == 1, F.col("one")).alias("sole_account"))
 
-    ``accounts`` holds the ids of small groups, and of a large group the first
-    ``accounts_listed_per_key``; ``account_keys`` holds all of them.
-    """
-    sizes = first_values(keys, KEY, "account_id", "accounts", [F.col("account_id")],
-                         cfg.accounts_listed_per_key)
-    return sizes.select(
-        *KEY, F.col("accounts_total").alias("accounts_for_key"),
-        F.when(F.col("accounts_total") == 1, F.col("accounts")[0]).alias("sole_account"),
-        "accounts",
-    )
 
-
-def matched_keys(match_keys: DataFrame, rules: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+def matched_keys(match_keys: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per company and method that matched at least one account."""
-    probes = company_keys(match_keys)
-    groups = key_groups(account_keys(match_keys), cfg)
-    [hot] = hot_keys(probes, KEY, min_rows=cfg.hot_key_rows)
     return (
-        lookup(probes, groups, KEY, hot)
+        lookup(company_keys(match_keys), key_groups(account_keys(match_keys)), KEY)
         .filter(F.col("accounts_for_key").isNotNull())
-        .join(F.broadcast(rules.select("match_method", "precedence", "base_confidence", "can_resolve")),
-              "match_method")
+        .join(rules.select("match_method", "precedence", "base_confidence", "can_resolve"), "match_method")
         .select(
             "company_id", "match_method", F.col("key_value").alias("matched_value"), "key_type",
             "precedence", "base_confidence", "can_resolve", "accounts_for_key",
-            (F.col("accounts_for_key") == 1).alias("is_unique_for_key"), "sole_account", "accounts",
+            (F.col("accounts_for_key") == 1).alias("is_unique_for_key"), "sole_account",
         )
     )
 
 
-def match_candidates(matched: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    """One row per company, method and account.
+def match_candidates(matched: DataFrame) -> DataFrame:
+    """One row per company and method: the key, how many accounts have it, and the account when it is one.
 
-    A key of more than ``accounts_listed_per_key`` accounts stays one row with a null account: every
-    such pair can be had by joining ``company_keys`` to ``account_keys``, and writing them
-    all out would square a popular key.
+    The accounts of a shared key stand in ``account_keys``, one row each; the two tables joined on the
+    key are all company-account pairs, whose number grows with the square of a popular key.
     """
-    crowded = F.col("accounts_for_key") > cfg.accounts_listed_per_key
-    accounts = F.when(crowded, F.array(F.lit(None).cast("string"))).otherwise(F.col("accounts"))
     return matched.select(
-        "company_id", "match_method", "matched_value", F.explode(accounts).alias("account_id"),
-        "precedence", "base_confidence", "can_resolve", "accounts_for_key", "is_unique_for_key",
-    )
+        "company_id", "match_method", "key_type", "matched_value", "precedence", "base_confidence", "can_resolve",
+        "accounts_for_key", "is_unique_for_key", "sole_account")
 
 
 def _supported(deciding: DataFrame, keys: DataFrame) -> DataFrame:
@@ -116,20 +98,12 @@ def _supported(deciding: DataFrame, keys: DataFrame) -> DataFrame:
         .otherwise(F.coalesce("in_group", F.lit(False))))
 
 
-def _evidence(deciding: DataFrame, cfg: Settings) -> dict[str, Column]:
-    """Per company at most three keys, each with a bounded array of accounts."""
-    left_out = F.greatest(F.col("accounts_for_key") - cfg.accounts_listed_per_key, F.lit(0))
-    lines = F.transform("accounts", lambda a: F.concat("match_method", F.lit("="), "matched_value", F.lit(" -> "), a))
-    note = F.when(left_out > 0, F.array(F.concat(
-        "match_method", F.lit("="), "matched_value", F.lit(" -> (+"), left_out.cast("string"), F.lit(" more)"))))
-    lines = F.concat(lines, F.coalesce(note, F.array().cast("array<string>")))
-    ids = F.array_distinct(F.flatten(F.collect_list("accounts")))
-    return {
-        "match_evidence": F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(lines)))), ", "),
-        "candidate_account_ids": F.concat(
-            F.array_join(F.array_sort(ids), ", "),
-            F.when(F.max(left_out) > 0, ", (more)").otherwise("")),
-    }
+def _evidence() -> Column:
+    """The keys of a company, at most three, each with its account or the number of accounts that share it."""
+    accounts = F.when(F.col("is_unique_for_key"), F.col("sole_account")).otherwise(
+        F.concat(F.col("accounts_for_key").cast("string"), F.lit(" accounts")))
+    line = F.concat("match_method", F.lit("="), "matched_value", F.lit(" -> "), accounts)
+    return F.array_join(F.array_sort(F.collect_set(line)), ", ")
 
 
 def resolve_companies(match_keys: DataFrame, matched: DataFrame, keys: DataFrame,
@@ -169,7 +143,7 @@ def resolve_companies(match_keys: DataFrame, matched: DataFrame, keys: DataFrame
         F.max("winning_method").alias("winning_method"),
         F.max("winning_confidence").alias("winning_confidence"),
         F.lit(True).alias("is_matched"),
-        *[c.alias(n) for n, c in _evidence(checked, cfg).items()],
+        _evidence().alias("match_evidence"),
     )
     hints = matched.filter("match_method = 'company_name' and is_unique_for_key").select(
         "company_id", F.col("sole_account").alias("name_match_account_id"))
@@ -209,7 +183,7 @@ def resolve_companies(match_keys: DataFrame, matched: DataFrame, keys: DataFrame
         (resolved & contradicts).alias("needs_review"),
         (F.col("resolution_status") == "conflict").alias("is_conflict"),
         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("keys_matched", "keys_agreeing", "unique_keys_agreeing")],
-        "match_evidence", "candidate_account_ids", "name_match_account_id",
+        "match_evidence", "name_match_account_id",
         F.when(resolved, truthy(F.col("name_match_account_id") == F.col("winner"))).alias("name_agrees_with_match"),
         "is_website_shared_in_feed",
         action.alias("next_action"),

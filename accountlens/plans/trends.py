@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.measures import as_of, count_if, days_before, safe_ratio, truthy
-from accountlens.operators.lists import list_cell
 
 
 def org_trace_trend(trace_volume: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
@@ -42,6 +41,12 @@ def org_trace_trend(trace_volume: DataFrame, cfg: Settings = DEFAULTS) -> DataFr
     )
 
 
+def tracing_orgs(org_trend: DataFrame, org_accounts: DataFrame) -> DataFrame:
+    """(account_id, org_id): the orgs of an account that send traces."""
+    mapped = org_accounts.filter(F.col("account_id").isNotNull()).select("org_id", "account_id")
+    return mapped.join(org_trend.select("org_id"), "org_id").select("account_id", "org_id")
+
+
 def account_trace_trend(org_trend: DataFrame, org_accounts: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """One row per account with a tracing org. The only place account growth is computed."""
     mapped = org_accounts.filter(F.col("account_id").isNotNull()).select("org_id", "account_id")
@@ -53,11 +58,10 @@ def account_trace_trend(org_trend: DataFrame, org_accounts: DataFrame, cfg: Sett
         F.sum("gb_last_day").alias("gb_last_day"),
         F.max("last_day").alias("last_day"),
     )
-    names = list_cell(joined, ["account_id"], "org_id", "org_ids_sending_traces", cfg.list_limit)
     gained = F.col("gb_last_day") - F.col("gb_baseline_day")
     growth = F.when(F.col("gb_baseline_day") > 0, gained / F.col("gb_baseline_day"))
-    return totals.join(names, "account_id", "left").select(
-        "account_id", "orgs_sending_traces", "org_ids_sending_traces", "trace_gb_last_7d",
+    return totals.select(
+        "account_id", "orgs_sending_traces", "trace_gb_last_7d",
         "gb_baseline_day", "gb_last_day", "last_day",
         safe_ratio(gained, F.col("gb_baseline_day")).alias("trace_growth_7d"),
         truthy(growth >= cfg.usage_surge_threshold).alias("is_usage_surge"),

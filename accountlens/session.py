@@ -6,7 +6,9 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: str = "*", app: str = "accountlens", memory: str = "12g",
-                  shuffle_partitions: int = 8, warehouse: str | None = None) -> SparkSession:
+                  shuffle_partitions: int = 8, warehouse: str | None = None,
+                  shared: str | None = None) -> SparkSession:
+    """``shared``: the folder for tables in between, ``spark.checkpoint.dir``."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -17,7 +19,10 @@ def local_session(cores: str = "*", app: str = "accountlens", memory: str = "12g
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     if warehouse:
         builder = builder.config("spark.sql.warehouse.dir", warehouse)
     spark = builder.getOrCreate()

@@ -1,6 +1,6 @@
 """The 18 delivered tables: schema as delivered, and one staging projection each.
 
-Every source column arrives as text. Staging trims it, turns blanks into null, renames and casts;
+Every delivered column arrives as text; a landed table may have typed ones. Staging trims text, turns blanks into null, renames and casts;
 it holds no business rule. JSON is opened here and nowhere else.
 """
 
@@ -68,10 +68,15 @@ def clean(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
-def _target(spec: str) -> Column:
+def _target(spec: str, schema: T.StructType) -> Column:
+    """A staged column. A source column that already has a target type other than text is taken as it is, so that
+    filters on it reach the scan."""
     spec, _, kind = spec.partition(":")
     name, _, source = spec.partition("=")
-    text = clean(F.col(f"`{source or name}`").cast("string"))
+    column = F.col(f"`{source or name}`")
+    if kind and schema[source or name].dataType.simpleString() == _TYPES[kind]:
+        return column.alias(name)
+    text = clean(column.cast("string"))
     return (text.cast(_TYPES[kind]) if kind else text).alias(name)
 
 
@@ -98,7 +103,7 @@ def _experiment_fields() -> dict[str, Column]:
 
 def stage(df: DataFrame, source: str) -> DataFrame:
     """Delivered table -> staged table."""
-    staged = df.select(*[_target(s) for s in STAGED[source].split()])
+    staged = df.select(*[_target(s, df.schema) for s in STAGED[source].split()])
     if source == "experiments":
         staged = staged.withColumns(_experiment_fields())
     elif source == "datasets":

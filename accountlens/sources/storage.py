@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -38,8 +36,38 @@ def materialize(df: DataFrame, layer: str, name: str, env: str = "prod",
     return spark.table(f"`{schema}`.`{name}`")
 
 
+class Published:
+    """Tables of one run, and permanent views that are moved to them when all are written.
+
+    The tables of the run before stay for readers that still have them open; older ones are dropped.
+    """
+
+    def __init__(self, spark: SparkSession, env: str, run: str):
+        self.spark, self.env, self.run = spark, env, run
+        self._added: list[tuple[str, str]] = []
+
+    def add(self, df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None) -> str:
+        """Write a table, once, and return its name."""
+        materialize(df, layer, f"{name}__{self.run}", self.env, partition_by)
+        schema = layer_schema(layer, self.env)
+        self._added.append((schema, name))
+        return f"`{schema}`.`{name}__{self.run}`"
+
+    def show(self) -> list[str]:
+        views = []
+        for schema, name in self._added:
+            self.spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{name}` AS SELECT * FROM `{schema}`.`{name}__{self.run}`")
+            views.append(f"{schema}.{name}")
+        for schema in {s for s, _ in self._added}:
+            tables = sorted((t.name for t in self.spark.catalog.listTables(schema) if "__" in t.name), reverse=True)
+            for name in {n for s, n in self._added if s == schema}:
+                for old in [t for t in tables if t.rpartition("__")[0] == name.lower()][2:]:
+                    self.spark.sql(f"DROP TABLE `{schema}`.`{old}`")
+        return views
+
+
 def register_view(df: DataFrame, layer: str, name: str, env: str = "prod") -> str:
-    """Register a lazy view; temporary views have no database, so the layer goes into the name."""
+    """Register a lazy view of the session; temporary views have no database, so the layer goes into the name."""
     view = f"{layer_schema(layer, env)}__{name}"
     df.createOrReplaceTempView(view)
     return view
@@ -64,17 +92,16 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/accountlens/{uuid.uuid4().hex}"
 
+    def remove(self) -> None:
+        """Delete the folder, by the file system that holds it."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def write(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
         path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
         return path
 
-    def save_all(self, plans: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        """Write independent tables side by side, so that small ones do not wait for large ones."""
-        with ThreadPoolExecutor(WRITERS) as pool:
-            saves = {n: pool.submit(inheritable_thread_target(self.spark)(self.save), df, n) for n, df in plans.items()}
-            return {n: s.result() for n, s in saves.items()}
-
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write once, read many: the result no longer depends on how ``df`` was computed."""
         return self.spark.read.schema(df.schema).parquet(self.write(df, name))

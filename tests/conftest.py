@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
     folder = tmp_path_factory.mktemp("spark")
     session = local_session("4", "accountlens-tests", memory="6g", shuffle_partitions=4,
-                            warehouse=str(folder / "warehouse"))
+                            warehouse=str(folder / "warehouse"), shared=str(folder / "shared"))
     yield session
     session.stop()
 

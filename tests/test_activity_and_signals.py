@@ -7,8 +7,8 @@ from conftest import rows
 
 from accountlens.config import DEFAULTS
 from accountlens.plans import activity as A
-from accountlens.plans.external import external_signals
-from accountlens.plans.trends import account_trace_trend, org_trace_trend
+from accountlens.plans.external import external_signals, one_stream
+from accountlens.plans.trends import account_trace_trend, org_trace_trend, tracing_orgs
 from accountlens.sources.rules import load_rules
 from accountlens.sources.staging import delivered_schema, stage
 
@@ -111,10 +111,9 @@ EXPECTED_ACTIVITY = [
 
 def test_activity_attribution(spark):
     columns = ["activity_id", "account_id", "account_attribution", "account_confidence", "surface", "is_in_lookback"]
-    for cfg in (CFG, replace(CFG, hot_key_rows=2)):
-        got = rows(activity(spark, cfg), *columns)
-        assert [r for r in got if r[0]] == EXPECTED_ACTIVITY
-        assert len([r for r in got if r[0] is None]) == 2       # objects without an id are kept apart
+    got = rows(activity(spark), *columns)
+    assert [r for r in got if r[0]] == EXPECTED_ACTIVITY
+    assert len([r for r in got if r[0] is None]) == 2           # objects without an id are kept apart
 
 
 def test_first_delivery_wins(spark):
@@ -141,21 +140,20 @@ def signals(spark, cfg=CFG):
                                        "name_first_token string, name_token_is_specific boolean")
     resolution = spark.createDataFrame(RESOLUTION, "company_id string, account_id string, resolution_status string, "
                                                    "match_method string, match_confidence double, needs_review boolean")
-    return external_signals(news, products, tech, keys, resolution, cfg)
+    return external_signals(one_stream(news, products, tech), keys, resolution, cfg)
 
 
 def test_external_signals(spark):
-    for cfg in (CFG, replace(CFG, hot_key_rows=3)):
-        assert rows(signals(spark, cfg), "signal_id", "company_name", "is_corroborated_by_product_feed",
-                    "is_entity_mismatch", "is_in_lookback", "account_id") == [
-            ("news:1", "Kite Works", True, False, True, "A"),
-            ("news:2", "Kite Works", False, True, False, "A"),
-            ("news:3", "The Works", False, False, None, None),         # not a launch; word too short to test
-            ("news:4", None, False, False, True, None),
-            ("product:2", "The Works", False, False, True, None),
-            ("product:3", "Kite Works", False, False, True, "A"),
-            ("product:4", None, False, False, True, None),
-            ("tech:1", "Kite Works", False, False, True, "A")]
+    assert rows(signals(spark), "signal_id", "company_name", "is_corroborated_by_product_feed",
+                "is_entity_mismatch", "is_in_lookback", "account_id") == [
+        ("news:1", "Kite Works", True, False, True, "A"),
+        ("news:2", "Kite Works", False, True, False, "A"),
+        ("news:3", "The Works", False, False, None, None),         # not a launch; word too short to test
+        ("news:4", None, False, False, True, None),
+        ("product:2", "The Works", False, False, True, None),
+        ("product:3", "Kite Works", False, False, True, "A"),
+        ("product:4", None, False, False, True, None),
+        ("tech:1", "Kite Works", False, False, True, "A")]
 
 
 def test_earliest_copy_of_a_record_is_kept(spark):
@@ -179,9 +177,24 @@ def test_org_trend(spark):
 def test_account_trend(spark):
     trend = org_trace_trend(staged(spark, "trace_volume", TRACES), CFG)
     orgs = spark.createDataFrame([("full", "A"), ("one", "A"), ("zero", "B"), ("other", None)], "org_id string, account_id string")
-    assert rows(account_trace_trend(trend, orgs, CFG), "account_id", "orgs_sending_traces", "org_ids_sending_traces",
+    assert rows(account_trace_trend(trend, orgs, CFG), "account_id", "orgs_sending_traces",
                 "trace_gb_last_7d", "trace_growth_7d", "is_usage_surge") == [
-        ("A", 2, "full, one", 18.0, 0.2143, False), ("B", 1, "zero", 4.0, None, False)]
+        ("A", 2, 18.0, 0.2143, False), ("B", 1, 4.0, None, False)]
+    assert rows(tracing_orgs(trend, orgs), "account_id", "org_id") == [("A", "full"), ("A", "one"), ("B", "zero")]
+
+
+def test_window_filter_reaches_the_scan_of_a_landed_table(spark, tmp_path):
+    """A typed table keeps its columns, so the days of the window are a partition or pushed filter, and only they are read."""
+    landed = spark.sql("SELECT concat('o', id % 7) AS org_id, date_add(DATE'2026-01-01', CAST(id % 90 AS INT)) AS ds, "
+                       "1.0D AS ingested_gb FROM range(900)")
+    landed.write.parquet(str(tmp_path / "plain"))
+    landed.write.partitionBy("ds").parquet(str(tmp_path / "by_day"))
+    expected = rows(org_trace_trend(stage(landed, "trace_volume"), CFG))
+    for path, mark in (("plain", "PushedFilters: [IsNotNull(ds)"), ("by_day", "PartitionFilters: [isnotnull(ds")):
+        trend = org_trace_trend(stage(spark.read.parquet(str(tmp_path / path)), "trace_volume"), CFG)
+        plan = trend._jdf.queryExecution().executedPlan().toString()
+        assert mark in plan
+        assert rows(trend) == expected and expected
 
 
 def test_the_as_of_day_can_be_today(spark):

@@ -5,10 +5,9 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from accountlens.config import DEFAULTS
 from accountlens.functions import keys as K
 from accountlens.plans.check_suite import pinned_keys
-from accountlens.plans.match_keys import build_match_keys
+from accountlens.plans.match_keys import build_match_keys, normalised_entities
 from pyspark.sql import functions as F
 
 DOMAINS = [
@@ -101,9 +100,9 @@ COMPANY_SCHEMA = ("company_id string, company_name string, company_website strin
                   "linkedin_domain string")
 
 
-def match_keys(spark, cfg=DEFAULTS):
-    return build_match_keys(spark.createDataFrame(ACCOUNTS, ACCOUNT_SCHEMA),
-                            spark.createDataFrame(COMPANIES, COMPANY_SCHEMA), cfg)
+def match_keys(spark):
+    return build_match_keys(normalised_entities(spark.createDataFrame(ACCOUNTS, ACCOUNT_SCHEMA),
+                                                spark.createDataFrame(COMPANIES, COMPANY_SCHEMA)))
 
 
 def test_both_sides_get_the_same_keys(spark):
@@ -119,11 +118,6 @@ def test_both_sides_get_the_same_keys(spark):
     ])
 
 
-def test_shared_flags_do_not_depend_on_hot_keys(spark):
-    from dataclasses import replace
-    assert rows(match_keys(spark)) == rows(match_keys(spark, replace(DEFAULTS, hot_key_rows=2)))
-
-
 def test_pinned_outputs_report_only_differences(spark):
     expected = spark.createDataFrame([
         ("account", "A1", "nimbus.io", "nimbus", "nimbus"),

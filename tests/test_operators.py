@@ -1,14 +1,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from conftest import rows
 
 from accountlens.operators import checks as C
 from accountlens.operators.dedupe import keep_first, latest_per_key, sort_key
-from accountlens.operators.joins import hot_keys, lookup, lookup_inner
-from accountlens.operators.lists import list_cell, ordered_list_cell
+from accountlens.operators.joins import lookup, lookup_inner
+from accountlens.operators.lists import listed, listed_in_order
 from accountlens.operators.rank import global_rank
 from accountlens.sources.storage import Scratch
 from pyspark.sql import functions as F
@@ -41,53 +42,53 @@ def skewed(spark):
     return facts, dim
 
 
-def test_hot_keys_are_counted_exactly(skewed):
-    facts, _ = skewed
-    facts = facts.withColumn("g", F.lit("one"))
-    by_k, by_g, both = hot_keys(facts, ["k"], ["g"], ["k", "g"], min_rows=300)
-    assert by_k == [("hot",)]
-    assert by_g == [("one",)]
-    assert both == [("hot", "one")]
-
-
-@pytest.mark.parametrize("hot", [None, [("hot",)], [("hot",), ("k1",), ("absent",)]])
-def test_lookup_equals_left_join(skewed, hot):
+def test_lookup_equals_left_join(skewed):
     facts, dim = skewed
-    assert rows(lookup(facts, dim, ["k"], hot)) == rows(facts.join(dim, "k", "left").select("id", "k", "v", "w"))
-    assert rows(lookup_inner(facts, dim, ["k"], hot)) == rows(facts.join(dim, "k").select("id", "k", "v", "w"))
+    assert rows(lookup(facts, dim, ["k"])) == rows(facts.join(dim, "k", "left").select("id", "k", "v", "w"))
+    assert rows(lookup_inner(facts, dim, ["k"])) == rows(facts.join(dim, "k").select("id", "k", "v", "w"))
 
 
-def test_lookup_spreads_hot_and_null_keys(spark, skewed):
-    facts, dim = skewed
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_lookup_splits_a_hot_key_and_null(spark):
+    """One key and null each hold a third of the rows: adaptive execution splits their partitions, and nothing changes."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+            "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    facts = spark.range(0, 60_000, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id")))
+        .alias("k"))
+    dim = spark.range(60_000).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("v")).union(
+        spark.sql("SELECT 'hot', -1L"))
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        joined = lookup(facts, dim, ["k"], [("hot",)])
-        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        joined = lookup(facts, dim, ["k"])
+        found = joined.groupBy((F.col("v") == -1).alias("hot"), F.col("v").isNull().alias("none")).count().collect()
+        execution = joined._jdf.queryExecution()
+        joined.write.format("noop").mode("overwrite").save()
+        joined._jdf.queryExecution().executedPlan().execute().count()
+        plan = execution.executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert len(sizes) == 4 and max(sizes) < 1.5 * 900 / 4
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted(r["count"] for r in found) == [20_000] * 3
+    assert "skew=true" in plan
 
 
 def test_lookup_on_two_keys(spark):
     facts = spark.createDataFrame([(1, "a", 1), (2, "a", None), (3, None, 1), (4, "b", 2)], "i int, x string, y int")
     dim = spark.createDataFrame([("a", 1, "hit"), ("b", 2, "two")], "x string, y int, v string")
-    for hot in (None, [("a", 1)]):
-        assert rows(lookup(facts, dim, ["x", "y"], hot), "i", "v") == [(1, "hit"), (2, None), (3, None), (4, "two")]
+    assert rows(lookup(facts, dim, ["x", "y"]), "i", "v") == [(1, "hit"), (2, None), (3, None), (4, "two")]
 
 
-def test_list_cell(spark):
+def test_listed(spark):
     df = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", "x"), ("a", None), ("b", None)], "k string, v string")
-    assert rows(list_cell(df, ["k"], "v", "l", 10)) == [("a", "x, y")]
-    assert rows(list_cell(df, ["k"], "v", "l", 1)) == [("a", "x, (+1 more)")]
+    assert rows(listed(df, ["k"], "v", "l")) == [("a", "x"), ("a", "y")]
 
 
-def test_ordered_list_cell_keeps_repeats(spark):
+def test_listed_in_order_keeps_repeats(spark):
     df = spark.createDataFrame([("a", "low", 1), ("a", "top", 3), ("a", "low", 2), ("a", None, 9)], "k string, v string, o int")
-    order = [F.col("o").desc()]
-    assert rows(ordered_list_cell(df, ["k"], "v", "l", order, 10, " | ")) == [("a", "top | low | low")]
-    assert rows(ordered_list_cell(df, ["k"], "v", "l", order, 2, " | ")) == [("a", "top | low | (+1 more)")]
+    assert rows(listed_in_order(df, ["k"], "v", ["o"])) == [("a", 1, "low"), ("a", 2, "low"), ("a", 3, "top")]
 
 
 @pytest.mark.parametrize("ranges", [None, 1, 3, 7])
@@ -129,6 +130,10 @@ def test_differences_treat_null_as_equal(spark):
 
 def test_scratch_folder_is_the_checkpoint_folder(spark, tmp_path):
     from accountlens.sources import storage
-    assert storage.shared_folder(spark)
-    saved = Scratch(spark).save(spark.createDataFrame([(dt.date(2024, 1, 1),)], "d date"), "t")
+    assert storage.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    scratch = Scratch(spark)
+    saved = scratch.save(spark.createDataFrame([(dt.date(2024, 1, 1),)], "d date"), "t")
     assert rows(saved) == [(dt.date(2024, 1, 1),)]
+    assert os.path.isdir(scratch.folder.removeprefix("file:"))
+    scratch.remove()
+    assert not os.path.exists(scratch.folder.removeprefix("file:"))

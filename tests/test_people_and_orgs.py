@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-from dataclasses import replace
-
 from conftest import rows
 
 from accountlens.config import DEFAULTS
@@ -23,16 +21,15 @@ def users(spark, logins=LOGINS):
 
 
 def test_identity(spark):
-    for cfg in (DEFAULTS, replace(DEFAULTS, hot_key_rows=2)):
-        assert rows(resolve_user_identity(users(spark), cfg), "user_id", "person_id", "email_normalized", "email_domain",
-                    "logins_for_person", "is_secondary_login", "person_resolution_method") == [
-            ("u1", "u2", "kim@nimbus.io", "nimbus.io", 2, True, "exact_email_match"),
-            ("u2", "u2", "kim@nimbus.io", "nimbus.io", 2, False, "exact_email_match"),
-            ("u3", "u3", "lee@nimbus.io", "nimbus.io", 2, False, "exact_email_match"),
-            ("u4", "u4", None, None, 1, False, "single_login"),
-            ("u5", "u5", None, None, 1, False, "single_login"),
-            ("u6", "u3", "lee@nimbus.io", "nimbus.io", 2, True, "exact_email_match"),
-        ]
+    assert rows(resolve_user_identity(users(spark)), "user_id", "person_id", "email_normalized", "email_domain",
+                "logins_for_person", "is_secondary_login", "person_resolution_method") == [
+        ("u1", "u2", "kim@nimbus.io", "nimbus.io", 2, True, "exact_email_match"),
+        ("u2", "u2", "kim@nimbus.io", "nimbus.io", 2, False, "exact_email_match"),
+        ("u3", "u3", "lee@nimbus.io", "nimbus.io", 2, False, "exact_email_match"),
+        ("u4", "u4", None, None, 1, False, "single_login"),
+        ("u5", "u5", None, None, 1, False, "single_login"),
+        ("u6", "u3", "lee@nimbus.io", "nimbus.io", 2, True, "exact_email_match"),
+    ]
 
 
 ORGS = [("contract", "Enterprise"), ("parent", "PRO"), ("fallback", "free"), ("odd", "trial"), ("two", None),
@@ -56,19 +53,19 @@ def org_accounts(spark, cfg=DEFAULTS):
 
 def test_every_org_status(spark):
     got = {r.org_id: (r.resolution_status, r.account_id, r.mapping_source, r.mapping_confidence,
-                      r.candidate_account_count, r.candidate_account_ids, r.plan_rank)
+                      r.candidate_account_count, r.plan_rank)
            for r in org_accounts(spark).collect()}
     assert got == {
-        "contract": ("resolved", "A", "contract", 0.95, 1, "A", 3),
-        "parent": ("resolved", "A", "billing_parent", 0.85, 1, "A", 2),
-        "fallback": ("resolved_low_confidence", "B", "org_c_fallback", 0.5, 1, "B", 1),
-        "odd": ("resolved_low_confidence", "B", "guesswork", 0.3, 1, "B", 0),
-        "two": ("ambiguous", None, None, None, 2, "A, B", 0),
-        "gone": ("broken_link", None, "contract", 0.95, 1, "Z", 2),
-        "none": ("unmapped", None, None, None, 0, None, 2),
-        "null_only": ("broken_link", None, None, None, 0, None, 2),
+        "contract": ("resolved", "A", "contract", 0.95, 1, 3),
+        "parent": ("resolved", "A", "billing_parent", 0.85, 1, 2),
+        "fallback": ("resolved_low_confidence", "B", "org_c_fallback", 0.5, 1, 1),
+        "odd": ("resolved_low_confidence", "B", "guesswork", 0.3, 1, 0),
+        "two": ("ambiguous", None, None, None, 2, 0),
+        "gone": ("broken_link", None, "contract", 0.95, 1, 2),
+        "none": ("unmapped", None, None, None, 0, 2),
+        "null_only": ("broken_link", None, None, None, 0, 2),
         # The better link names no account, so the one account that is linked is not trusted.
-        "null_first": ("broken_link", None, "contract", 0.95, 1, "A", 2),
+        "null_first": ("broken_link", None, "contract", 0.95, 1, 2),
     }
 
 
@@ -80,19 +77,18 @@ def test_people(spark):
         [("contract", "alice"), ("parent", "alice"), ("parent", "alice2"), ("fallback", "bob"), ("contract", "bob"),
          ("contract", "cleo"), ("none", "cleo"), ("none", "dan"), ("contract", "stranger")],
         "org_id string, user_id string").selectExpr("*", "CAST('2025-05-01' AS timestamp_ntz) AS member_created_at")
-    for cfg in (DEFAULTS, replace(DEFAULTS, hot_key_rows=2)):
-        memberships = build_memberships(members, identity, org_accounts(spark), cfg).cache()
-        assert rows(memberships, "person_id", "org_id", "logins_in_org", "account_id") == [
-            ("alice", "contract", 1, "A"), ("alice", "parent", 2, "A"), ("bob", "contract", 1, "A"),
-            ("bob", "fallback", 1, "B"), ("cleo", "contract", 1, "A"), ("cleo", "none", 1, None), ("dan", "none", 1, None)]
-        people = resolve_member_accounts(identity, memberships, cfg)
-        assert rows(people, "person_id", "resolution_status", "account_id", "account_confidence", "user_ids", "org_ids",
-                    "candidate_account_ids", "has_unmapped_org") == [
-            ("alice", "resolved", "A", 0.85, "alice, alice2", "contract, parent", "A", False),
-            ("bob", "ambiguous_multi_account", None, None, "bob", "contract, fallback", "A, B", False),
-            ("cleo", "partially_mapped", None, None, "cleo", "contract, none", "A", True),
-            ("dan", "org_not_mapped", None, None, "dan", "none", None, True),
-            ("eve", "no_membership", None, None, "eve", None, None, False)]
+    memberships = build_memberships(members, identity, org_accounts(spark)).cache()
+    assert rows(memberships, "person_id", "org_id", "logins_in_org", "account_id") == [
+        ("alice", "contract", 1, "A"), ("alice", "parent", 2, "A"), ("bob", "contract", 1, "A"),
+        ("bob", "fallback", 1, "B"), ("cleo", "contract", 1, "A"), ("cleo", "none", 1, None), ("dan", "none", 1, None)]
+    people = resolve_member_accounts(identity, memberships)
+    assert rows(people, "person_id", "resolution_status", "account_id", "account_confidence", "login_count", "org_count",
+                "account_count", "has_unmapped_org") == [
+        ("alice", "resolved", "A", 0.85, 2, 2, 1, False),
+        ("bob", "ambiguous_multi_account", None, None, 1, 2, 2, False),
+        ("cleo", "partially_mapped", None, None, 1, 2, 1, True),
+        ("dan", "org_not_mapped", None, None, 1, 1, 0, True),
+        ("eve", "no_membership", None, None, 1, 0, 0, False)]
 
 
 def test_api_key_hints(spark):

@@ -30,7 +30,7 @@ def run(spark, sources):
 
 @pytest.fixture(scope="module")
 def marts(run):
-    return {name: run.scratch.save(run.plan(name), name) for name in MARTS}
+    return {name: run.scratch.save(run.table(name), name) for name in MARTS}
 
 
 def test_csv_is_read_as_delivered(run):
@@ -68,13 +68,13 @@ def test_member_surfaces(run, marts):
 
 
 def test_members(marts):
-    assert rows(marts["members"], "person_id", "member_type", "sdk_evidence", "sdk_evidence_any_actor", "api_key_names",
+    assert rows(marts["members"], "person_id", "member_type", "sdk_evidence", "sdk_evidence_any_actor", "api_key_count",
                 "has_automation_named_key", "account_id") == [
-        ("kim", "human", "usage_proven", "usage_proven", "kim-cli, laptop", False, "A_NIM"),
-        ("lou", "human", "no_evidence", "usage_likely", None, False, "B_KITE"),
-        ("new", "human", "usage_proven", "usage_proven", None, False, None),
-        ("pat", "human", "usage_proven", "usage_proven", None, False, None),
-        ("rob", "automation_identity", "no_evidence", "usage_proven", "ci-runner", True, "A_NIM")]
+        ("kim", "human", "usage_proven", "usage_proven", 2, False, "A_NIM"),
+        ("lou", "human", "no_evidence", "usage_likely", 0, False, "B_KITE"),
+        ("new", "human", "usage_proven", "usage_proven", 0, False, None),
+        ("pat", "human", "usage_proven", "usage_proven", 0, False, None),
+        ("rob", "automation_identity", "no_evidence", "usage_proven", 1, True, "A_NIM")]
 
 
 def test_adoption(marts):
@@ -118,22 +118,21 @@ def test_feed(marts):
 
 
 def test_account_360(marts):
-    assert rows(marts["account_360"], "priority_rank", "account_id", "actionable_signals", "action_reasons", "best_plan",
+    assert rows(marts["account_360"], "priority_rank", "account_id", "actionable_signals", "top_action_reason", "best_plan",
                 "active_members_in_lookback", "members_shared_with_other_accounts", "crm_identifier_gaps") == [
-        (1, "B_KITE", 3, "Trace ingestion up 150% in 7 days (2.0 -> 5.0 GB/day) on a non-Enterprise plan | "
-         "New product detected: Tail | 1 member(s) exploring CLI setup (intent, not proven usage)", "pro", 2, 1, "missing domain"),
-        (2, "A_NIM", 2, "Nimbus launches Cumulus | 1 member(s) exploring MCP setup (intent, not proven usage)",
-         "enterprise", 1, 1, None),
+        (1, "B_KITE", 3, "Trace ingestion up 150% in 7 days (2.0 -> 5.0 GB/day) on a non-Enterprise plan", "pro", 2, 1,
+         "missing domain"),
+        (2, "A_NIM", 2, "Nimbus launches Cumulus", "enterprise", 1, 1, None),
         (3, "C_FALL", 0, None, "free", 0, 0, "missing LinkedIn"),
         (4, "D_TWIN", 0, None, None, 0, 0, None),
         (5, "E_BARE", 0, None, None, 0, 0, "missing domain and LinkedIn")]
     assert rows(marts["account_360"], "account_id", "signals_in_lookback", "signals_needing_review", "external_companies_linked",
                 "external_records_pending_review", "external_records_awaiting_confirmation", "latest_external_headline",
-                "tech_stack") == [
-        ("A_NIM", 3, 0, 1, 1, 0, "Nimbus launches Cumulus", "Arrow, Spark"),
-        ("B_KITE", 5, 1, 1, 1, 0, "New product detected: Tail", None),
-        ("C_FALL", 0, 0, 0, 0, 1, None, None), ("D_TWIN", 0, 1, 1, 0, 1, None, None),
-        ("E_BARE", 0, 0, 0, 1, 0, None, None)]
+                "technologies_detected") == [
+        ("A_NIM", 3, 0, 1, 1, 0, "Nimbus launches Cumulus", 2),
+        ("B_KITE", 5, 1, 1, 1, 0, "New product detected: Tail", 0),
+        ("C_FALL", 0, 0, 0, 0, 1, None, 0), ("D_TWIN", 0, 1, 1, 0, 1, None, 0),
+        ("E_BARE", 0, 0, 0, 1, 0, None, 0)]
 
 
 def test_prospects(marts):
@@ -153,7 +152,7 @@ def test_scorecard(marts):
 
 
 def test_reports(run, marts):
-    assert rows(run.plan("cli_answer"), "account_id", "known_product_members", "members_with_cli_setup_intent",
+    assert rows(run.table("cli_answer"), "account_id", "known_product_members", "members_with_cli_setup_intent",
                 "intent_from_multi_account_members_not_counted") == [("A_NIM", 3, 1, 1), ("B_KITE", 2, 1, 1)]
     profile = reports.column_profile(run.sources["segment_pages"], "pages")
     assert rows(profile, "column_name", "rows_total", "rows_populated", "rows_null_or_blank", "distinct_values", "is_unique_key") == [
@@ -196,22 +195,45 @@ def test_cross_checks_catch_damage(run, marts):
     assert rows(S.automation_never_active(inflated, run.table("memberships"), marts["members"]), "account_id") == [("A_NIM",)]
 
 
-def test_hot_keys_do_not_change_results(spark, sources, marts):
-    other = Pipeline(spark, sources, replace(CFG, hot_key_rows=1))
-    for name in ("account_360", "prospects", "signal_companies"):
-        assert rows(other.plan(name)) == rows(marts[name])
+def test_lists_are_long_tables(run):
+    assert rows(run.table("action_reasons"), "account_id", "headline", "signal_confidence")[:2] == [
+        ("A_NIM", "1 member(s) exploring MCP setup (intent, not proven usage)", 0.3), ("A_NIM", "Nimbus launches Cumulus", 0.9)]
+    assert rows(run.table("account_tech")) == [("A_NIM", "Arrow"), ("A_NIM", "Spark")]
+    assert rows(run.table("person_api_keys")) == [("kim", "kim-cli"), ("kim", "laptop"), ("rob", "ci-runner")]
+    assert {r.person_id for r in run.table("person_logins").collect()} == {"kim", "lou", "new", "pat", "rob"}
+
+
+def test_a_plan_writes_nothing(spark, sources, monkeypatch):
+    with Pipeline(spark, sources, CFG) as p:
+        with pytest.raises(LookupError, match="build"):
+            p.plan("account_360")
+        p.build(["account_360"])
+        saved = set(p._saved)
+        monkeypatch.setattr(p.scratch, "write", lambda *_: pytest.fail("a plan has written"))
+        assert p.plan("account_360").count() == 5
+        assert set(p._saved) == saved
 
 
 def test_empty_inputs(spark, sources):
     empty = Pipeline(spark, {s: df.limit(0) for s, df in sources.items()}, CFG)
     for name in MARTS:
-        assert empty.plan(name).count() == (19 if name == "quality" else 0)
-
-
-def test_publish(spark, run, marts):
-    views = run.publish("dev")
-    assert "dev_unified__account_360" in views
-    assert {t.name for t in spark.catalog.listTables("dev_cleansed")} >= set(RESOLVED)
-    assert spark.table("dev_cleansed.activity").filter("activity_day is null").count() == 1     # the API key hint
-    assert rows(spark.table("dev_unified__prospects")) == rows(marts["prospects"])
+        assert empty.table(name).count() == (19 if name == "quality" else 0)
+
+
+def test_publish(spark, sources, marts):
+    with Pipeline(spark, sources, CFG) as p:
+        views = p.publish("dev")
+    # The scratch tables are gone; another session of the catalog reads the views.
+    other = spark.newSession()
+    assert "dev_unified.account_360" in views
+    assert {t.name for t in other.catalog.listTables("dev_cleansed")} >= set(RESOLVED)
+    assert other.table("dev_cleansed.activity").filter("activity_day is null").count() == 1     # the API key hint
+    assert rows(other.table("dev_unified.prospects")) == rows(marts["prospects"])
+    assert rows(other.table("dev_unified.account_360")) == rows(marts["account_360"])
     assert spark.table("dev_raw__stg_users").count() == 6
+    for _ in range(2):
+        with Pipeline(spark, {s: df.limit(0) for s, df in sources.items()}, CFG) as p:
+            p.publish("dev")
+    assert other.table("dev_unified.prospects").count() == 0
+    tables = [t.name for t in other.catalog.listTables("dev_unified") if t.name.startswith("prospects__")]
+    assert len(tables) == 2

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import random
-from dataclasses import replace
 
 import pytest
 from conftest import rows
 
-from accountlens.config import DEFAULTS
 from accountlens.plans import resolution as R
-from accountlens.plans.match_keys import build_match_keys
+from accountlens.plans.match_keys import build_match_keys, normalised_entities
 from accountlens.sources.rules import load_rules
 from accountlens.sources.storage import Scratch
 from test_keys import ACCOUNT_SCHEMA, COMPANY_SCHEMA
@@ -19,12 +17,12 @@ METHODS = {"linkedin_slug": (1, 0.90, True), "website_domain": (2, 0.85, True),
            "company_name": (99, 0.0, False)}
 
 
-def run(spark, accounts, companies, cfg=DEFAULTS):
+def run(spark, accounts, companies):
     save = Scratch(spark).save
-    keys = save(build_match_keys(spark.createDataFrame(accounts, ACCOUNT_SCHEMA).coalesce(1),
-                                 spark.createDataFrame(companies, COMPANY_SCHEMA).coalesce(1), cfg), "keys")
-    matched = save(R.matched_keys(keys, load_rules(spark, "external_match_rules"), cfg), "matched")
-    return keys, matched, save(R.resolve_companies(keys, matched, R.account_keys(keys), cfg), "resolved")
+    keys = save(build_match_keys(normalised_entities(spark.createDataFrame(accounts, ACCOUNT_SCHEMA).coalesce(1),
+                                                     spark.createDataFrame(companies, COMPANY_SCHEMA).coalesce(1))), "keys")
+    matched = save(R.matched_keys(keys, load_rules(spark, "external_match_rules")), "matched")
+    return keys, matched, save(R.resolve_companies(keys, matched, R.account_keys(keys)), "resolved")
 
 
 def url(slug):
@@ -84,11 +82,10 @@ def test_every_outcome(spark):
 
 def test_evidence_is_readable(spark):
     _, _, resolved = run(spark, ACCOUNTS, COMPANIES)
-    text = {r.company_id: (r.match_evidence, r.candidate_account_ids) for r in resolved.collect()}
-    assert text["shared_supports"] == (
-        "linkedin_slug=gamma -> C, website_domain=shared.com -> C, website_domain=shared.com -> D", "C, D")
-    assert text["same_value_twice"] == ("linkedin_domain=alpha.com -> A, website_domain=alpha.com -> A", "A")
-    assert text["unmatched"] == (None, None)
+    text = {r.company_id: r.match_evidence for r in resolved.collect()}
+    assert text["shared_supports"] == "linkedin_slug=gamma -> C, website_domain=shared.com -> 2 accounts"
+    assert text["same_value_twice"] == "linkedin_domain=alpha.com -> A, website_domain=alpha.com -> A"
+    assert text["unmatched"] is None
 
 
 def world(seed):
@@ -143,32 +140,34 @@ def brute_force(keys):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("cfg", [DEFAULTS, replace(DEFAULTS, hot_key_rows=5, accounts_listed_per_key=3)])
-def test_equals_brute_force(spark, seed, cfg):
+def test_equals_brute_force(spark, seed):
     accounts, companies = world(seed)
-    keys, matched, resolved = run(spark, accounts, companies, cfg)
+    keys, matched, resolved = run(spark, accounts, companies)
     pairs, outcome = brute_force(keys.collect())
     got = {r[0]: tuple(r[1:]) for r in
            resolved.select("company_id", "resolution_status", "account_id", "match_confidence", "next_action").collect()}
     assert got == outcome
 
-    # All pairs can be had from the two key tables, whatever the limit on listed accounts.
+    # All pairs can be had from the two key tables.
     joined = R.company_keys(keys).join(R.account_keys(keys), R.KEY)
     by_company = {c: set() for c in pairs}
     for r in joined.collect():
         by_company[r.company_id].add((r.match_method, r.account_id))
     assert by_company == pairs
     listed = {}
-    for r in R.match_candidates(matched, cfg).collect():
-        listed.setdefault(r.company_id, []).append(r)
-    for c, found in listed.items():
-        for r in found:
-            n = sum(m == r.match_method for m, _ in pairs[c])
-            assert r.accounts_for_key == n
-            if n <= cfg.accounts_listed_per_key:
-                assert (r.match_method, r.account_id) in pairs[c]
-            else:
-                assert r.account_id is None
+    for r in R.match_candidates(matched).collect():
+        listed[r.company_id, r.match_method] = r
+    assert set(listed) == {(c, m) for c, found in pairs.items() for m, _ in found}
+    for (c, method), r in listed.items():
+        accounts_of_key = {a for m, a in pairs[c] if m == method}
+        assert r.accounts_for_key == len(accounts_of_key)
+        assert r.sole_account == (next(iter(accounts_of_key)) if len(accounts_of_key) == 1 else None)
+    evidence = {r.company_id: r.match_evidence for r in resolved.collect()}
+    for c, found in pairs.items():
+        methods = {m for m, _ in found} - {"company_name"}
+        lines = sorted({f"{m}={listed[c, m].matched_value} -> {listed[c, m].sole_account or f'{listed[c, m].accounts_for_key} accounts'}"
+                        for m in methods})
+        assert evidence[c] == (", ".join(lines) if lines else None)
 
     queues = {}
     for c, found in pairs.items():
@@ -184,13 +183,25 @@ def test_equals_brute_force(spark, seed, cfg):
 def test_row_order_and_partitions_do_not_matter(spark):
     accounts, companies = world(3)
     _, _, once = run(spark, accounts, companies)
-    keys = build_match_keys(spark.createDataFrame(accounts[::-1], ACCOUNT_SCHEMA).repartition(7),
-                            spark.createDataFrame(companies[::-1], COMPANY_SCHEMA).repartition(3))
+    keys = build_match_keys(normalised_entities(spark.createDataFrame(accounts[::-1], ACCOUNT_SCHEMA).repartition(7),
+                                                spark.createDataFrame(companies[::-1], COMPANY_SCHEMA).repartition(3)))
     keys = Scratch(spark).save(keys, "keys")
     matched = Scratch(spark).save(R.matched_keys(keys, load_rules(spark, "external_match_rules")), "matched")
     assert rows(once) == rows(R.resolve_companies(keys, matched, R.account_keys(keys)))
 
 
+def test_one_key_shared_by_a_thousand_accounts(spark):
+    """Rows grow in step with the data: no pair of the 1000 accounts and 500 companies is ever made."""
+    accounts = [account(f"A{i:04}", f"Name {i}", "popular.com", f"s{i}") for i in range(1000)]
+    companies = [company(f"c{i:03}", f"Other {i}", "popular.com", f"s{i}" if i % 2 else None) for i in range(500)]
+    keys, matched, resolved = run(spark, accounts, companies)
+    assert matched.count() == 500 + 250
+    assert R.account_keys(keys).count() == 3 * 1000
+    got = {r.company_id: (r.resolution_status, r.account_id, r.match_evidence) for r in resolved.collect()}
+    assert got["c001"] == ("resolved", "A0001", "linkedin_slug=s1 -> A0001, website_domain=popular.com -> 1000 accounts")
+    assert got["c002"] == ("ambiguous", None, "website_domain=popular.com -> 1000 accounts")
+
+
 def test_no_companies_and_no_accounts(spark):
     _, _, none = run(spark, ACCOUNTS, [])
     assert none.count() == 0

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 
 from accountlens.sources import rules
-from accountlens.sources.freshness import FRESHNESS, check_freshness
+from accountlens.sources.freshness import FRESHNESS, check_freshness, check_source_freshness
 from accountlens.sources.staging import DELIVERED, STAGED, clean, read_table_source, stage
 from accountlens.sources.storage import layer_schema
 from pyspark.sql import functions as F
@@ -38,14 +38,6 @@ def test_rules(spark, tmp_path):
     assert rows(rules.load_rules(spark, "org_mapping_sources", str(path))) == [("contract", 0.9, 1, 'says "yes"')]
 
 
-def test_rules_have_a_size_limit(spark, tmp_path, monkeypatch):
-    path = tmp_path / "r.csv"
-    path.write_text("mapping_source,confidence_score,precedence,rationale\n" + "a,1,1,x\n" * 3)
-    monkeypatch.setattr(rules, "MAX_RULES", 2)
-    with pytest.raises(ValueError, match="more than 2 rows"):
-        rules.load_rules(spark, "org_mapping_sources", str(path))
-
-
 def test_landed_tables_stage_like_files(spark, tmp_path):
     df = spark.createDataFrame([(" o ", "2026-01-02", "1.5")], "org_id string, ds string, ingested_gb string")
     df.write.parquet(str(tmp_path / "t"))
@@ -61,6 +53,15 @@ def test_freshness(spark, hours, status):
     assert check_freshness(df, column, warn, error, F.lit(now)).first().status == status
 
 
+def test_freshness_by_group_is_one_pass(spark):
+    now = dt.datetime(2026, 1, 2)
+    df = spark.createDataFrame([("a", now), ("a", now - dt.timedelta(days=1)), ("b", now - dt.timedelta(hours=4))],
+                               "g string, _loaded_at timestamp_ntz")
+    found = check_source_freshness(df, "product", F.lit(now), by=["g"])
+    assert rows(found, "g", "age_hours", "status") == [("a", 0.0, "pass"), ("b", 4.0, "warn")]
+    assert found._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+
+
 def test_freshness_of_nothing(spark):
     df = spark.createDataFrame([], "t timestamp_ntz")
     assert check_freshness(df, "t", 1, 2).first().status == "error"

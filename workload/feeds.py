@@ -1,9 +1,10 @@
 """Delivered sources derived from the supplied tables, every column as text.
 
-Every row of every table used takes part, so the work grows with the tables:
+Tables are read whole and take roles, so the work grows with them:
 
-- customer are the logins, supplier the product orgs and their CRM links
-- lineitem gives memberships (orders of 50 pieces), projects, experiments and traces
+- customer are the logins, supplier the product orgs; those with a balance of 0 or more have a CRM link
+- lineitem gives memberships (of 50 pieces in the supplier's org, else in the buyer's home org), projects,
+  experiments and traces, a row each
 - orders give datasets; events give prompts, page views, wizard views, docs clicks, detections
 - pages are the external companies; those served over https are also the CRM accounts
 - documents are the news, labelled documents the detected products
@@ -22,6 +23,9 @@ AS_OF = "2024-01-30"
 # Days from the last order date of the supplied tables to AS_OF.
 ORDER_SHIFT_DAYS = 8217
 
+# Orgs that buyers are at home in.
+HOME_ORGS = 40
+
 CFG = Settings(as_of_date=AS_OF)
 
 
@@ -65,8 +69,7 @@ def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     pages, documents, labels = table("pages"), table("documents"), table("labels")
 
     first_order = orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
-    # 25 nations, whatever the scale.
-    customers = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")) \
+    customers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")) \
         .join(first_order, F.col("c_custkey") == F.col("o_custkey"), "left")
     # Both sides grow alike, so neither is broadcast, at any scale.
     ordered = lineitem.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -91,9 +94,10 @@ def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "CASE WHEN c_acctbal >= 0 THEN concat(' ', c_mktsegment, '.', CAST(floor(c_acctbal / 250) AS STRING), "
             "'@', replace(n_name, ' ', '-'), '.Example.com') END AS email",
             f"{_moved('first_order')} AS created_at"),
-        "members": ordered.filter("l_quantity = 50").groupBy("l_suppkey", "o_custkey")
-        .agg(F.min("o_orderdate").alias("since")).selectExpr(
-            "concat('s', l_suppkey) AS org_id", "concat('u', o_custkey) AS user_id",
+        "members": ordered.selectExpr(
+            f"CASE WHEN l_quantity = 50 THEN l_suppkey ELSE o_custkey % {HOME_ORGS} + 1 END AS org", "o_custkey", "o_orderdate")
+        .groupBy("org", "o_custkey").agg(F.min("o_orderdate").alias("since")).selectExpr(
+            "concat('s', org) AS org_id", "concat('u', o_custkey) AS user_id",
             f"{_moved('since')} AS member_created_at"),
         "organizations": supplier.selectExpr(
             "concat('s', s_suppkey) AS org_id", "s_name AS org_name", "CAST(NULL AS STRING) AS created_at",

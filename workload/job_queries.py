@@ -10,33 +10,44 @@ from pyspark.sql import functions as F
 from accountlens.plans import check_suite as S
 from accountlens.plans import reports
 from accountlens.plans.pipeline import MARTS, Pipeline
-from accountlens.plans.resolution import review_queue_sizes
 from accountlens.sources.staging import DELIVERED
+from workload import oracle_checks
 from workload.feeds import CFG, feeds
 from workload.oracle import statement
+from workload.oracle_extracts import EXTRACTS
 
 Query = Callable[[SparkSession, str], DataFrame]
 JOBS: dict[str, tuple[Query, str]] = {}
 
 
-_RUNS: dict[tuple[str, str], Pipeline] = {}
+_RUNS: dict[tuple, Pipeline] = {}
+
+
+def _versions(spark: SparkSession, folder: str) -> tuple:
+    """Name, size and time of change of every file below a folder, by Hadoop's file system."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
-    """One run per application and input folder.
+    """One run per application and version of the input files.
 
     The resolved tables are written by the first query that reads them and read by the later ones, as
     a nightly build writes them for all reports of the day. Marts and reports are computed anew.
     """
-    run = (spark.sparkContext.applicationId, sf_dir)
+    run = (spark.sparkContext.applicationId, sf_dir, _versions(spark, sf_dir))
     if run not in _RUNS:
         _RUNS[run] = Pipeline(spark, feeds(spark, sf_dir), CFG)
-    _RUNS[run].forget_lost_tables()
     return _RUNS[run]
 
 
 def _plan(name: str) -> Query:
-    return lambda spark, sf_dir: pipeline(spark, sf_dir).plan(name)
+    return lambda spark, sf_dir: pipeline(spark, sf_dir).table(name)
 
 
 # Registered name -> job.
@@ -67,12 +78,44 @@ for _name, _job in _OUTPUTS.items():
 
 JOBS["match_candidates"] = (
     _plan("candidates"),
-    statement(f"""
+    statement("""
         SELECT DISTINCT company_id, match_method, matched_value, precedence, base_confidence, can_resolve,
-               accounts_for_key, is_unique_for_key,
-               CASE WHEN accounts_for_key <= {CFG.accounts_listed_per_key} THEN account_id END AS account_id
+               accounts_for_key, is_unique_for_key, CASE WHEN is_unique_for_key THEN account_id END AS sole_account,
+               CASE match_method WHEN 'linkedin_slug' THEN 'slug' WHEN 'company_name' THEN 'name' ELSE 'domain' END AS key_type
         FROM candidates"""))
 
+# The lists behind the counts of the wide tables: name -> (job, statement).
+_LISTS = {
+    "account_keys": """
+        SELECT DISTINCT k.t AS key_type, k.v AS key_value, account_id FROM (
+            SELECT entity_id AS account_id, unnest([{'t': 'slug', 'v': linkedin_slug}, {'t': 'domain', 'v': domain_key},
+                {'t': 'name', 'v': name_key}]) AS k FROM match_keys WHERE entity_type = 'account') WHERE k.v IS NOT NULL""",
+    "company_keys": """
+        SELECT DISTINCT company_id, k.m AS match_method, k.t AS key_type, k.v AS key_value FROM (
+            SELECT entity_id AS company_id, unnest([
+                {'m': 'linkedin_slug', 't': 'slug', 'v': linkedin_slug}, {'m': 'website_domain', 't': 'domain', 'v': domain_key},
+                {'m': 'linkedin_domain', 't': 'domain', 'v': second_domain_key}, {'m': 'company_name', 't': 'name', 'v': name_key}]) AS k
+            FROM match_keys WHERE entity_type = 'company') WHERE k.v IS NOT NULL""",
+    "org_candidates": """
+        SELECT org_id, account_id, src AS mapping_source, confidence AS mapping_confidence, precedence, in_crm FROM org_links""",
+    "person_logins": "SELECT DISTINCT person_id, user_id FROM identity",
+    "person_orgs": "SELECT DISTINCT person_id, org_id FROM memberships",
+    "person_accounts": "SELECT DISTINCT person_id, account_id FROM memberships WHERE account_id IS NOT NULL",
+    "person_api_keys": """
+        SELECT DISTINCT person_id, key_name FROM api_keys WHERE person_id IS NOT NULL AND key_name IS NOT NULL""",
+    "account_orgs": "SELECT DISTINCT account_id, org_id FROM org_accounts WHERE account_id IS NOT NULL",
+    "account_tracing_orgs": """
+        SELECT o.account_id, t.org_id FROM org_trend t JOIN org_accounts o USING (org_id) WHERE o.account_id IS NOT NULL""",
+    "account_tech": """
+        SELECT DISTINCT account_id, product_name FROM signals
+        WHERE signal_family = 'tech' AND resolution_status = 'resolved' AND product_name IS NOT NULL""",
+    "action_reasons": """
+        SELECT account_id, signal_confidence, occurred_at, signal_id, headline FROM feed
+        WHERE is_actionable AND headline IS NOT NULL""",
+}
+for _name, _sql in _LISTS.items():
+    JOBS[_name] = (_plan(_name), statement(_sql))
+
 
 def job(sql: str) -> Callable[[Query], Query]:
     def register(f: Query) -> Query:
@@ -85,8 +128,8 @@ def job(sql: str) -> Callable[[Query], Query]:
         FROM match_keys a LEFT JOIN review_queue q ON q.account_id = a.entity_id WHERE a.entity_type = 'account'""")
 def review_queue(spark, sf_dir):
     p = pipeline(spark, sf_dir)
-    sizes = review_queue_sizes(p.table("match_keys"), p.table("companies"))
-    return p.plan("account_names").select("account_id").join(sizes, "account_id", "left").select(
+    sizes = p.table("review_queue")
+    return p.table("account_names").select("account_id").join(sizes, "account_id", "left").select(
         "account_id", F.coalesce("external_records_pending_review", F.lit(0)).alias("pending"),
         F.coalesce("external_records_awaiting_confirmation", F.lit(0)).alias("awaiting"))
 
@@ -94,13 +137,13 @@ def review_queue(spark, sf_dir):
 @job("""SELECT signal_code, surface, evidence_kind, attribution, confidence_score, actor_type, count(*) AS events
         FROM activity GROUP BY ALL""")
 def surface_summary(spark, sf_dir):
-    return reports.surface_summary(pipeline(spark, sf_dir).plan("activity"))
+    return reports.surface_summary(pipeline(spark, sf_dir).table("activity"))
 
 
 @job("""SELECT surface, attribution, count(*) AS objects FROM activity
         WHERE activity_type IN ('experiment', 'dataset', 'prompt') GROUP BY ALL""")
 def object_summary(spark, sf_dir):
-    return reports.object_summary(pipeline(spark, sf_dir).plan("activity"))
+    return reports.object_summary(pipeline(spark, sf_dir).table("activity"))
 
 
 class _Tables(dict):
@@ -114,24 +157,30 @@ class _Tables(dict):
         return self.p.table({"orgs": "org_accounts"}.get(name, name))
 
 
-def _extract_sql(name: str) -> str:
-    table, columns, _ = reports.EXTRACTS[name]
-    shown = ", ".join(f"coalesce(CAST({c[1:]} AS VARCHAR), '—') AS {c[1:]}" if c.startswith("-") else c for c in columns)
-    source = "org_accounts" if table == "orgs" else table
-    if name == "companies":
-        return (f"SELECT {shown} FROM (SELECT c.*, k.name_key FROM companies c JOIN match_keys k "
-                "ON k.entity_type = 'company' AND k.entity_id = c.company_id)")
-    return f"SELECT {shown} FROM {source}"
-
-
 for _name in reports.EXTRACTS:
     JOBS[f"extract_{_name}"] = (
         (lambda n: lambda spark, sf_dir: reports.review_extract(n, _Tables(pipeline(spark, sf_dir))))(_name),
-        statement(_extract_sql(_name)))
+        statement(EXTRACTS[_name]))
 
 
 _STAGED = sorted(DELIVERED)
 
+# Staged columns whose content is compared, where it is not all of them: opened JSON instead of its text.
+_CONTENT = {
+    "experiments": "experiment_id, project_id, user_id, created_at, has_repo_info, repo_commit, repo_branch, repo_is_dirty, "
+                   "repo_author_name, repo_commit_time, meta_eval_name, meta_model, meta_source, meta_ci_run_id, meta_ci_flag",
+    "datasets": "dataset_id, project_id, user_id, created_at, meta_source",
+}
+
+
+def _staged_content(source: str) -> Query:
+    columns = [c.strip() for c in _CONTENT.get(source, "*").split(",")]
+    return lambda spark, sf_dir: pipeline(spark, sf_dir).staged(source).select(*columns)
+
+
+for _name in _STAGED:
+    JOBS[f"staged_{_name}"] = (_staged_content(_name), statement(f"SELECT {_CONTENT.get(_name, '*')} FROM stg_{_name}"))
+
 
 @job(" UNION ALL ".join(f"SELECT 'stg_{s}' AS table_name, count(*) AS rows FROM stg_{s}" for s in _STAGED))
 def staged_row_counts(spark, sf_dir):
@@ -139,63 +188,53 @@ def staged_row_counts(spark, sf_dir):
     return reports.table_row_counts({f"stg_{s}": p.staged(s) for s in _STAGED})
 
 
-def _totals_sql() -> str:
-    profile = " UNION ALL ".join(
-        f"""SELECT count(*) AS n, {len(DELIVERED[s].split())} AS columns, {' + '.join(
-            f"count(*) FILTER (WHERE {c} IS NULL)" for c in _STAGED_COLUMNS[s])} AS empty FROM stg_{s}"""
-        for s in _TOTALLED)
-    return f"""
-        SELECT CAST(sum(n) AS BIGINT) AS source_rows, CAST(sum(columns) AS BIGINT) AS source_columns,
-               (SELECT count(*) FILTER (WHERE activity_type IN ('experiment', 'dataset', 'prompt')) FROM activity) AS objects,
-               (SELECT count(*) FROM activity) AS activities, (SELECT count(account_id) FROM activity) AS attributed,
-               CAST(sum(empty) AS BIGINT) AS null_cells, CAST(sum(n * columns) AS BIGINT) AS cells FROM ({profile})"""
-
-
-# Delivered tables whose columns are staged one to one.
-_TOTALLED = ["account_org_map", "api_keys", "members", "organizations", "projects", "prompts", "segment_pages",
-             "salesforce_accounts", "signal_companies", "news_events", "trace_volume", "users"]
-_STAGED_COLUMNS = {
+# Delivered cells of each source as conditions on its staged columns: null where the cell is null or blank.
+_CELLS = {
     "account_org_map": ["org_id", "account_id", "mapping_source"],
     "api_keys": ["api_key_id", "user_id", "org_id", "key_hash", "key_name"],
+    "cli_wizard": ["user_id", "event_at"],
+    "datasets": ["dataset_id", "project_id", "user_id", "created_at", "meta_source"],
+    "docs_mcp_events": ["user_id", "event_at", "action"],
+    "experiments": ["experiment_id", "project_id", "user_id", "created_at", "repo_info_json",
+                    "coalesce(meta_eval_name, meta_model, meta_source, meta_ci_run_id)"],
     "members": ["org_id", "user_id", "member_created_at"],
+    "news_events": ["news_id", "company_id", "category", "summary", "found_at", "vendor_confidence", "product_name",
+                    "source_url"],
     "organizations": ["org_id", "org_name", "created_at", "plan"],
+    "products": ["product_id", "company_id", "product_name", "category", "first_seen_at", "source_url"],
     "projects": ["project_id", "org_id", "project_name"],
     "prompts": ["prompt_id", "project_id", "user_id", "created_at"],
-    "segment_pages": ["anonymous_id", "user_id", "viewed_at", "page_path"],
     "salesforce_accounts": ["account_id", "account_name", "domain", "linkedin_company_url", "ticker"],
+    "segment_pages": ["anonymous_id", "user_id", "viewed_at", "page_path"],
     "signal_companies": ["company_id", "company_name", "company_website", "linkedin_url", "linkedin_domain"],
-    "news_events": ["news_id", "company_id", "category", "summary", "found_at", "vendor_confidence", "product_name",
-                    "source_url"],
+    "tech_detections": ["detection_id", "company_id", "technology_name", "first_seen_at", "vendor_score"],
     "trace_volume": ["org_id", "activity_date", "ingested_gb"],
     "users": ["user_id", "email", "created_at"],
 }
 
 
+def _totals_sql() -> str:
+    profile = " UNION ALL ".join(
+        f"""SELECT count(*) AS n, {len(cells)} AS columns, {' + '.join(
+            f"count(*) FILTER (WHERE {c} IS NULL)" for c in cells)} AS empty FROM stg_{s}"""
+        for s, cells in _CELLS.items())
+    return f"""
+        SELECT CAST(sum(n) AS BIGINT) AS source_rows, CAST(sum(columns) AS BIGINT) AS source_columns,
+               (SELECT count(*) FILTER (WHERE activity_type IN ('experiment', 'dataset', 'prompt')) FROM activity) AS objects,
+               (SELECT count(*) FROM activity) AS activities, (SELECT count(account_id) FROM activity) AS attributed,
+               CAST(sum(empty) AS BIGINT) AS null_cells, CAST(sum(n * columns) AS BIGINT) AS cells FROM ({profile})"""
+
+
 @job(_totals_sql())
 def totals(spark, sf_dir):
     p = pipeline(spark, sf_dir)
-    profile = reports.column_profiles({s: p.sources[s] for s in _TOTALLED})
-    return reports.totals(p.plan("activity"), profile)
-
-
-def _count_sql(check: S.Check) -> str:
-    if check.failing:
-        return f"SELECT count(*) FROM {check.table} WHERE {check.failing}"
-    if check.unique:
-        columns = ", ".join(check.unique)
-        known = f"WHERE {columns} IS NOT NULL" if len(check.unique) == 1 else ""
-        return f"SELECT count(*) FROM (SELECT 1 FROM {check.table} {known} GROUP BY {columns} HAVING count(*) > 1)"
-    if check.parent:
-        column, to, key = check.parent
-        return (f"SELECT count(*) FROM {check.table} WHERE {column} IS NOT NULL AND {column} NOT IN "
-                f"(SELECT {key} FROM {to} WHERE {key} IS NOT NULL)")
-    return (f"SELECT CASE WHEN (SELECT count(*) FROM {check.table}) <> (SELECT count(*) FROM {check.same_rows_as}) "
-            "THEN 1 ELSE 0 END")
-
-
-def _report_sql(checks: list[S.Check], cross: dict[str, str] | None = None) -> str:
-    rows = [f"SELECT '{c.name}' AS check_name, '{c.table}' AS table_name, '{c.severity}' AS severity, "
-            f"CAST(({_count_sql(c)}) AS BIGINT) AS failing_rows" for c in checks]
+    profile = reports.column_profiles({s: p.sources[s] for s in sorted(DELIVERED)})
+    return reports.totals(p.table("activity"), profile)
+
+
+def _report_sql(checks: list[tuple[str, str, str, str]], cross: dict[str, str] | None = None) -> str:
+    rows = [f"SELECT '{name}' AS check_name, '{table}' AS table_name, '{severity}' AS severity, "
+            f"CAST(({count}) AS BIGINT) AS failing_rows" for name, table, severity, count in checks]
     rows += [f"SELECT '{n}', '', 'error', CAST(({q}) AS BIGINT)" for n, q in (cross or {}).items()]
     return f"""SELECT *, CASE WHEN failing_rows = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
                FROM ({' UNION ALL '.join(rows)})"""
@@ -222,12 +261,12 @@ _CROSS_SQL = {
 }
 
 
-@job(_report_sql(S.STAGING_CHECKS + S.RULE_CHECKS))
+@job(_report_sql(oracle_checks.STAGING))
 def checks_staging(spark, sf_dir):
     return S.check_report(S.STAGING_CHECKS + S.RULE_CHECKS, pipeline(spark, sf_dir).table)
 
 
-@job(_report_sql(S.RESOLVED_CHECKS))
+@job(_report_sql(oracle_checks.RESOLVED))
 def checks_resolved(spark, sf_dir):
     return S.check_report(S.RESOLVED_CHECKS, pipeline(spark, sf_dir).table)
 
@@ -240,12 +279,12 @@ def _marts_once(p: Pipeline) -> Callable[[str], DataFrame]:
         if name not in MARTS:
             return p.table(name)
         if name not in saved:
-            saved[name] = p.scratch.save(p.plan(name), name)
+            saved[name] = p.scratch.save(p.table(name), name)
         return saved[name]
     return table
 
 
-@job(_report_sql(S.MART_CHECKS, _CROSS_SQL))
+@job(_report_sql(oracle_checks.MARTS, _CROSS_SQL))
 def checks_marts(spark, sf_dir):
     table = _marts_once(pipeline(spark, sf_dir))
     return S.check_report(S.MART_CHECKS, table, S.cross_checks(table))

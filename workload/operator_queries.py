@@ -14,10 +14,13 @@ from accountlens.functions.measures import any_true, count_if, in_lookback, safe
 from accountlens.operators import checks as C
 from accountlens.operators.dedupe import keep_first, latest_per_key
 from accountlens.operators.joins import lookup
-from accountlens.operators.lists import list_cell, ordered_list_cell
+from accountlens.operators.lists import listed as distinct_rows
+from accountlens.operators.lists import listed_in_order
 from accountlens.operators.rank import global_rank
+from accountlens.plans.check_suite import pinned_keys
+from accountlens.plans.match_keys import normalised_entities
 from accountlens.plans.reports import column_profiles, table_row_counts
-from accountlens.sources.freshness import check_freshness
+from accountlens.sources.freshness import check_source_freshness
 from accountlens.sources.staging import clean
 from accountlens.sources.storage import Scratch
 from workload.oracle_jobs import half_up, listed
@@ -98,6 +101,37 @@ def shared_key_flags(spark, sf_dir):
     return lookup(pages, shared, ["host"])
 
 
+# Raw website, LinkedIn URL and name, and the keys they must give. One wrong line shows that the check works.
+PINNED = [
+    ("p1", "https://www.Acme.com/about?x=1", "https://www.linkedin.com/company/Acme-Inc/", "Acme, Inc.", "acme.com", "acme-inc", "acme"),
+    ("p2", " HTTP://shop.acme.co.uk.:8080 ", "http://uk.linkedin.com/company/acme?trk=x", "ACME (Holdings) Ltd", "shop.acme.co.uk",
+     "acme", "acmeholdings"),
+    ("p3", "", None, "  ", None, None, None),
+    ("p4", "beta.io", "linkedin.com/in/person", "Beta GmbH", "wrong.io", None, "beta"),
+]
+
+
+@operator(r"""SELECT 'company' AS entity_type, 'p4' AS entity_id, 'wrong.io' AS expected_domain_key, 'beta.io' AS actual_domain_key,
+             NULL::VARCHAR AS expected_linkedin_slug, NULL::VARCHAR AS actual_linkedin_slug, 'beta' AS expected_name_key,
+             'beta' AS actual_name_key FROM region WHERE r_regionkey = 0
+             UNION ALL
+             SELECT 'company', CAST(page_id AS VARCHAR), 'none', nullif(rtrim(regexp_replace(lower(string_split_regex(
+                    regexp_replace(url, '^https?://', ''), '[/?#:]')[1]), '^www\.', ''), '.'), ''), NULL, NULL, NULL, NULL
+             FROM pages""")
+def pinned_normalisers(spark, sf_dir):
+    """Pinned outputs that differ: the line made wrong on purpose, and every page, whose expected domain is ``none``."""
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("company_id"), F.col("url").alias("company_website"))
+    pinned = spark.createDataFrame([p[:4] for p in PINNED], "company_id string, company_website string, linkedin_url string, company_name string")
+    companies = pinned.unionByName(pages, allowMissingColumns=True).withColumn("linkedin_domain", F.lit(None).cast("string"))
+    accounts = spark.createDataFrame([], "account_id string, account_name string, domain string, linkedin_company_url string, ticker string")
+    keys = normalised_entities(accounts, companies)
+    expected = spark.createDataFrame([("company", p[0], *p[4:]) for p in PINNED],
+                                     "entity_type string, entity_id string, domain_key string, linkedin_slug string, name_key string")
+    expected = expected.unionByName(pages.select(F.lit("company").alias("entity_type"), F.col("company_id").alias("entity_id"),
+                                                 F.lit("none").alias("domain_key")), allowMissingColumns=True)
+    return pinned_keys(expected, keys)
+
+
 # ------------------------------------------------------------- one row per key, lists, rank
 
 @operator("""SELECT event_id, user_id, event_type, ts FROM events
@@ -118,18 +152,23 @@ def latest_order_per_customer(spark, sf_dir):
 
 
 @operator(f"""SELECT o_custkey, {listed('o_orderpriority')} AS priorities,
-              {listed('CAST(year(o_orderdate) AS VARCHAR)')} AS years,
-              string_agg(o_orderstatus, '>' ORDER BY o_orderdate, o_orderkey) FILTER (WHERE o_totalprice > 400000) AS big_statuses
-              FROM orders GROUP BY o_custkey""")
+              {listed('CAST(year(o_orderdate) AS VARCHAR)')} AS years FROM orders GROUP BY o_custkey""")
 def list_cells(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    big = F.when(F.col("o_totalprice") > 400000, F.col("o_orderstatus"))
-    return (
-        orders.groupBy("o_custkey").agg(small_list(F.col("o_orderpriority")).alias("priorities"))
-        .join(list_cell(orders, ["o_custkey"], F.year("o_orderdate"), "years", 1000), "o_custkey", "left")
-        .join(ordered_list_cell(orders.withColumn("big_statuses", big), ["o_custkey"], "big_statuses", "big_statuses",
-                                [F.col("o_orderdate").asc(), F.col("o_orderkey").asc()], 1000, ">"),
-              "o_custkey", "left"))
+    """Lists over a fixed domain stay in one cell: five priorities, seven years."""
+    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        small_list(F.col("o_orderpriority")).alias("priorities"),
+        small_list(F.year("o_orderdate").cast("string")).alias("years"))
+
+
+@operator("SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS order_day FROM orders WHERE o_orderdate IS NOT NULL")
+def list_rows(spark, sf_dir):
+    return distinct_rows(table(spark, sf_dir, "orders"), ["o_custkey"], F.col("o_orderdate").cast("date"), "order_day")
+
+
+@operator("SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus FROM orders WHERE o_totalprice > 400000 AND o_orderstatus IS NOT NULL")
+def ordered_list_rows(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").filter("o_totalprice > 400000")
+    return listed_in_order(orders, ["o_custkey"], "o_orderstatus", ["o_orderdate", "o_orderkey"])
 
 
 @operator("""SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders""")
@@ -277,13 +316,29 @@ def dq_differences(spark, sf_dir):
 
 # ------------------------------------------------------------------------- profile and freshness
 
-_PROFILED = ["customer", "orders", "documents"]
 _COLUMNS = {
+    "region": [("r_regionkey", "int"), ("r_name", "string")],
+    "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")],
     "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
                  ("c_mktsegment", "string")],
-    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
-               ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
-    "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint")],
+    "supplier": [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")],
+    "part": [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"),
+             ("p_size", "int"), ("p_retailprice", "double")],
+    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+               ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
+    "lineitem": [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+                 ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"),
+                 ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string"),
+                 ("l_shipdate", "timestamp_ntz")],
+    "events": [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"),
+               ("value", "double"), ("props", "string")],
+    "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
+                  ("n_chars", "bigint")],
+    "embeddings": [("vec_id", "bigint"), ("embedding", "array<float>"), ("label", "int")],
+    "pages": [("page_id", "bigint"), ("url", "string"), ("html", "string")],
+    "benchmark": [("item_id", "bigint"), ("text", "string")],
+    "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
+    "conversations": [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")],
 }
 
 
@@ -293,17 +348,14 @@ _COLUMNS = {
         CAST(count(*) FILTER (WHERE nullif(trim(CAST("{c}" AS VARCHAR)), '') IS NULL) AS BIGINT) AS rows_null_or_blank,
         count(DISTINCT "{c}") AS distinct_values,
         count(DISTINCT "{c}") = count(*) AND count(*) > 1 AS is_unique_key FROM {t}"""
-    for t in _PROFILED for c, d in _COLUMNS[t]))
+    for t, columns in _COLUMNS.items() for c, d in columns))
 def column_profile(spark, sf_dir):
-    return column_profiles({t: table(spark, sf_dir, t) for t in _PROFILED})
-
-
-_COUNTED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages"]
+    return column_profiles({t: table(spark, sf_dir, t) for t in _COLUMNS})
 
 
-@operator(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in _COUNTED))
+@operator(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in _COLUMNS))
 def row_counts(spark, sf_dir):
-    return table_row_counts({t: table(spark, sf_dir, t) for t in _COUNTED})
+    return table_row_counts({t: table(spark, sf_dir, t) for t in _COLUMNS})
 
 
 _NOW = "2024-01-30 06:00:00"
@@ -316,10 +368,4 @@ _NOW = "2024-01-30 06:00:00"
 def freshness(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     now = F.lit(_NOW).cast("timestamp_ntz")
-    kinds = ["click", "error", "purchase", "signup", "view"]
-    parts = [check_freshness(events.filter(F.col("event_type") == k), "ts", 3, 12, now)
-             .select(F.lit(k).alias("event_type"), "*") for k in kinds]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return check_source_freshness(events, "product", now, loaded_at="ts", by=["event_type"])

@@ -19,9 +19,9 @@ FEEDS: dict[str, str] = {
         FROM customer JOIN nation ON n_nationkey = c_nationkey
         LEFT JOIN (SELECT o_custkey AS c, min(o_orderdate) AS d FROM orders GROUP BY ALL) f ON f.c = c_custkey""",
     "stg_members": f"""
-        SELECT 's' || l_suppkey AS org_id, 'u' || o_custkey AS user_id,
+        SELECT 's' || CASE WHEN l_quantity = 50 THEN l_suppkey ELSE o_custkey % 40 + 1 END AS org_id, 'u' || o_custkey AS user_id,
                min(o_orderdate) + {SHIFT} AS member_created_at
-        FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_quantity = 50 GROUP BY l_suppkey, o_custkey""",
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2""",
     "stg_organizations": """
         SELECT 's' || s_suppkey AS org_id, s_name AS org_name, NULL::TIMESTAMP AS created_at,
                CASE WHEN s_acctbal >= 7000 THEN 'Enterprise' WHEN s_acctbal >= 4000 THEN 'pro'
@@ -37,6 +37,7 @@ FEEDS: dict[str, str] = {
                CASE WHEN l_linestatus = 'O' THEN 'json' END AS repo_info_json, l_linestatus = 'O' AS has_repo_info,
                CASE WHEN l_linestatus = 'O' THEN TIMESTAMP '2024-01-20 00:00:00' END AS repo_commit_time,
                CASE WHEN l_linestatus = 'O' THEN 'c' || l_partkey END AS repo_commit,
+               CASE WHEN l_linestatus = 'O' THEN 'main' END AS repo_branch,
                CASE WHEN l_linestatus = 'O' THEN l_discount > 0.05 END AS repo_is_dirty,
                CASE WHEN l_linestatus = 'O' THEN CASE WHEN l_tax > 0.065 THEN 'ci-runner'
                     WHEN l_tax > 0.055 THEN 'renovate[bot]' ELSE 'dev' END END AS repo_author_name,

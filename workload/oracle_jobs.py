@@ -6,11 +6,50 @@ Every entry is one CTE; ``oracle.py`` puts together those a query needs.
 
 from __future__ import annotations
 
-from accountlens.plans.members import SURFACES
-from accountlens.plans.scorecard import METRICS
-
 AS_OF = "DATE '2024-01-30'"
 
+# Surfaces in reading order, and what can be seen of each.
+SURFACES = [
+    ("ui", 1, "Observable: logged-in page views (raw_segment_pages.user_id)"),
+    ("sdk", 2, "Observable: repo_info / CI tags on objects, trace ingestion at org level. Cannot be split from CLI"),
+    ("cli", 3, "Not observable: only setup-wizard views and API key names (intent)"),
+    ("mcp", 4, "Not observable: only docs install/copy clicks (intent)"),
+    ("unknown", 5, "Objects with no origin metadata: UI, or SDK outside a git repo"),
+]
+
+# Number, input, area, wording, what is counted, out of what.
+METRICS = [
+    (1, "identity", "identity", "Logins merged into an existing person (exact email)", "is_secondary_login", "true"),
+    (2, "orgs", "identity", "Product orgs mapped to a Salesforce account", "account_id is not null", "true"),
+    (3, "orgs", "identity", "Mapped orgs whose link is low confidence (fallback)",
+     "resolution_status = 'resolved_low_confidence'", "account_id is not null"),
+    (4, "people", "identity", "People resolved to exactly one account", "resolution_status = 'resolved'", "true"),
+    (5, "people", "identity", "People flagged ambiguous (belong to 2+ accounts)", "is_ambiguous", "true"),
+    (6, "activity", "activity", "Product activities attributed to an account", "account_id is not null", "true"),
+    (7, "pages", "activity", "Page views that are anonymous (cannot be attributed)", "user_id is null", "true"),
+    (8, "activity", "activity", "Objects whose creating surface is unknown",
+     "surface = 'unknown'", "activity_type in ('experiment', 'dataset', 'prompt')"),
+    (9, "activity", "activity", "Objects created by automation (CI / production jobs)",
+     "actor_type = 'automation'", "activity_type in ('experiment', 'dataset', 'prompt')"),
+    (10, "companies", "external", "External companies resolved to an account",
+     "resolution_status = 'resolved'", "true"),
+    (11, "companies", "external", "Resolved companies confirmed by 2+ independent keys (distinct values)",
+     "resolution_status = 'resolved' and unique_keys_agreeing >= 2", "resolution_status = 'resolved'"),
+    (12, "companies", "external", "Resolved companies whose name also agrees (audit proxy)",
+     "name_agrees_with_match", "resolution_status = 'resolved'"),
+    (13, "companies", "external", "External companies in conflict (keys disagree)",
+     "resolution_status = 'conflict'", "true"),
+    (14, "companies", "external", "External companies left unresolved (any reason)",
+     "resolution_status <> 'resolved'", "true"),
+    (15, "signals", "external", "External signals attached to an account", "account_id is not null", "true"),
+    (16, "signals", "external", "News headlines that name a different company (entity mismatch)",
+     "is_entity_mismatch", "signal_family = 'news'"),
+    (17, "accounts", "crm", "Salesforce accounts with no domain and no LinkedIn", "has_no_match_keys", "true"),
+    (18, "accounts", "crm", "Salesforce accounts sharing a domain with another account", "is_domain_shared", "true"),
+    (19, "companies", "external", "Resolved companies whose name points at a different account (held for review)",
+     "needs_review", "resolution_status = 'resolved'"),
+]
+
 
 def half_up(x: str, digits: int = 4) -> str:
     """Round half away from zero on the decimal value, as Spark does."""
@@ -98,7 +137,7 @@ JOBS: dict[str, str] = {
         GROUP BY m.org_id, m.account_id""",
     "org_accounts": f"""
         WITH g AS (
-            SELECT org_id, count(DISTINCT account_id) AS n, {listed('account_id')} AS ids,
+            SELECT org_id, count(DISTINCT account_id) AS n,
                    first(struct_pack(a := account_id, s := src, c := confidence, ok := in_crm)
                          ORDER BY precedence, account_id NULLS LAST) AS best
             FROM org_links GROUP BY org_id)
@@ -107,7 +146,7 @@ JOBS: dict[str, str] = {
                CASE WHEN g.n = 1 AND g.best.ok THEN g.best.a END AS account_id,
                CASE WHEN g.n = 1 THEN g.best.s END AS mapping_source,
                CASE WHEN g.n = 1 THEN g.best.c END AS mapping_confidence,
-               coalesce(g.n, 0) AS candidate_account_count, nullif(g.ids, '') AS candidate_account_ids,
+               coalesce(g.n, 0) AS candidate_account_count,
                coalesce(g.n > 1, false) AS is_ambiguous,
                CASE WHEN g.n IS NULL THEN 'unmapped' WHEN g.n > 1 THEN 'ambiguous' WHEN NOT g.best.ok THEN 'broken_link'
                     WHEN g.best.c < 0.7 THEN 'resolved_low_confidence' ELSE 'resolved' END AS resolution_status
@@ -121,16 +160,14 @@ JOBS: dict[str, str] = {
     "people": f"""
         WITH p AS (
             SELECT person_id, max(email_normalized) AS email, max(email_domain) AS email_domain, count(*) AS login_count,
-                   {listed('user_id')} AS user_ids, min(created_at) AS first_login_created_at
+                   min(created_at) AS first_login_created_at
             FROM identity GROUP BY person_id),
         m AS (
-            SELECT person_id, count(*) AS orgs, {listed('org_id')} AS org_ids, count(DISTINCT account_id) AS accts,
-                   {listed('account_id')} AS account_ids, count(*) - count(account_id) AS unmapped,
+            SELECT person_id, count(*) AS orgs, count(DISTINCT account_id) AS accts, any_value(account_id) AS one, count(*) - count(account_id) AS unmapped,
                    min(mapping_confidence) AS weakest
             FROM memberships GROUP BY person_id)
-        SELECT p.*, coalesce(m.orgs, 0) AS org_count, m.org_ids, coalesce(m.accts, 0) AS account_count,
-               nullif(m.account_ids, '') AS candidate_account_ids,
-               CASE WHEN m.accts = 1 AND m.unmapped = 0 THEN m.account_ids END AS account_id,
+        SELECT p.*, coalesce(m.orgs, 0) AS org_count, coalesce(m.accts, 0) AS account_count,
+               CASE WHEN m.accts = 1 AND m.unmapped = 0 THEN m.one END AS account_id,
                CASE WHEN m.accts = 1 AND m.unmapped = 0 THEN m.weakest END AS account_confidence,
                coalesce(m.unmapped > 0, false) AS has_unmapped_org, coalesce(m.accts > 1, false) AS is_ambiguous,
                CASE WHEN m.orgs IS NULL THEN 'no_membership' WHEN m.accts = 0 THEN 'org_not_mapped'
@@ -160,10 +197,10 @@ JOBS: dict[str, str] = {
         FROM g""",
     "account_trend": f"""
         WITH g AS (
-            SELECT o.account_id, count(*) AS n, {listed('t.org_id')} AS ids, sum(t.gb_last_7d) AS total,
+            SELECT o.account_id, count(*) AS n, sum(t.gb_last_7d) AS total,
                    sum(t.gb_baseline_day) AS b, sum(t.gb_last_day) AS l, max(t.last_day) AS last_day
             FROM org_trend t JOIN org_accounts o USING (org_id) WHERE o.account_id IS NOT NULL GROUP BY o.account_id)
-        SELECT account_id, n AS orgs_sending_traces, ids AS org_ids_sending_traces, {half_up('total', 2)} AS trace_gb_last_7d,
+        SELECT account_id, n AS orgs_sending_traces, {half_up('total', 2)} AS trace_gb_last_7d,
                b AS gb_baseline_day, l AS gb_last_day, last_day,
                CASE WHEN b > 0 THEN {half_up('(l - b) / b')} END AS trace_growth_7d,
                coalesce(CASE WHEN b > 0 THEN (l - b) / b END >= 0.25, false) AS is_usage_surge
@@ -220,8 +257,8 @@ JOBS: dict[str, str] = {
             SELECT d.company_id, any_value(b.w) AS w, count(DISTINCT match_method) AS keys_matched,
                    count(DISTINCT match_method) FILTER (WHERE account_id = b.w.a) AS keys_agreeing,
                    count(DISTINCT matched_value) FILTER (WHERE account_id = b.w.a AND is_unique_for_key) AS unique_keys_agreeing,
-                   {listed("match_method || '=' || matched_value || ' -> ' || account_id")} AS match_evidence,
-                   {listed('account_id')} AS candidate_account_ids
+                   {listed("match_method || '=' || matched_value || ' -> ' || if(is_unique_for_key, account_id, accounts_for_key || ' accounts')")}
+                       AS match_evidence
             FROM candidates d LEFT JOIN best b USING (company_id) WHERE can_resolve GROUP BY d.company_id),
         hint AS (
             SELECT company_id, account_id AS h FROM candidates WHERE match_method = 'company_name' AND is_unique_for_key),
@@ -241,7 +278,7 @@ JOBS: dict[str, str] = {
                    'least(0.99, w.c + if(unique_keys_agreeing > 1, 0.05, 0) - if(contradicts, 0.2, 0))', 2)} END AS match_confidence,
                resolution_status = 'resolved' AND contradicts AS needs_review, resolution_status = 'conflict' AS is_conflict,
                coalesce(keys_matched, 0) AS keys_matched, coalesce(keys_agreeing, 0) AS keys_agreeing,
-               coalesce(unique_keys_agreeing, 0) AS unique_keys_agreeing, match_evidence, candidate_account_ids,
+               coalesce(unique_keys_agreeing, 0) AS unique_keys_agreeing, match_evidence,
                h AS name_match_account_id, CASE resolution_status WHEN 'resolved' THEN coalesce(h = w.a, false) END AS name_agrees_with_match,
                is_website_shared_in_feed,
                CASE WHEN resolution_status = 'resolved' THEN if(contradicts, 'confirm_match', 'attach_to_account')
@@ -394,13 +431,13 @@ JOBS: dict[str, str] = {
                    CAST(sum(automated_usage_events) AS BIGINT) AS automated_usage_events,
                    CAST(sum(events_in_lookback) AS BIGINT) AS events_in_lookback, max(last_seen_at) AS last_seen_at
             FROM member_surfaces GROUP BY person_id),
-        k AS (SELECT person_id, count(*) AS n, {listed('key_name')} AS names, bool_or(is_automation_named) AS bot FROM api_keys GROUP BY person_id)
-        SELECT w.person_id, w.email, w.email_domain, w.login_count, w.user_ids, w.login_count > 1 AS has_duplicate_logins, w.org_ids,
-               w.account_id, w.account_confidence, w.resolution_status AS account_resolution_status, w.candidate_account_ids,
+        k AS (SELECT person_id, count(*) AS n, bool_or(is_automation_named) AS bot FROM api_keys GROUP BY person_id)
+        SELECT w.person_id, w.email, w.email_domain, w.login_count, w.login_count > 1 AS has_duplicate_logins, w.org_count, w.account_count,
+               w.account_id, w.account_confidence, w.resolution_status AS account_resolution_status,
                CASE WHEN v.human_usage_events > 0 THEN 'human'
                     WHEN v.automated_usage_events > 0 AND v.objects_origin_unknown = 0 THEN 'automation_identity'
                     ELSE 'undetermined' END AS member_type,
-               v.* EXCLUDE (person_id), coalesce(k.n, 0) AS api_key_count, k.names AS api_key_names,
+               v.* EXCLUDE (person_id), coalesce(k.n, 0) AS api_key_count,
                coalesce(k.bot, false) AS has_automation_named_key
         FROM people w LEFT JOIN v USING (person_id) LEFT JOIN k USING (person_id)""",
     "adoption": f"""
@@ -498,7 +535,7 @@ JOBS: dict[str, str] = {
         FROM candidates x JOIN companies c USING (company_id) GROUP BY x.account_id""",
     "account_360": f"""
         WITH o AS (
-            SELECT account_id, count(*) AS product_orgs, {listed('org_id')} AS product_org_ids, max(plan_rank) AS best,
+            SELECT account_id, count(*) AS product_orgs, max(plan_rank) AS best,
                    min(mapping_confidence) AS weak, bool_or(resolution_status = 'resolved_low_confidence') AS unverified
             FROM org_accounts WHERE account_id IS NOT NULL GROUP BY account_id),
         ad AS (
@@ -519,20 +556,20 @@ JOBS: dict[str, str] = {
             SELECT m.account_id, count(DISTINCT m.person_id) AS torn FROM memberships m JOIN people p USING (person_id)
             WHERE p.is_ambiguous AND m.account_id IS NOT NULL GROUP BY m.account_id),
         ec AS (SELECT account_id, count(*) AS linked FROM companies WHERE resolution_status = 'resolved' GROUP BY account_id),
-        te AS (SELECT account_id, {listed('product_name')} AS stack FROM signals
+        te AS (SELECT account_id, count(DISTINCT product_name) AS stack FROM signals
                WHERE signal_family = 'tech' AND resolution_status = 'resolved' GROUP BY account_id),
         s AS (
             SELECT account_id, {count_if(f"NOT needs_review AND {recent('occurred_at')}")} AS in_window, {count_if('is_actionable')} AS actionable,
                    {count_if('needs_review')} AS review,
-                   string_agg(headline, ' | ' ORDER BY signal_confidence DESC NULLS LAST, occurred_at DESC NULLS LAST, signal_id)
-                       FILTER (WHERE is_actionable) AS reasons,
+                   first(headline ORDER BY signal_confidence DESC NULLS LAST, occurred_at DESC NULLS LAST, signal_id)
+                       FILTER (WHERE is_actionable AND headline IS NOT NULL) AS reason,
                    first(struct_pack(h := headline, at := occurred_at) ORDER BY occurred_at DESC NULLS LAST, signal_id)
                        FILTER (WHERE signal_source = 'external' AND NOT needs_review) AS latest
             FROM feed GROUP BY account_id)
         SELECT k.entity_id AS account_id, k.entity_name AS account_name, k.domain_key AS crm_domain, k.linkedin_slug AS crm_linkedin_slug, k.ticker,
                CASE WHEN k.has_no_match_keys THEN 'missing domain and LinkedIn' WHEN k.is_missing_domain THEN 'missing domain'
                     WHEN k.is_missing_linkedin THEN 'missing LinkedIn' END AS crm_identifier_gaps,
-               k.is_domain_shared AS crm_domain_shared_with_other_account, coalesce(o.product_orgs, 0) AS product_orgs, o.product_org_ids,
+               k.is_domain_shared AS crm_domain_shared_with_other_account, coalesce(o.product_orgs, 0) AS product_orgs,
                ['free', 'pro', 'enterprise'][o.best] AS best_plan, o.weak AS weakest_org_link_confidence,
                coalesce(o.unverified, false) AS has_unverified_org_link, coalesce(ad.known, 0) AS known_members,
                coalesce(ac.active, 0) AS active_members_in_lookback, coalesce(mm.torn, 0) AS members_shared_with_other_accounts,
@@ -542,9 +579,9 @@ JOBS: dict[str, str] = {
                coalesce(ac.unknown_made, 0) AS objects_origin_unknown_in_lookback, ac.last_at AS last_product_activity_at,
                t.trace_gb_last_7d, t.trace_growth_7d, coalesce(ec.linked, 0) AS external_companies_linked,
                coalesce(s.in_window, 0) AS signals_in_lookback, s.latest.h AS latest_external_headline, s.latest.at AS latest_external_signal_at,
-               te.stack AS tech_stack, coalesce(q.pending, 0) AS external_records_pending_review,
+               coalesce(te.stack, 0) AS technologies_detected, coalesce(q.pending, 0) AS external_records_pending_review,
                coalesce(q.awaiting, 0) AS external_records_awaiting_confirmation, coalesce(s.review, 0) AS signals_needing_review,
-               coalesce(s.actionable, 0) AS actionable_signals, s.reasons AS action_reasons,
+               coalesce(s.actionable, 0) AS actionable_signals, s.reason AS top_action_reason,
                row_number() OVER (ORDER BY coalesce(s.actionable, 0) DESC, coalesce(t.trace_growth_7d, -1) DESC, k.entity_id) AS priority_rank
         FROM match_keys k LEFT JOIN o ON o.account_id = k.entity_id LEFT JOIN ad ON ad.account_id = k.entity_id
         LEFT JOIN ac ON ac.account_id = k.entity_id LEFT JOIN mm ON mm.account_id = k.entity_id
@@ -585,4 +622,4 @@ JOBS["quality"] = " UNION ALL BY NAME ".join(
         CASE WHEN count(*) FILTER (WHERE {den}) > 0 THEN
             {half_up(f'(count(*) FILTER (WHERE {num}))::DOUBLE / count(*) FILTER (WHERE {den})')} END AS rate
         FROM {_INPUT.get(name, name)} {"WHERE entity_type = 'account'" if name == 'accounts' else ''}"""
-    for name, metrics in METRICS.items() for order, area, metric, num, den in metrics)
+    for order, name, area, metric, num, den in METRICS)
