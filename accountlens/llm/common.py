@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -52,6 +54,23 @@ def crc_bucket(column: str, buckets: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % buckets
 
 
+#: Bytes of text that a Python worker has in hand at a time; a longer text is worked on alone.
+SLICE_BYTES = 4_000_000
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], column: int = -1, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in pieces of about ``limit`` bytes in a column of texts, so that memory stays bounded."""
+    for batch in batches:
+        if not batch.num_rows:
+            yield batch
+            continue
+        sizes = pc.fill_null(pc.binary_length(batch.column(column % batch.num_columns)), 0).to_numpy(zero_copy_only=False)
+        piece = np.cumsum(sizes, dtype=np.int64) // limit
+        edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(edges, edges[1:], strict=False):
+            yield batch.slice(begin, end - begin)
+
+
 def map_texts(df: DataFrame, carry: Sequence[str], work: Callable[[list[bytes]], Sequence], new: str,
               text: str = "text") -> DataFrame:
     """``carry`` columns untouched, and the columns ``new`` that ``work`` makes from the texts of an Arrow batch."""
@@ -60,7 +79,7 @@ def map_texts(df: DataFrame, carry: Sequence[str], work: Callable[[list[bytes]],
     kinds = list(to_arrow_schema(fresh))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             made = work(batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *(pa.array(c, type=f.type) for c, f in zip(made, kinds, strict=True))],
@@ -72,7 +91,7 @@ def map_texts(df: DataFrame, carry: Sequence[str], work: Callable[[list[bytes]],
 def filter_texts(df: DataFrame, work: Callable[[list[bytes]], Sequence[bool]], text: str = "text") -> DataFrame:
     """The rows of ``df``, with its columns, whose texts ``work`` marks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             marks = work(batch.column(batch.num_columns - 1).to_pylist())
             yield batch.select(range(batch.num_columns - 1)).filter(pa.array(marks, type=pa.bool_()))
 

@@ -39,15 +39,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountlens.llm.common import as_bytes, crc_bucket, read_table, shared_folder, written
+from accountlens.llm.common import as_bytes, crc_bucket, in_slices, read_table, shared_folder, written
 from accountlens.llm.rolling import prefix_sums, range_hashes
 
 CUTOFF = 5
 #: Occurrences of a first word from which its pairs are dealt out by the second word as well.
 HOT = 1_000_000
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 8_000_000
 #: Entries for one bucket, about.
-BUCKET = 1_500_000
+BUCKET = 500_000
 
 _BEGIN = np.uint64(0xFFFFFFFFFFFFFFFF)
 _CHUNK = 1 << 17
@@ -130,26 +130,15 @@ END = tokens_of([b""])[0][0]
 
 def _blocks(docs: DataFrame, trains: Column, held: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = 0
-        for batch in batches:
+        for number, batch in enumerate(b for b in in_slices(batches, limit=BLOCK_BYTES) if b.num_rows):
             ids, train, held_out, texts = (c.to_pylist() for c in batch.columns)
-            begin = 0
-            while begin < len(texts):
-                stop, size = begin, 0
-                while stop < len(texts) and (stop == begin or size + len(texts[stop]) <= BLOCK_BYTES):
-                    size += len(texts[stop])
-                    stop += 1
-                vocabulary, codes = tokens_of(texts[begin:stop])
-                lengths = np.diff(np.flatnonzero(codes == np.searchsorted(vocabulary, END)), prepend=-1)
-                learnt = np.repeat(np.array(train[begin:stop]), lengths)
-                counts = np.bincount(codes[learnt], minlength=len(vocabulary))
-                name = (TaskContext.get().partitionId() << 24) + number
-                number += 1
-                yield pa.RecordBatch.from_pylist([{
-                    "block": name, "n_words": len(vocabulary), "n_tokens": len(codes), "ids": ids[begin:stop],
-                    "train": train[begin:stop], "held_out": held_out[begin:stop], "lengths": pack(lengths), "codes": pack(codes),
-                    "vocabulary": pack_sorted(vocabulary), "counts": pack(counts)}], schema=kinds)
-                begin = stop
+            vocabulary, codes = tokens_of(texts)
+            lengths = np.diff(np.flatnonzero(codes == np.searchsorted(vocabulary, END)), prepend=-1)
+            counts = np.bincount(codes[np.repeat(np.array(train), lengths)], minlength=len(vocabulary))
+            yield pa.RecordBatch.from_pylist([{
+                "block": (TaskContext.get().partitionId() << 32) + number, "n_words": len(vocabulary), "n_tokens": len(codes),
+                "ids": ids, "train": train, "held_out": held_out, "lengths": pack(lengths), "codes": pack(codes),
+                "vocabulary": pack_sorted(vocabulary), "counts": pack(counts)}], schema=kinds)
 
     kinds = pa.schema([("block", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int64())),
                        ("train", pa.list_(pa.bool_())), ("held_out", pa.list_(pa.bool_())),
@@ -191,6 +180,11 @@ def _asked_words(blocks: DataFrame, bits: int) -> DataFrame:
         run, "bucket int, block long, first long, hashes binary, counts binary")
 
 
+def _one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _batch(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=names)
@@ -243,6 +237,7 @@ class _Pairs:
         before[1:] = codes[:-1]
         before[np.cumsum(lengths) - lengths] = size - 1
         self.keys, self.at = np.unique(before * size + codes, return_inverse=True)
+        del before
         self.first, self.second = self.keys // size, self.keys % size
         # A context occurs as often as its word; the begin mark as often as there are texts.
         self.context = counts[self.first].astype(np.int64)
@@ -266,7 +261,7 @@ def _asked_pairs(blocks: DataFrame, bits: int, train_texts: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 hashes = np.append(unpack_sorted(row["vocabulary"]), _BEGIN)
                 words, lengths = _in_order(row["words"]), unpack(row["lengths"]).astype(np.int64)
                 pairs = _Pairs(unpack(row["codes"]).astype(np.int64), lengths, hashes, words, bits, train_texts)
@@ -385,7 +380,7 @@ def _scores(blocks: DataFrame, words: Words, discount: np.ndarray, bits: int, tr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 hashes = np.append(unpack_sorted(row["vocabulary"]), _BEGIN)
                 counts, lengths = _in_order(row["words"]), unpack(row["lengths"]).astype(np.int64)
                 weights = _in_order(row["weights"]).view(np.float64)
