@@ -46,6 +46,23 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 50
 
 
+# What depends on how many accounts share a key, on tables ten times as large.
+LARGE = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGE), reason="supplied tables are not here")
+@pytest.mark.parametrize("name", ["company_resolution", "signal_companies", "extract_companies", "match_candidates",
+                                  "account_keys", "review_queue"])
+def test_shared_keys_at_a_larger_scale(spark, name):
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{LARGE}/{t}.parquet'")
+    df = entry.queries()[name](spark, LARGE)
+    result = con.execute(entry.oracle_sql()[name])
+    assert table(df.columns, df.collect()) == table([d[0] for d in result.description], result.fetchall())
+
+
 @pytest.mark.parametrize("name", entry._REGISTERED)
 def test_query_equals_statement(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
