@@ -113,4 +113,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = learn(docs, read_table(spark, sf_dir, "labels"), crc_bucket("doc_id", 3) != 1)
     return score(docs, model, ["doc_id"]).select(
-        "doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(crc_bucket("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

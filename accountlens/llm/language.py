@@ -161,4 +161,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = learn(docs, crc_bucket("doc_id", 4) != 2)
     return predict(docs, model, ["doc_id"]).select(
-        "doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+        "doc_id", F.coalesce(crc_bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")

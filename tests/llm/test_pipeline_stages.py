@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from accountlens.llm import pieces, quality_rules
@@ -55,3 +56,15 @@ def test_empty_documents(spark, documents):
 
 def test_pieces_are_the_models():
     assert pieces.Encoder(pieces.default_model()).end == 2
+
+
+def test_nulls_and_clashing_columns(spark, documents):
+    text = "some words that a reader may find in a text of about this length, and no more of them than that. " * 3
+    docs = documents([text, text, None, "", "x" * 100_000, text + " other words"], [1, 1, None, 2, None, 3])
+    docs = docs.withColumns({c: F.lit(None).cast("int") for c in ("lang", "source", "n_chars")}).withColumns(
+        {c: F.lit(7) for c in ("k1", "kept", "fp", "root", "score", "body", "seed", "n_words", "good", "item")})
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_DIR)
+        assert stage is corpus_pipeline.tokenize or out.columns == docs.columns
+        assert out.count() <= docs.count()
+        assert stage is not corpus_pipeline.tokenize or out.count() == docs.count()
