@@ -33,7 +33,7 @@ from accountlens.llm.common import map_texts, read_table
 
 SPACE = "▁"
 #: Segments that a worker remembers, and the longest that is merged in the arrays.
-KEEP = 500_000
+KEEP = 200_000
 LONG = 32
 
 _NONE = np.iinfo(np.int32).max
@@ -183,7 +183,7 @@ class Encoder:
         self.merges = merges
         self.joined = {x + y for p in normal for x, y in itertools.pairwise(p)}
         self.cutter = self._cutter(list(normal))
-        self.known: dict[str, tuple[bytes, bytes, bytes]] = {}
+        self.known: dict[str, tuple[bytes, bytes, bytes | None]] = {}
 
     def _cutter(self, pieces: list[str]) -> re.Pattern:
         """Cuts a text where no piece can cross: before a run of spaces, around line ends, between a letter and a mark."""
@@ -279,7 +279,10 @@ class Encoder:
         def put(word: str, symbols: list[int]) -> None:
             ids = self.ids_of(symbols)
             surfaces = [self.surface[i] for i in ids]
-            self.known[word] = (b" ".join([self.names[i] for i in ids]), bytes([len(x) for x in surfaces]), b"".join(surfaces))
+            joined = b"".join(surfaces)
+            # The pieces of a segment spell it out; only if not, their bytes are kept.
+            self.known[word] = (b" ".join([self.names[i] for i in ids]), bytes([len(x) for x in surfaces]),
+                                None if joined == word.encode() else joined)
 
         by_width: dict[int, list[str]] = {}
         for w in words:
@@ -314,7 +317,9 @@ class Encoder:
             for words, (_, places) in zip(cut, normal, strict=True):
                 found = [self.known[w] for w in words]
                 lengths = np.frombuffer(b"".join([f[1] for f in found]), np.uint8)
-                yield b" ".join([f[0] for f in found]), places[np.cumsum(lengths, dtype=np.int64)], b"".join([f[2] for f in found])
+                spelt = "".join(words).encode() if all(f[2] is None for f in found) else b"".join(
+                    [w.encode() if f[2] is None else f[2] for w, f in zip(words, found, strict=True)])
+                yield b" ".join([f[0] for f in found]), places[np.cumsum(lengths, dtype=np.int64)], spelt
             begin = stop
 
     def encode(self, text: str) -> list[tuple[int, int, int]]:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountlens.llm.common import as_bytes, read_table, written
+from accountlens.llm.common import as_bytes, in_slices, read_table, written
 
 WINDOW = 400
 GRAM = 40
@@ -105,7 +105,7 @@ def segments(text: bytes, window: int = WINDOW, gram: int = GRAM) -> list[np.nda
 def _segment_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
     """One row for each segment of each row of ``texts`` (k1, k2, body)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             k1, k2 = (batch.column(i).to_numpy() for i in (0, 1))
             found, strings, counts = [], [], []
             for text in batch.column(2).to_pylist():
@@ -131,7 +131,7 @@ def _strings(texts: DataFrame, wanted: DataFrame, window: int, gram: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = window - gram + 1
-        for batch in batches:
+        for batch in in_slices(batches, 2):
             rows = []
             for k1, k2, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for s in found:
@@ -195,7 +195,7 @@ def _equal_windows(strings: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
-        for batch in batches:
+        for batch in in_slices(batches):
             if not batch.num_rows:
                 continue
             rows = hashed(batch)
@@ -265,7 +265,7 @@ def cleaned(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, unit: int =
     runs = repeated_starts(texts, window, gram, unit).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, 2):
             out = []
             for text, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 spans = _cut([(r["lo"], r["hi"]) for r in found or ()], len(text), window)

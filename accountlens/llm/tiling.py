@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from accountlens.llm.common import as_bytes, read_table, written
+from accountlens.llm.common import as_bytes, in_slices, read_table, written
 from accountlens.llm.rolling import prefix_sums, range_hashes
 
 MIN_TILE = 5
@@ -131,7 +131,7 @@ def _hits(docs: DataFrame, item_seeds: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = known.value
-        for batch in batches:
+        for batch in in_slices(batches):
             out = []
             for k1, k2, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 codes = seeds(token_bytes(text), length)
