@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,25 @@ SPACES = b" \t\n\x0b\x0c\r"
 _TEST_FOLDER: list[str] = []
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for an application: their Python workers import it."""
+    context = spark.sparkContext
+    root = Path(__file__).resolve().parents[2]
+    if context.applicationId in _SHIPPED or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="llm-")) / "accountlens.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for module in sorted((root / "accountlens").rglob("*.py")):
+            z.write(module, module.relative_to(root))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -55,7 +75,7 @@ def crc_bucket(column: str, buckets: int) -> Column:
 
 
 #: Bytes of text that a Python worker has in hand at a time; a longer text is worked on alone.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 
 def in_slices(batches: Iterator[pa.RecordBatch], column: int = -1, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -72,18 +92,26 @@ def in_slices(batches: Iterator[pa.RecordBatch], column: int = -1, limit: int =
 
 
 def map_texts(df: DataFrame, carry: Sequence[str], work: Callable[[list[bytes]], Sequence], new: str,
-              text: str = "text") -> DataFrame:
-    """``carry`` columns untouched, and the columns ``new`` that ``work`` makes from the texts of an Arrow batch."""
+              text: str = "text", done: Callable[[], None] | None = None) -> DataFrame:
+    """``carry`` columns untouched, and the columns ``new`` that ``work`` makes from the texts of an Arrow batch.
+
+    ``done`` is called at the end of a partition: Python workers live on, and what they keep is memory of other stages.
+    """
     kept = df.select(*carry)
     fresh = StructType.fromDDL(new)
     kinds = list(to_arrow_schema(fresh))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches):
-            made = work(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *(pa.array(c, type=f.type) for c, f in zip(made, kinds, strict=True))],
-                names=[*batch.schema.names[:-1], *(f.name for f in kinds)])
+        try:
+            for batch in in_slices(batches):
+                made = work(batch.column(batch.num_columns - 1).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-1], *(pa.array(c, type=f.type) for c, f in zip(made, kinds, strict=True))],
+                    names=[*batch.schema.names[:-1], *(f.name for f in kinds)])
+        finally:
+            if done:
+                done()
+            pa.default_memory_pool().release_unused()
 
     return df.select(*carry, as_bytes(text).alias("__body")).mapInArrow(run, StructType([*kept.schema, *fresh]))
 

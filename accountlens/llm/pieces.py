@@ -8,8 +8,8 @@ another and cover it.
 
 Merges never cross a place that no piece crosses, so a text falls into short segments (mostly words) that can be
 encoded alone. New segments of a batch are merged side by side in numpy, one merge of each per round; the
-results are kept in a table of at most ``KEEP`` segments per Python worker, which is emptied when full. Long segments take
-a heap instead. The model's bytes (some hundred kB) are sent to the executors; nothing else is shared.
+results are kept in a table of at most ``KEEP`` segments per Python worker, which is emptied when it is full and at the end
+of a partition. Long segments take a heap instead. The model's bytes (some hundred kB) are sent to the executors; nothing else is shared.
 
 Supported are byte pair models with byte fallback and without user-defined or unused pieces; others are refused.
 Defined cases: a null text is the empty text and has only the end id; very long texts and words are encoded whole.
@@ -391,7 +391,7 @@ def encode_documents(docs: DataFrame, model: bytes, carry: list[str], with_spans
             decoded.append(e.plain_text(joined).decode())
         return ids, ends, decoded
 
-    return map_texts(docs, carry, work, "ids array<int>, ends array<int>, decoded string")
+    return map_texts(docs, carry, work, "ids array<int>, ends array<int>, decoded string", done=lambda: encoder(model).known.clear())
 
 
 def digest_documents(docs: DataFrame, model: bytes, carry: list[str]) -> DataFrame:
@@ -407,7 +407,8 @@ def digest_documents(docs: DataFrame, model: bytes, carry: list[str]) -> DataFra
             spans.append(hashlib.sha256(places.astype("<i8").tobytes()).hexdigest())
         return counts, ids, decoded, spans
 
-    return map_texts(docs, carry, work, "n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
+    return map_texts(docs, carry, work, "n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string",
+                     done=lambda: encoder(model).known.clear())
 
 
 def default_model() -> bytes:

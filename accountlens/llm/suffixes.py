@@ -195,7 +195,8 @@ def _equal_windows(strings: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
-        for batch in in_slices(batches):
+        # A byte of a string becomes some fifteen bytes of windows.
+        for batch in in_slices(batches, limit=1_000_000):
             if not batch.num_rows:
                 continue
             rows = hashed(batch)
