@@ -13,6 +13,9 @@ from accountlens.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
+    # Python workers import the repository from wherever the tests are started.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [root, os.environ.get("PYTHONPATH")]))
     folder = tmp_path_factory.mktemp("spark")
     session = local_session("4", "accountlens-tests", memory="6g", shuffle_partitions=4,
                             warehouse=str(folder / "warehouse"), shared=str(folder / "shared"))
