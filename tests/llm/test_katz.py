@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from accountlens.llm import katz
 from accountlens.llm.common import crc_bucket
+from tests_llm_plain import documents  # noqa: F401
 
 
 def plain(texts, trains):

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from accountlens.llm import classifier, language, ngrams, quality_rules
+from tests_llm_plain import documents  # noqa: F401
 
 SF_DIR = "/root/testdata/sf0.01"
 supplied = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="supplied tables are not here")

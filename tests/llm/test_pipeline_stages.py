@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from accountlens.llm import pieces, quality_rules
-from tests_llm_plain import plain_groups, plain_leak, plain_print, plain_repeats
+from tests_llm_plain import documents, plain_groups, plain_leak, plain_print, plain_repeats  # noqa: F401
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="supplied tables are not here")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from accountlens.llm import simhash
 from accountlens.llm.components import components
-from tests_llm_plain import plain_groups, plain_print
+from tests_llm_plain import documents, plain_groups, plain_print  # noqa: F401
 
 
 def some_texts(seed=3):

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from accountlens.llm import suffixes
+from tests_llm_plain import documents  # noqa: F401
 
 
 def plain(texts, window):

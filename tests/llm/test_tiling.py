@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from accountlens.llm import tiling
-from tests_llm_plain import plain_cover
+from tests_llm_plain import documents, plain_cover  # noqa: F401
 from tests_llm_plain import plain_tokens as tokens
 
 ITEM_DDL = "item_id long, text string"

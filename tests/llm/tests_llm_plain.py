@@ -1,12 +1,26 @@
-"""Plain versions of operators, for small tables."""
+"""Plain versions of operators, for small tables, and the fixture that makes such tables."""
 
 from __future__ import annotations
 
 import re
 from collections import Counter
 
+import pytest
 import xxhash
 
+DDL = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """A ``documents`` table of the given texts, with ids from 0 on unless they are given."""
+    def make(texts, ids=None):
+        ids = range(len(texts)) if ids is None else ids
+        rows = [(i, t, "en", "src", len(t) if t is not None else None) for i, t in zip(ids, texts, strict=True)]
+        return spark.createDataFrame(rows, DDL).repartition(3)
+
+    return make
+
 
 def plain_print(text):
     words = (text or "").encode().lower().split()
