@@ -3,7 +3,7 @@
 A text becomes the shares of its hashed character n-grams and words. A linear model first names the language family,
 one support vector machine for each family against the rest. Within the family, languages are separated by one-versus-one
 linear support vector machines: each pair votes, and votes are added up, ties by the sum of margins. All machines are
-learnt in numpy from a bounded sample of documents with a language (``MAX_SAMPLE`` rows for each language at most) and
+learnt in numpy from a bounded sample of documents with a language (``MAX_SAMPLE`` for each, ``MAX_TOTAL`` in all) and
 are one matrix of fixed size, sent to the executors. One pass predicts whole texts.
 
 ``FAMILIES`` is a parameter; a language that it doesn't name is a family of its own.
@@ -27,6 +27,8 @@ from accountlens.llm.ngrams import buckets
 BITS = 11
 SIZES = (1, 2, 3)
 MAX_SAMPLE = 1_000
+#: Most documents in all; with many languages each gives fewer.
+MAX_TOTAL = 20_000
 MAX_SAMPLE_CHARS = 50_000
 UNKNOWN = "und"
 
@@ -132,12 +134,12 @@ def fit(texts: list[bytes], languages: list[str], seed: int = 5, families: dict[
 def learn(docs: DataFrame, may_learn: Column, max_sample: int = MAX_SAMPLE) -> Model:
     """A model from the first ``max_sample`` documents of each language in the order of the hash of their text."""
     known = docs.filter(may_learn & F.col("lang").isNotNull() & (F.length("text") <= MAX_SAMPLE_CHARS)).select("lang", "text")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    # Only hashes are ranked; the rank is limited in each map task before it is shuffled.
+    # Only hashes are ranked; the rank is limited in each map task before it is shuffled. Equal texts count once.
     chosen = (known.select("lang", F.xxhash64("text").alias("h")).distinct()
-              .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= max_sample))
-    rows = (known.withColumn("h", F.xxhash64("text")).join(chosen, ["lang", "h"])
-            .withColumn("r", F.row_number().over(first)).filter(F.col("r") <= max_sample).select("lang", "text").collect())
+              .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= max_sample)
+              .orderBy("r", "lang").limit(MAX_TOTAL).select("lang", "h"))
+    rows = (known.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"])
+            .groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text").collect())
     rows.sort()
     rows = [r for r in rows if has_letter(r.text.encode())]
     if not rows:
