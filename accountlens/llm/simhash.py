@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 
 from accountlens.llm.common import map_texts, read_table, written
 from accountlens.llm.components import components
+from accountlens.llm.near_copies import groups
+from accountlens.llm.suffixes import text_keys
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -177,19 +179,19 @@ def component_table(prints: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest id, with its own columns.
+    """One document of each group of near copies, the one with the smallest id, with its own columns.
 
+    This is the pipeline's rule, similarity of 0.8 by five-word shingles (``near_copies``), not the query's three bits.
     A row is known by its id and its text. Of equal rows one stays; two texts under one id are two documents.
     """
-    rows = docs.withColumn("__hash", F.xxhash64("text"))
-    prints = written(fingerprints(rows, ["doc_id", "__hash"]), "simhash-prints")
-    groups = component_table(prints).select("fp", "root")
-    best = prints.join(groups, "fp").groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"),
-                       F.col("__hash").alias("hash"))).alias("k")).select("k.*")
-    keyed = rows.select("*", F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"))
-    kept = keyed.join(best.toDF("__none", "__id", "__hash"), ["__none", "__id", "__hash"])
-    return kept.dropDuplicates(["__none", "__id", "__hash"]).select(*docs.columns)
+    k1, k2 = text_keys()
+    rows = docs.select("*", k1.alias("__k1"), k2.alias("__k2"), F.col("doc_id").isNull().alias("__none"),
+                       F.coalesce("doc_id", F.lit(0)).alias("__id"))
+    best = (rows.select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), "__none", "__id").join(groups(docs), ["k1", "k2"])
+            .groupBy("root").agg(F.min(F.struct("__none", "__id", F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))).alias("k"))
+            .select("k.*"))
+    names = ["__none", "__id", "__k1", "__k2"]
+    return rows.join(best, names).dropDuplicates(names).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
