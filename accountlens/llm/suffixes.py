@@ -33,16 +33,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountlens.llm.common import as_bytes, in_slices, read_table, written
+from accountlens.llm.common import SPACES, as_bytes, in_slices, read_table, written
 
 WINDOW = 400
 GRAM = 40
+#: The pipeline's depth in words, and the words of a gram.
+WORDS = 50
+WORD_GRAM = 5
 #: Most strings under one anchor that are compared in one task.
 UNIT = 4096
 #: Window starts worked on at a time; also the reach of the tables of powers.
 CHUNK = 1 << 18
 
 _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64)
+_IS_SPACE = np.isin(np.arange(256), list(SPACES))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _POWERS: list[np.ndarray] = []
@@ -59,10 +63,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def rolling(raw: np.ndarray, length: int) -> np.ndarray:
-    """A 64-bit hash of each run of ``length`` bytes."""
+    """A 64-bit hash of each run of ``length`` bytes, or of ``length`` hashes of words."""
     up, down = _powers(len(raw))
     total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_TABLE[raw] * up, out=total[1:])
+    np.cumsum((_TABLE[raw] if raw.dtype == np.uint8 else raw) * up, out=total[1:])
     return (total[length:] - total[:-length]) * down[:len(raw) - length + 1]
 
 
@@ -77,9 +81,48 @@ def least_of_runs(values: np.ndarray, length: int) -> np.ndarray:
     return np.minimum(rest[:n - length + 1], ahead[length - 1:n])
 
 
-def segments(text: bytes, window: int = WINDOW, gram: int = GRAM) -> list[np.ndarray]:
-    """Anchor place, first and last window start, and the anchor's hash, for each segment of a text."""
-    raw = np.frombuffer(text, np.uint8)
+def as_words(text: bytes) -> np.ndarray:
+    """A hash of each word."""
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in text.split()], np.uint64)
+
+
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word, and the byte behind it."""
+    inside = np.zeros(len(text) + 2, np.int8)
+    inside[1:-1] = ~_IS_SPACE[np.frombuffer(text, np.uint8)]
+    step = np.diff(inside)
+    return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+
+
+def sparse_starts(text: bytes, window: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs [first, last] of the windows of bytes that hold fewer than ``words`` words with white space at both ends.
+
+    The others hold a window of words, which finds them.
+    """
+    starts = len(text) - window + 1
+    if starts < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first, end = word_places(text)
+    begun, ended = (np.bincount(x, minlength=len(text) + 1).cumsum() for x in (first, end))
+    sparse = np.zeros(starts + 2, np.int8)
+    sparse[1:-1] = ended[window - 1:window - 1 + starts] - begun[:starts] < words
+    step = np.diff(sparse)
+    return np.flatnonzero(step == 1), np.flatnonzero(step == -1) - 1
+
+
+def within(part: list[np.ndarray], first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+    """The ``segments`` cut to the window starts in the runs [first, last]."""
+    at, lo, hi, g = part
+    a, b = np.searchsorted(last, lo), np.searchsorted(first, hi, side="right")
+    n = np.maximum(b - a, 0)
+    row = np.repeat(np.arange(len(at)), n)
+    run = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + a[row]
+    return [at[row], np.maximum(lo[row], first[run]), np.minimum(hi[row], last[run]), g[row]]
+
+
+def segments(text: bytes | np.ndarray, window: int = WINDOW, gram: int = GRAM) -> list[np.ndarray]:
+    """Anchor place, first and last window start, and the anchor's hash, for each segment of a text, in bytes or words."""
+    raw = np.frombuffer(text, np.uint8) if isinstance(text, bytes) else text
     starts = len(raw) - window + 1
     place_bits = np.uint64(24)
     parts = []
@@ -102,14 +145,16 @@ def segments(text: bytes, window: int = WINDOW, gram: int = GRAM) -> list[np.nda
     return [at[first], lo[first], hi[last], hashes[first]]
 
 
-def _segment_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
-    """One row for each segment of each row of ``texts`` (k1, k2, body)."""
+def _segment_rows(texts: DataFrame, window: int, gram: int, by_words: bool = False, dense: int = 0) -> DataFrame:
+    """One row for each segment of each row of ``texts`` (k1, k2, body); windows with ``dense`` words are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             k1, k2 = (batch.column(i).to_numpy() for i in (0, 1))
             found, strings, counts = [], [], []
             for text in batch.column(2).to_pylist():
+                text = as_words(text) if by_words else text
                 part = segments(text, window, gram)
+                part = within(part, *sparse_starts(text, window, dense)) if dense else part
                 found.append(part)
                 counts.append(len(part[0]))
                 strings += [xxhash.xxh3_64_intdigest(text[a:b + window]) for a, b in zip(part[1].tolist(), part[2].tolist(), strict=True)]
@@ -125,7 +170,7 @@ def _segment_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
     return texts.mapInArrow(run, "k1 long, k2 long, at int, lo int, hi int, g long, c long")
 
 
-def _strings(texts: DataFrame, wanted: DataFrame, window: int, gram: int) -> DataFrame:
+def _strings(texts: DataFrame, wanted: DataFrame, window: int, gram: int, by_words: bool = False) -> DataFrame:
     """The strings of the ``wanted`` segments, cut at the borders of their slices of anchor places."""
     lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "lo", "hi", "g", "slices")).alias("list"))
 
@@ -134,6 +179,7 @@ def _strings(texts: DataFrame, wanted: DataFrame, window: int, gram: int) -> Dat
         for batch in in_slices(batches, 2):
             rows = []
             for k1, k2, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                text = as_words(text) if by_words else text
                 for s in found:
                     at, n = s["at"], s["slices"]
                     for part in range(n):
@@ -141,7 +187,7 @@ def _strings(texts: DataFrame, wanted: DataFrame, window: int, gram: int) -> Dat
                         first, end = places * part // n, places * (part + 1) // n
                         lo, hi = max(s["lo"], at - end + 1), min(s["hi"], at - first)
                         if lo <= hi:
-                            rows.append((s["g"], part, k1, k2, lo, text[lo:hi + window]))
+                            rows.append((s["g"], part, k1, k2, lo, bytes(text[lo:hi + window])))
                 if len(rows) > 5000:
                     yield _batch(rows)
                     rows = []
@@ -157,8 +203,10 @@ def _strings(texts: DataFrame, wanted: DataFrame, window: int, gram: int) -> Dat
         run, "g long, part int, k1 long, k2 long, lo int, body binary")
 
 
-def _equal_windows(strings: DataFrame, window: int) -> DataFrame:
+def _equal_windows(strings: DataFrame, window: int, by_words: bool = False) -> DataFrame:
     """Runs (k1, k2, lo, hi) of window starts in ``strings`` that share their window with another start."""
+    kind = np.dtype(np.uint64 if by_words else np.uint8)
+
     def hashed(batch: pa.RecordBatch) -> list[np.ndarray]:
         """g, part, k1, k2, start and hash of each window of a batch."""
         *keys, lo = (batch.column(i).to_numpy() for i in range(5))
@@ -170,9 +218,9 @@ def _equal_windows(strings: DataFrame, window: int) -> DataFrame:
             while j < len(bodies) and (j == i or size + len(bodies[j]) <= CHUNK):
                 size += len(bodies[j])
                 j += 1
-            lengths = np.array([len(b) for b in bodies[i:j]])
+            lengths = np.array([len(b) for b in bodies[i:j]]) // kind.itemsize
             offsets = np.cumsum(lengths) - lengths
-            every = rolling(np.frombuffer(b"".join(bodies[i:j]), np.uint8), window)
+            every = rolling(np.frombuffer(b"".join(bodies[i:j]), kind), window)
             row = np.repeat(np.arange(j - i), lengths - window + 1)
             inner = np.arange(len(row)) - np.repeat(np.cumsum(lengths - window + 1) - (lengths - window + 1), lengths - window + 1)
             out.append((row + i, lo[i:j][row] + inner, every[offsets[row] + inner]))
@@ -217,9 +265,13 @@ def _equal_windows(strings: DataFrame, window: int) -> DataFrame:
             .mapInArrow(run, "k1 long, k2 long, lo int, hi int"))
 
 
-def repeated_starts(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, unit: int = UNIT) -> DataFrame:
-    """Runs (k1, k2, lo, hi) of starts of windows that also start elsewhere. ``texts``: one row (k1, k2, body) a document."""
-    rows = written(_segment_rows(texts, window, gram), "suffix-segments")
+def repeated_starts(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, unit: int = UNIT, by_words: bool = False,
+                    dense: int = 0) -> DataFrame:
+    """Runs (k1, k2, lo, hi) of starts of windows that also start elsewhere. ``texts``: one row (k1, k2, body) a document.
+
+    ``by_words``: windows, grams and starts count words. ``dense``: windows of bytes with so many words are left out.
+    """
+    rows = written(_segment_rows(texts, window, gram, by_words, dense), "suffix-segments")
     # Second digit. ``one`` stands for all segments with its string.
     strings = rows.groupBy("g", "c").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at", "lo", "hi")).alias("one"))
     strings = written(strings, "suffix-strings")
@@ -230,7 +282,8 @@ def repeated_starts(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, un
                    .filter("held > 1 AND alone > 0")
                    .select("g", F.least(F.ceil(F.col("held") / unit), F.lit(window - gram + 1)).cast("int").alias("slices")))
     wanted = strings.join(open_groups, "g").select("one.*", "g", "slices")
-    return equal.unionByName(_equal_windows(_strings(one_each(texts), wanted, window, gram), window))
+    strings = _strings(one_each(texts), wanted, window, gram, by_words)
+    return equal.unionByName(_equal_windows(strings, window, by_words))
 
 
 def text_keys() -> tuple[Column, Column]:
@@ -248,28 +301,40 @@ def one_each(texts: DataFrame) -> DataFrame:
     return texts.dropDuplicates(["k1", "k2"])
 
 
-def _cut(runs: list[tuple[int, int]], size: int, window: int) -> list[tuple[int, int]]:
-    """Byte spans [a, b) that the windows starting in ``runs`` cover, joined where they touch."""
-    spans: list[tuple[int, int]] = []
-    for lo, hi in sorted(runs):
-        end = min(hi + window, size)
-        if spans and lo <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(spans[-1][1], end))
+def _cut(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Byte spans [a, b), joined where they touch."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
         else:
-            spans.append((lo, end))
-    return spans
+            out.append((a, b))
+    return out
+
 
+def cleaned(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, unit: int = UNIT, words: int = 0,
+            word_gram: int = WORD_GRAM) -> DataFrame:
+    """For each distinct text its key, counts, the digest of what is left, and what is left as a text.
 
-def cleaned(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, unit: int = UNIT) -> DataFrame:
-    """For each distinct text its key, counts, the digest of what is left, and what is left as a text."""
+    With ``words``, windows of so many words count, however few bytes they have and whatever white space parts them,
+    and beside them the windows of bytes that hold fewer words than that.
+    """
     texts = keyed(docs)
-    runs = repeated_starts(texts, window, gram, unit).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    runs = repeated_starts(texts, window, gram, unit, dense=words).withColumn("words", F.lit(0))
+    if words:
+        runs = runs.unionByName(repeated_starts(texts, words, word_gram, unit, by_words=True).withColumn("words", F.lit(words)))
+    runs = runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "words")).alias("runs"))
+
+    def spans_of(text: bytes, found: list[dict]) -> list[tuple[int, int]]:
+        first, end = word_places(text) if any(r["words"] for r in found) else ([], [])
+        return _cut([(int(first[r["lo"]]), int(end[r["hi"] + words - 1])) if r["words"]
+                     else (r["lo"], min(r["hi"] + window, len(text))) for r in found])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, 2):
             out = []
             for text, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                spans = _cut([(r["lo"], r["hi"]) for r in found or ()], len(text), window)
+                spans = spans_of(text, found or [])
                 edges = [0, *(x for s in spans for x in s), len(text)]
                 left = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 out.append((len(text), len(text) - len(left), len(spans), hashlib.sha256(left).hexdigest(),
@@ -287,9 +352,11 @@ def cleaned(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, unit: int =
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated windows cut out of ``text``; bytes of a character that a cut parted go with it.
 
+    This is the pipeline's rule: windows of 50 words, or of 400 bytes where those hold fewer words than that.
+
     Every row stays, with its own columns; ``n_chars``, where there is such a column, counts the new text. A null text stays null.
     """
-    left = cleaned(docs).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("kept").alias("__kept"))
+    left = cleaned(docs, words=WORDS).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("kept").alias("__kept"))
     k1, k2 = text_keys()
     rows = docs.select("*", k1.alias("__k1"), k2.alias("__k2"), F.col("text").isNull().alias("__null")).drop("text")
     joined = rows.join(left, ["__k1", "__k2"]).withColumn("text", F.when(~F.col("__null"), F.col("__kept")))
