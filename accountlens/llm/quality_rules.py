@@ -1,7 +1,7 @@
 """Quality rules: gradient-boosted trees over document statistics, with monotone features.
 
 One pass over the texts gives the statistics. The trees are grown in numpy on the statistics of a bounded sample of
-labelled documents (``MAX_SAMPLE`` rows, an explicit parameter) and flattened into node arrays; scoring walks all
+labelled documents (``MAX_SAMPLE`` rows, an explicit parameter; an id counts once) and flattened into node arrays; scoring walks all
 rows of a batch through one level of a tree at a time. Nothing but the node arrays leaves the driver.
 
 Monotone features (more of it never raises the score): symbols, repeated lines, repeated words, exclamation marks,
@@ -184,7 +184,10 @@ def learn(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> T
     sample = (labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL")
               .groupBy("doc_id").agg((F.max("quality") > 0).alias("good"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_sample))
+    # An id with several texts counts once, by the text whose hash is least: the rows stay within ``max_sample``.
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    known = (known.groupBy("doc_id", "good").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one"))
+             .select("good", "one.text"))
     rows = map_texts(known, ["good"], lambda texts: [[statistics(t)[1] for t in texts]],
                      "features array<double>").collect()
     if len({r.good for r in rows}) < 2:
