@@ -1,17 +1,14 @@
-"""SimHash near-dedup with pivot distance tables.
+"""SimHash near-dedup: block keys find the candidates, pivot distances discard some of them, bits decide.
 
 A text becomes 64 bits: each word shingle is hashed (XXH64), and a bit is set if it is set in over half of the hashes.
 Two texts are linked when their fingerprints differ in at most ``max_bits`` bits.
 
-Links are found by distances to reference fingerprints (pivots), of two kinds:
+Links are found in two steps:
 
-* Block pivots. The 64 bits are cut into ``blocks`` blocks. The distances of a fingerprint to the empty fingerprint
-  and to all single-bit fingerprints of a block, counted within the block, say exactly which bits are set in it, so
-  the block's own bits are that row of the distance table in its shortest form. Two fingerprints at a distance of
-  at most 3 have equal rows in all but three blocks at most. Every choice of ``blocks - 3`` blocks is therefore one
-  table, keyed by those rows, and linked fingerprints meet under at least one key. Fingerprints alone under their
-  key are discarded.
-* Whole pivots, ``PIVOTS`` fixed fingerprints. For those that meet, the distances to each pivot are compared: by the
+* Block keys. The 64 bits are cut into ``blocks`` blocks. Two fingerprints at a distance of at most 3 are equal in all
+  but three blocks at most. Every choice of ``blocks - 3`` blocks is therefore one table, keyed by their bits, and
+  linked fingerprints meet under at least one key. Fingerprints alone under their key are discarded.
+* Pivots, ``PIVOTS`` fixed fingerprints. For those that meet, the distances to each pivot are compared: by the
   triangle inequality a pair with a coordinate difference over ``max_bits`` cannot be linked and is discarded. The
   survivors are verified bit by bit.
 
