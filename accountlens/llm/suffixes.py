@@ -1,16 +1,15 @@
-"""Exact substring dedup: order suffixes to a limited depth, one digit a pass; equal groups are the repeated windows.
+"""Exact substring dedup: windows are grouped by anchor, then by hash; equal groups are the repeated windows.
 
 A window is a string of ``WINDOW`` bytes. A byte goes if a window that covers it also starts anywhere else, in the same
-text or another. Windows are what is left of suffixes that are ordered only to that depth, so the question is which
-windows fall into a group of two or more, and most-significant-digit passes answer it, each looking only at the
-groups that the passes before left open:
+text or another. No suffix is ordered: three passes of hashes find the windows that fall into a group of two or more,
+each looking only at the groups that the passes before left open:
 
-1. First digit: the anchor of a window, the ``GRAM`` bytes in it whose hash is least (the leftmost of equals). Equal
+1. The anchor of a window, the ``GRAM`` bytes in it whose hash is least (the leftmost of equals). Equal
    windows have equal anchors at equal places, and neighbouring windows mostly share theirs, so a text becomes a
    short list of segments, runs of window starts with one anchor. A segment whose anchor is in no other is done.
-2. Second digit: the whole string that a segment's windows cover. Segments with equal strings hold equal windows
+2. The whole string that a segment's windows cover. Segments with equal strings hold equal windows
    throughout: all of them repeat, and are done.
-3. Last digit: the windows one by one, only for the strings that stand alone under a shared anchor, against one
+3. The windows one by one, only for the strings that stand alone under a shared anchor, against one
    representative of each other string under it. Only these strings travel, and equal windows are found by hash.
 
 An anchor with very many different strings (a near-copy of one passage in millions of documents) is dealt out over
@@ -272,12 +271,12 @@ def repeated_starts(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, un
     ``by_words``: windows, grams and starts count words. ``dense``: windows of bytes with so many words are left out.
     """
     rows = written(_segment_rows(texts, window, gram, by_words, dense), "suffix-segments")
-    # Second digit. ``one`` stands for all segments with its string.
+    # Second pass. ``one`` stands for all segments with its string.
     strings = rows.groupBy("g", "c").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at", "lo", "hi")).alias("one"))
     strings = written(strings, "suffix-strings")
     whole = strings.filter("n > 1").select("g", "c")
     equal = rows.join(whole, ["g", "c"]).select("k1", "k2", "lo", "hi").distinct()
-    # Third digit, for anchors with a string that stands alone beside others.
+    # Third pass, for anchors with a string that stands alone beside others.
     open_groups = (strings.groupBy("g").agg(F.count("*").alias("held"), F.count_if(F.col("n") == 1).alias("alone"))
                    .filter("held > 1 AND alone > 0")
                    .select("g", F.least(F.ceil(F.col("held") / unit), F.lit(window - gram + 1)).cast("int").alias("slices")))
