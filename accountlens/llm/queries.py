@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accountlens.llm import chat, classifier, html_text, katz, language, pieces, quality_rules, simhash, suffixes, tiling
+from accountlens.llm import (
+    chat, classifier, html_text, katz, language, lines, pieces, quality_rules, resampling, simhash, suffixes, tiling,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": classifier.query,
@@ -19,8 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language.query,
     "op9_chat_formatting": chat.query,
     "op10_html_extraction": html_text.query,
+    "op11_importance_resampling": resampling.query,
+    "op12_line_dedup": lines.query,
 }
 
 STATEMENTS: dict[str, str] = {
     "op9_chat_formatting": chat.STATEMENT,
+    "op11_importance_resampling": resampling.STATEMENT,
+    "op12_line_dedup": lines.STATEMENT,
 }
