@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from accountlens.llm import pieces
+from tests_llm_plain import documents  # noqa: F401
 
 spm = pytest.importorskip("sentencepiece")
 public = pytest.importorskip("public_tokenizers")
@@ -78,7 +79,7 @@ def test_normaliser_with_a_compiled_map(rule, squeeze):
         assert places[-1] <= len(text.encode())
 
 
-def test_query_columns_equal_the_library(documents, library):
+def test_query_columns_equal_the_library(documents, library):  # noqa: F811
     texts = some_texts(100, 4) + LONG + [None, "", "same", "same"]
     rows = pieces.digest_documents(documents(texts), pieces.default_model(), ["doc_id"]).collect()
     expected = []
@@ -89,7 +90,7 @@ def test_query_columns_equal_the_library(documents, library):
     assert sorted(tuple(r)[:4] for r in rows) == expected
 
 
-def test_documents_with_clashing_columns(documents):
+def test_documents_with_clashing_columns(documents):  # noqa: F811
     docs = documents(["é b", None]).withColumn("known", F.lit(1))
     rows = sorted(pieces.encode_documents(docs, pieces.default_model(), ["doc_id", "known"]).collect())
     assert [r.decoded for r in rows] == ["é b", ""]
