@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from accountlens.llm import (
-    chat, classifier, html_text, katz, language, lines, pieces, quality_rules, resampling, simhash, suffixes, tiling,
+    alignment, chat, classifier, html_text, katz, language, lines, pieces, quality_rules, resampling, simhash, suffixes, tiling,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extraction": html_text.query,
     "op11_importance_resampling": resampling.query,
     "op12_line_dedup": lines.query,
+    "op13_cross_tokenizer_alignment": alignment.query,
 }
 
 STATEMENTS: dict[str, str] = {
