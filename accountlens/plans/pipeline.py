@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from accountlens.config import DEFAULTS, Settings
+from accountlens.functions.measures import in_lookback, truthy
 from accountlens.operators.lists import listed
 from accountlens.plans import account360 as A
 from accountlens.plans import resolution as R
@@ -76,8 +77,8 @@ class Pipeline:
                  rule_paths: dict[str, str] | None = None):
         self.spark, self.sources, self.cfg = spark, sources, cfg
         self._rule_paths = rule_paths or {}
-        # Shared table -> where it is ("parquet" and a path, or "table" and a name), and its schema.
-        self._saved: dict[str, tuple[tuple[str, str], StructType]] = {}
+        # Shared table -> its path, or its name and the publication that it belongs to; and its schema.
+        self._saved: dict[str, tuple[str, Published | None, StructType]] = {}
         self._published: Published | None = None
 
     @cached_property
@@ -112,8 +113,13 @@ class Pipeline:
             return getattr(self, f"_{name}")()
         if name not in self._saved:
             raise LookupError(f"build {name!r} first")
-        (kind, place), schema = self._saved[name]
-        saved = self.spark.table(place) if kind == "table" else self.spark.read.schema(schema).parquet(place)
+        place, published, schema = self._saved[name]
+        if published is None:
+            return self.spark.read.schema(schema).parquet(place).select(*schema.names)
+        saved = published.read(place)
+        if name == "activity":
+            # The same answer from the day that the table is cut by: a filter on it opens the files of these days only.
+            saved = saved.withColumn("is_in_lookback", truthy(in_lookback(F.col("activity_day"), self.cfg)))
         return saved.select(*schema.names)
 
     def table(self, name: str) -> DataFrame:
@@ -142,11 +148,12 @@ class Pipeline:
                 if n in writes:
                     writes[n].result()
             df = getattr(self, f"_{name}")()
-            if self._published and name in RESOLVED:
-                place = "table", self._publish_resolved(self._published, name, df)
+            published = self._published if name in RESOLVED else None
+            if published:
+                place = self._publish_resolved(published, name, df)
             else:
-                place = "parquet", scratch.write(df, name, _PARTITIONED.get(name, []))
-            self._saved[name] = place, df.schema
+                place = scratch.write(df, name, _PARTITIONED.get(name, []))
+            self._saved[name] = place, published, df.schema
 
         # Submitted in the order of SHARED, a table only ever waits for tables submitted before it.
         with ThreadPoolExecutor(WRITERS) as pool:
@@ -294,10 +301,10 @@ class Pipeline:
         return cli_answer(self.plan("adoption"))
 
     def publish(self, env: str = "prod") -> list[str]:
-        """Write resolved tables and marts, each once, and put a permanent view over each: the views' names.
+        """Write resolved tables and marts, each once, and make them what the permanent views show: the views' names.
 
-        Every run writes tables of its own and then moves the view, so a reader sees the run before or this one
-        as a whole. Staging stays a set of lazy views of the session, as its sources may be files.
+        Every run writes parts of its own; one pointer is moved when all are written, so a reader sees the run before or
+        this one as a whole. Staging stays a set of lazy views of the session, as its sources may be files.
         """
         for source in DELIVERED:
             register_view(self.staged(source), "raw", f"stg_{source}", env)
@@ -313,6 +320,10 @@ class Pipeline:
         self._published = None
         return published.show()
 
+    def visible(self, env: str = "prod") -> str | None:
+        """The run that readers of the views see."""
+        return Published(self.spark, env, "").current()
+
     @staticmethod
     def _publish_resolved(published: Published, name: str, df: DataFrame) -> str:
         if name != "activity":

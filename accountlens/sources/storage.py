@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 # Tables written at the same time.
@@ -37,33 +38,101 @@ def materialize(df: DataFrame, layer: str, name: str, env: str = "prod",
 
 
 class Published:
-    """Tables of one run, and permanent views that are moved to them when all are written.
+    """Tables of one run beside those of earlier runs, and views that all follow one pointer.
 
-    The tables of the run before stay for readers that still have them open; older ones are dropped.
+    Every published table is partitioned by run first. A view shows the partition of the run that the pointer names; the
+    pointer is a view of one constant row, so moving it is one change of one catalog entry, and each query that reads
+    any number of views sees one run as a whole. The constant is folded into a partition filter while planning: no
+    file is read for it, and sessions that have listed files before see the new run at once.
+
+    The run before stays for queries that have begun; older runs, and runs that never became visible, are dropped.
     """
 
+    POINTER = "published_run"
+
     def __init__(self, spark: SparkSession, env: str, run: str):
         self.spark, self.env, self.run = spark, env, run
+        self.schema = layer_schema("unified", env)
         self._added: list[tuple[str, str]] = []
 
-    def add(self, df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None) -> str:
-        """Write a table, once, and return its name."""
-        materialize(df, layer, f"{name}__{self.run}", self.env, partition_by)
+    @property
+    def pointer(self) -> str:
+        return f"`{self.schema}`.`{self.POINTER}`"
+
+    def current(self) -> str | None:
+        """The run that readers see, None before the first."""
+        if not self.spark.catalog.tableExists(self.pointer):
+            return None
+        return self.spark.table(self.pointer).first().run
+
+    def add(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> str:
+        """Write this run's part of a table, which nobody sees yet, and return the table's name."""
+        if "run" in df.columns:
+            raise ValueError(f"{name}: the column `run` is taken by the number of the run")
         schema = layer_schema(layer, self.env)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+        table = f"`{schema}`.`{name}__runs`"
+        if self.spark.catalog.tableExists(table):
+            self._widen(table, df)
+        (df.withColumn("run", F.lit(self.run)).write.mode("append").format("parquet").partitionBy("run", *partition_by)
+         .saveAsTable(table))
         self._added.append((schema, name))
-        return f"`{schema}`.`{name}__{self.run}`"
+        return table
+
+    def _widen(self, table: str, df: DataFrame) -> None:
+        """New columns join the table, null in earlier runs. What changes a column needs an environment of its own."""
+        there = dict(self.spark.table(table).dtypes)
+        changed = [c for c, t in df.dtypes if there.get(c, t) != t]
+        gone = [c for c in there if c != "run" and c not in df.columns]
+        if changed or gone:
+            raise ValueError(f"{table}: columns {sorted(changed + gone)} have changed since the runs before")
+        new = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in there]
+        if new:
+            self.spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+
+    def read(self, table: str) -> DataFrame:
+        """This run's part of a table that has been added."""
+        return self.spark.table(table).filter(F.col("run") == self.run).drop("run")
 
     def show(self) -> list[str]:
-        views = []
+        """Move the pointer to this run, whose tables are all written: the views' names."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.schema}`")
+        before = self.current()
+        if before is None:
+            # Views need a pointer to be made; until it is moved they are empty.
+            self._move("")
+        for schema, name in self._added:
+            self._view(schema, name)
+        self._move(self.run)
         for schema, name in self._added:
-            self.spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{name}` AS SELECT * FROM `{schema}`.`{name}__{self.run}`")
-            views.append(f"{schema}.{name}")
-        for schema in {s for s, _ in self._added}:
-            tables = sorted((t.name for t in self.spark.catalog.listTables(schema) if "__" in t.name), reverse=True)
-            for name in {n for s, n in self._added if s == schema}:
-                for old in [t for t in tables if t.rpartition("__")[0] == name.lower()][2:]:
-                    self.spark.sql(f"DROP TABLE `{schema}`.`{old}`")
-        return views
+            self._drop_runs(f"`{schema}`.`{name}__runs`", keep=(before, self.run))
+        return [f"{schema}.{name}" for schema, name in self._added]
+
+    def _move(self, run: str) -> None:
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.pointer} AS SELECT '{run}' AS run")
+
+    def _view(self, schema: str, name: str) -> None:
+        """A view is made once, and again only for columns that are new."""
+        columns = [c for c in self.spark.table(f"`{schema}`.`{name}__runs`").columns if c != "run"]
+        view = f"`{schema}`.`{name}`"
+        if self.spark.catalog.tableExists(view) and self.spark.table(view).columns == columns:
+            return
+        listed = ", ".join(f"`{c}`" for c in columns)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {listed} FROM `{schema}`.`{name}__runs` "
+                       f"WHERE run = (SELECT run FROM {self.pointer})")
+
+    def _drop_runs(self, table: str, keep: Sequence[str | None]) -> None:
+        old = [p.partition for p in self.spark.sql(f"SHOW PARTITIONS {table}").collect()
+               if p.partition.split("/")[0].removeprefix("run=") not in keep]
+        for i in range(0, len(old), 100):
+            specs = ", ".join(f"PARTITION ({_spec(p)})" for p in old[i:i + 100])
+            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+
+
+def _spec(partition: str) -> str:
+    """``a=1/b=2`` as SQL; the folder of nulls as null."""
+    pairs = (p.partition("=") for p in partition.split("/"))
+    return ", ".join(f"`{k}` = " + ("null" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{v}'") for k, _, v in pairs)
 
 
 def register_view(df: DataFrame, layer: str, name: str, env: str = "prod") -> str:
@@ -78,7 +147,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # "local-cluster" has executors of its own.
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if not _LOCAL_FOLDER:
         _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="accountlens-"))

@@ -14,6 +14,8 @@ from accountlens.plans import check_suite as S
 from accountlens.plans import reports
 from accountlens.plans.pipeline import MARTS, RESOLVED, Pipeline
 from accountlens.sources.staging import csv_sources
+from accountlens.sources.storage import Published
+from pyspark.sql import functions as F
 
 CFG = replace(DEFAULTS, as_of_date="2026-03-31")
 
@@ -223,6 +225,15 @@ def test_empty_inputs(spark, sources):
 def test_publish(spark, sources, marts):
     with Pipeline(spark, sources, CFG) as p:
         views = p.publish("dev")
+        # A filter on the lookback opens the files of its days only.
+        recent = p.plan("activity").filter("is_in_lookback and account_id is not null")
+        plan = recent._jdf.queryExecution().executedPlan().toString()
+        filters = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+        assert "run#" in filters and "activity_day#" in filters
+        days = {r.activity_day for r in spark.table("dev_cleansed.activity").select("activity_day").distinct().collect()}
+        opened = {f.split("activity_day=")[1].split("/")[0] for f in recent.inputFiles()}
+        assert opened == {str(d) for d in days if d and dt.date(2026, 3, 1) < d <= dt.date(2026, 3, 31)} and len(opened) < len(days)
+        runs = [p.visible("dev")]
     # The scratch tables are gone; another session of the catalog reads the views.
     other = spark.newSession()
     assert "dev_unified.account_360" in views
@@ -234,6 +245,10 @@ def test_publish(spark, sources, marts):
     for _ in range(2):
         with Pipeline(spark, {s: df.limit(0) for s, df in sources.items()}, CFG) as p:
             p.publish("dev")
+            runs.append(p.visible("dev"))
     assert other.table("dev_unified.prospects").count() == 0
-    tables = [t.name for t in other.catalog.listTables("dev_unified") if t.name.startswith("prospects__")]
-    assert len(tables) == 2
+    # The run before stays, older ones are gone, days and rows without a day alike.
+    assert sorted(set(runs)) == runs and p.visible("test") is None
+    kept = {r[0].split("/")[0] for t in ("unified.quality__runs", "cleansed.activity__runs")
+            for r in other.sql(f"SHOW PARTITIONS dev_{t}").collect()}
+    assert kept <= {f"run={r}" for r in runs[1:]}
