@@ -1,16 +1,16 @@
 """The declared checks of all layers, and a report with one row per check.
 
-A check is data: table, kind, arguments, severity. Conditions on single rows are counted together
-in one pass per table; the others compare groups or tables.
+A check is data: table, kind, arguments, severity. Conditions on single rows are counted while a table is written
+(``watched``), or together in one pass for a table that nobody writes; the others compare groups or tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from accountlens.operators import checks as C
@@ -315,19 +315,57 @@ def failing_rows(check: Check, table: Callable[[str], DataFrame]) -> DataFrame:
     return C.row_count_matches(df, table(check.same_rows_as))
 
 
+ROWS = "rows"
+#: What a table's write has counted: its rows, and the failing rows of each check on single rows.
+Counts = Mapping[str, int]
+
+
+def watched(df: DataFrame, table: str) -> tuple[DataFrame, Callable[[], Counts]]:
+    """``df``, to be written as ``table``, and what its write has counted, to be asked for afterwards.
+
+    The counts stand on top of the plan, in the stage that writes, where each task's count is taken once whatever is
+    run again. No second scan is needed.
+    """
+    mine = [c for c in DECLARED if c.table == table and c.failing]
+    seen = Observation(f"checks of {table}")
+    counts = [F.count_if(F.expr(c.failing)).alias(f"f{i}") for i, c in enumerate(mine)]
+    df = df.observe(seen, F.count(F.lit(1)).alias(ROWS), *counts)
+
+    def found() -> Counts:
+        got = seen.get
+        return {ROWS: got[ROWS]} | {c.name: got[f"f{i}"] for i, c in enumerate(mine)}
+
+    return df, found
+
+
 def _row(name: str, table: str, severity: str, df: DataFrame) -> DataFrame:
     return df.select(F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
                      F.lit(severity).alias("severity"), F.col("failing_rows").cast("bigint").alias("failing_rows"))
 
 
-def check_report(checks: list[Check], table: Callable[[str], DataFrame],
-                 cross: dict[str, DataFrame] | None = None) -> DataFrame:
-    """(check_name, table_name, severity, failing_rows, status) for every check."""
-    parts = []
+def _unequal_rows(rows: int, other: DataFrame) -> DataFrame:
+    return other.agg((F.count(F.lit(1)) != rows).cast("int").alias("failing_rows"))
+
+
+def check_report(checks: list[Check], table: Callable[[str], DataFrame], cross: dict[str, DataFrame] | None = None,
+                 counts: Callable[[str], Counts | None] = lambda _: None) -> DataFrame:
+    """(check_name, table_name, severity, failing_rows, status) for every check.
+
+    ``counts`` gives what the write of a table has counted, or None: checks that it answers cost no scan.
+    """
+    parts, known = [], []
     by_table: dict[str, list[Check]] = {}
     for c in checks:
-        if c.failing:
+        seen = counts(c.table) or {}
+        other = (counts(c.same_rows_as) or {}) if c.same_rows_as else {}
+        if c.failing and c.name in seen:
+            known.append((c.name, c.table, c.severity, seen[c.name]))
+        elif c.failing:
             by_table.setdefault(c.table, []).append(c)
+        elif c.same_rows_as and ROWS in seen and ROWS in other:
+            known.append((c.name, c.table, c.severity, int(seen[ROWS] != other[ROWS])))
+        elif c.same_rows_as and ROWS in seen:
+            parts.append(_row(c.name, c.table, c.severity, _unequal_rows(seen[ROWS], table(c.same_rows_as))))
         else:
             parts.append(_row(c.name, c.table, c.severity,
                               failing_rows(c, table).agg(F.count("*").alias("failing_rows"))))
@@ -339,6 +377,9 @@ def check_report(checks: list[Check], table: Callable[[str], DataFrame],
         parts.append(sums.select(F.explode(rows).alias("r")).select("r.*"))
     for name, df in (cross or {}).items():
         parts.append(_row(name, "", "error", df.agg(F.count("*").alias("failing_rows"))))
+    if known:
+        spark = table(checks[0].table).sparkSession
+        parts.append(spark.createDataFrame(known, "check_name string, table_name string, severity string, failing_rows bigint"))
     report = reduce(DataFrame.unionByName, parts)
     return report.withColumn("status", F.when(F.col("failing_rows") == 0, "pass")
                              .otherwise(F.when(F.col("severity") == "warn", "warn").otherwise("fail")))

@@ -16,6 +16,7 @@ from accountlens.config import DEFAULTS, Settings
 from accountlens.functions.measures import in_lookback, truthy
 from accountlens.operators.lists import listed
 from accountlens.plans import account360 as A
+from accountlens.plans import check_suite as S
 from accountlens.plans import resolution as R
 from accountlens.plans.account_signals import account_signals
 from accountlens.plans.activity import classified_events, product_activity
@@ -80,6 +81,8 @@ class Pipeline:
         # Shared table -> its path, or its name and the publication that it belongs to; and its schema.
         self._saved: dict[str, tuple[str, Published | None, StructType]] = {}
         self._published: Published | None = None
+        # What the checks on single rows have counted while a table was written.
+        self._counts: dict[str, S.Counts] = {}
 
     @cached_property
     def scratch(self) -> Scratch:
@@ -90,6 +93,7 @@ class Pipeline:
         if "scratch" in self.__dict__:
             self.scratch.remove()
         self._saved.clear()
+        self._counts.clear()
 
     def __enter__(self) -> Pipeline:
         return self
@@ -113,6 +117,9 @@ class Pipeline:
             return getattr(self, f"_{name}")()
         if name not in self._saved:
             raise LookupError(f"build {name!r} first")
+        return self._read(name)
+
+    def _read(self, name: str) -> DataFrame:
         place, published, schema = self._saved[name]
         if published is None:
             return self.spark.read.schema(schema).parquet(place).select(*schema.names)
@@ -141,19 +148,15 @@ class Pipeline:
             need(name)
         if not missing:
             return
-        scratch, writes = self.scratch, {}
+        self.scratch  # noqa: B018 - made before several threads ask for it
+        writes = {}
 
         def write(name: str) -> None:
             for n in SHARED[name]:
                 if n in writes:
                     writes[n].result()
             df = getattr(self, f"_{name}")()
-            published = self._published if name in RESOLVED else None
-            if published:
-                place = self._publish_resolved(published, name, df)
-            else:
-                place = scratch.write(df, name, _PARTITIONED.get(name, []))
-            self._saved[name] = place, published, df.schema
+            self._write(name, df, self._published if name in RESOLVED else None)
 
         # Submitted in the order of SHARED, a table only ever waits for tables submitted before it.
         with ThreadPoolExecutor(WRITERS) as pool:
@@ -163,6 +166,35 @@ class Pipeline:
             for w in writes.values():
                 w.result()
 
+    def _write(self, name: str, df: DataFrame, published: Published | None) -> None:
+        """Write a table where it belongs, and keep what its checks have counted on the way."""
+        schema, cut = df.schema, _PARTITIONED.get(name, [])
+        if published and name == "activity":
+            # Activity is read by date; keys without a time get a partition of their own. The hint gathers each day in
+            # few files and splits days that are too large for one task.
+            df, cut = df.withColumn("activity_day", F.col("activity_at").cast("date")).hint("rebalance", "activity_day"), ["activity_day"]
+        df, counts = S.watched(df, name)
+        if published:
+            place = published.add(df, "cleansed" if name in RESOLVED else "unified", name, cut)
+        else:
+            place = self.scratch.write(df, name, cut)
+        self._saved[name] = place, published, schema
+        self._counts[name] = counts()
+
+    def saved(self, name: str) -> DataFrame:
+        """A table as it was written; a mart is written once, by the first that asks for it."""
+        if name in SHARED or name not in RESOLVED + MARTS:
+            return self.table(name)
+        if name not in self._saved:
+            self._write(name, self.table(name), None)
+        return self._read(name)
+
+    def counts(self, name: str) -> S.Counts | None:
+        """What the write of a table has counted, None for a table that is not written."""
+        if name in SHARED or name in RESOLVED + MARTS:
+            self.saved(name)
+        return self._counts.get(name)
+
     # Make comparable.
     def _identity(self):
         return resolve_user_identity(self.staged("users"))
@@ -314,21 +346,12 @@ class Pipeline:
         for name in RESOLVED:
             # Tables that this run has just built stand where they belong.
             if name not in SHARED or name in built:
-                self._publish_resolved(published, name, self.plan(name))
+                self._write(name, self.plan(name), published)
         for name in MARTS:
-            published.add(self.plan(name), "unified", name)
+            self._write(name, self.plan(name), published)
         self._published = None
         return published.show()
 
     def visible(self, env: str = "prod") -> str | None:
         """The run that readers of the views see."""
         return Published(self.spark, env, "").current()
-
-    @staticmethod
-    def _publish_resolved(published: Published, name: str, df: DataFrame) -> str:
-        if name != "activity":
-            return published.add(df, "cleansed", name)
-        # Activity is read by date; keys without a time get a partition of their own. The hint gathers each day in
-        # few files and splits days that are too large for one task.
-        by_day = df.withColumn("activity_day", F.col("activity_at").cast("date")).hint("rebalance", "activity_day")
-        return published.add(by_day, "cleansed", name, ["activity_day"])

@@ -12,7 +12,7 @@ import world
 from accountlens.config import DEFAULTS
 from accountlens.plans import check_suite as S
 from accountlens.plans import reports
-from accountlens.plans.pipeline import MARTS, RESOLVED, Pipeline
+from accountlens.plans.pipeline import MARTS, RESOLVED, SHARED, Pipeline
 from accountlens.sources.staging import csv_sources
 from accountlens.sources.storage import Published
 from pyspark.sql import functions as F
@@ -185,6 +185,28 @@ def test_checks(run, marts):
         "headline_names_a_different_company": (1, "warn")}
 
 
+def test_checks_on_rows_are_counted_while_writing(run, marts):
+    written = [c for c in S.RESOLVED_CHECKS + S.MART_CHECKS if c.table in SHARED or c.table in ("adoption", "feed")]
+    report = S.check_report(written, run.saved, counts=run.counts)
+    scanned = S.check_report(written, lambda n: marts[n] if n in marts else run.table(n))
+    assert rows(report) == rows(scanned)
+    # Conditions, ranges, nulls and accepted values of 13 shared tables: nothing is read again.
+    single = [c for c in written if c.failing]
+    assert len({c.table for c in single}) >= 8
+    plan = S.check_report(single, run.saved, counts=run.counts)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Exchange" not in plan
+    assert run.counts("stg_users") is None and run.counts("feed")[S.ROWS] == marts["feed"].count()
+
+
+def test_counts_see_damage(spark):
+    bad = spark.sql("SELECT 's' || id AS signal_id, cast(null AS string) AS account_id, 'x' AS signal_source, 7.0 AS signal_confidence, "
+                    "id < 2 AS needs_review, true AS is_actionable FROM range(5)")
+    df, counts = S.watched(bad, "feed")
+    df.write.format("noop").mode("overwrite").save()
+    assert counts() == {S.ROWS: 5, "not_null_feed_signal_id": 0, "not_null_feed_account_id": 5, "accepted_values_feed_signal_source": 5,
+                        "between_feed_signal_confidence": 5, "flagged_signals_never_actionable": 2}
+
+
 def test_cross_checks_catch_damage(run, marts):
     lost = run.table("signals").filter("signal_id <> 'news:n1'")
     assert S.no_signal_lost(run.staged("news_events"), run.staged("products"), run.staged("tech_detections"), lost).count() == 1

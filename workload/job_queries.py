@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from accountlens.plans import check_suite as S
 from accountlens.plans import reports
-from accountlens.plans.pipeline import MARTS, Pipeline
+from accountlens.plans.pipeline import Pipeline
 from accountlens.sources.staging import DELIVERED
 from workload import oracle_checks
 from workload.feeds import CFG, feeds
@@ -268,23 +268,12 @@ def checks_staging(spark, sf_dir):
 
 @job(_report_sql(oracle_checks.RESOLVED))
 def checks_resolved(spark, sf_dir):
-    return S.check_report(S.RESOLVED_CHECKS, pipeline(spark, sf_dir).table)
-
-
-def _marts_once(p: Pipeline) -> Callable[[str], DataFrame]:
-    """Marts are read by several checks, so they are written once for the report."""
-    saved: dict[str, DataFrame] = {}
-
-    def table(name: str) -> DataFrame:
-        if name not in MARTS:
-            return p.table(name)
-        if name not in saved:
-            saved[name] = p.scratch.save(p.table(name), name)
-        return saved[name]
-    return table
+    p = pipeline(spark, sf_dir)
+    return S.check_report(S.RESOLVED_CHECKS, p.saved, counts=p.counts)
 
 
 @job(_report_sql(oracle_checks.MARTS, _CROSS_SQL))
 def checks_marts(spark, sf_dir):
-    table = _marts_once(pipeline(spark, sf_dir))
-    return S.check_report(S.MART_CHECKS, table, S.cross_checks(table))
+    """Each mart is written once in a run; its checks on single rows are counted then."""
+    p = pipeline(spark, sf_dir)
+    return S.check_report(S.MART_CHECKS, p.saved, S.cross_checks(p.saved), p.counts)
