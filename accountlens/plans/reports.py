@@ -30,33 +30,41 @@ def cli_answer(adoption: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame, table: str) -> DataFrame:
     """Per column: type, rows, populated, null or blank, distinct, and whether it is a key.
 
-    The table is unpivoted and counted per (column, value) first; equal values are combined before
-    the shuffle and no column's values meet in one task. Values travel as digests, whatever their length.
-    An empty table has no rows here.
+    Every cell becomes three whole numbers: its column, and 128 bits that stand for its value, whatever its length.
+    Equal cells are counted before the shuffle, and no column's values meet in one task. Rows, nulls and blanks are sums
+    over these groups, so the table is read once. An empty table has no rows here.
     """
-    def text(c: str, dtype: str) -> Column:
-        # Adding zero makes -0.0 and 0.0 the same text.
-        value = F.col(f"`{c}`") + 0.0 if dtype in ("double", "float") else F.col(f"`{c}`")
-        return value.cast("string")
-
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("data_type"), text(c, t).alias("v"))
-                      for c, t in df.dtypes])
-    value = F.col("cell.v")
-    per_value = (
-        df.select(F.explode(cells).alias("cell"))
-        .select("cell.column_name", "cell.data_type", value.isNull().alias("is_null"),
-                (value.isNull() | (F.trim(value) == "")).alias("is_blank"),
-                F.sha2(value, 256).alias("v"))
-        .groupBy("column_name", "data_type", "is_null", "is_blank", "v").agg(F.count("*").alias("n"))
-    )
-    filled = ~F.col("is_null")
-    return per_value.groupBy("column_name", "data_type").agg(
+    dtypes = df.dtypes
+
+    def hashable(c: str, dtype: str) -> Column:
+        """The value in its own type: nothing is written out as text, but for maps, which have no hash."""
+        value = F.col(f"`{c}`")
+        if dtype in ("double", "float"):
+            return value + 0.0      # -0.0 and 0.0 are one value
+        return value.cast("string") if "map<" in dtype else value
+
+    def cell(i: int, c: str, dtype: str) -> Column:
+        value = hashable(c, dtype)
+        # Only text can be blank. 0: filled, 1: blank, 2: null.
+        blank = F.when(F.trim(value) == "", 1).otherwise(0) if dtype == "string" else F.lit(0)
+        kind = F.when(value.isNull(), 2).otherwise(blank)
+        return F.struct((F.lit(3 * i) + kind).alias("at"), F.xxhash64(value).alias("h1"), F.xxhash64(F.lit(1), value).alias("h2"))
+
+    cells = F.array(*[cell(i, c, t) for i, (c, t) in enumerate(dtypes)])
+    per_value = df.select(F.explode(cells).alias("c")).groupBy("c.at", "c.h1", "c.h2").agg(F.count("*").alias("n"))
+    kind = F.col("at") % 3
+    per_column = per_value.groupBy(F.floor(F.col("at") / 3).cast("int").alias("i")).agg(
         F.sum("n").alias("rows_total"),
-        F.sum(F.when(filled, F.col("n")).otherwise(0)).alias("rows_populated"),
-        F.sum(F.when(F.col("is_blank"), F.col("n")).otherwise(0)).alias("rows_null_or_blank"),
-        F.count_if(filled).alias("distinct_values"),
-    ).select(
-        F.lit(table).alias("table_name"), "*",
+        F.sum(F.when(kind < 2, F.col("n")).otherwise(0)).alias("rows_populated"),
+        F.sum(F.when(kind > 0, F.col("n")).otherwise(0)).alias("rows_null_or_blank"),
+        F.count_if(kind < 2).alias("distinct_values"))
+
+    def named(values: list[str]) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("i") + 1)
+
+    return per_column.select(
+        F.lit(table).alias("table_name"), named([c for c, _ in dtypes]).alias("column_name"), named([t for _, t in dtypes]).alias("data_type"),
+        "rows_total", "rows_populated", "rows_null_or_blank", "distinct_values",
         ((F.col("distinct_values") == F.col("rows_total")) & (F.col("rows_total") > 1)).alias("is_unique_key"))
 
 

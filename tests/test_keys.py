@@ -125,3 +125,18 @@ def test_pinned_outputs_report_only_differences(spark):
         ("company", "c2", "www.kite.co.uk", None, "thekite"),
     ], "entity_type string, entity_id string, domain_key string, linkedin_slug string, name_key string")
     assert [r.entity_id for r in pinned_keys(expected, match_keys(spark)).collect()] == ["c2"]
+
+
+@pytest.mark.parametrize("wrong", [lambda c: F.lower(c), lambda c: F.regexp_extract(c, r"://(?:www\.)?([^/]+)", 1).substr(1, 12),
+                                   lambda c: F.lit("none")])
+def test_a_wrong_normaliser_is_caught_on_every_page(spark, monkeypatch, tmp_path, wrong):
+    pages = [(1, "https://www.Shop.example.org:81/x"), (2, "http://a-very-long-host.example.com/b?c"), (3, "https://x.io")]
+    spark.createDataFrame([(i, u, "") for i, u in pages], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    from workload.operator_queries import pinned_normalisers
+
+    def agreeing():
+        return {r.entity_id for r in pinned_normalisers(spark, str(tmp_path)).collect() if r.agrees}
+
+    assert agreeing() == {"1", "2", "3", "p1", "p2", "p3"}
+    monkeypatch.setattr("accountlens.functions.keys.domain_key", wrong)
+    assert not agreeing() >= {"1", "2", "3"} and "p1" not in agreeing()

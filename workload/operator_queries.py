@@ -111,15 +111,17 @@ PINNED = [
 ]
 
 
-@operator(r"""SELECT 'company' AS entity_type, 'p4' AS entity_id, 'wrong.io' AS expected_domain_key, 'beta.io' AS actual_domain_key,
-             NULL::VARCHAR AS expected_linkedin_slug, NULL::VARCHAR AS actual_linkedin_slug, 'beta' AS expected_name_key,
-             'beta' AS actual_name_key FROM region WHERE r_regionkey = 0
+@operator(r"""SELECT CAST(page_id AS VARCHAR) AS entity_id, nullif(rtrim(regexp_replace(lower(string_split_regex(
+                    regexp_replace(url, '^https?://', ''), '[/?#:]')[1]), '^www\.', ''), '.'), '') AS domain_key,
+                    NULL::VARCHAR AS linkedin_slug, NULL::VARCHAR AS name_key, true AS agrees FROM pages
              UNION ALL
-             SELECT 'company', CAST(page_id AS VARCHAR), 'none', nullif(rtrim(regexp_replace(lower(string_split_regex(
-                    regexp_replace(url, '^https?://', ''), '[/?#:]')[1]), '^www\.', ''), '.'), ''), NULL, NULL, NULL, NULL
-             FROM pages""")
+             SELECT p.id, p.d, p.s, p.n, p.id <> 'p4' FROM (SELECT unnest([
+                 {'id': 'p1', 'd': 'acme.com', 's': 'acme-inc', 'n': 'acme'},
+                 {'id': 'p2', 'd': 'shop.acme.co.uk', 's': 'acme', 'n': 'acmeholdings'},
+                 {'id': 'p3', 'd': NULL, 's': NULL, 'n': NULL}, {'id': 'p4', 'd': 'beta.io', 's': NULL, 'n': 'beta'}]) AS p)""")
 def pinned_normalisers(spark, sf_dir):
-    """Pinned outputs that differ: the line made wrong on purpose, and every page, whose expected domain is ``none``."""
+    """The keys of every page and of the pinned lines, and whether they are the expected ones: for a page, its host as a
+    parser of addresses reads it. Only the line made wrong on purpose disagrees."""
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("company_id"), F.col("url").alias("company_website"))
     pinned = spark.createDataFrame([p[:4] for p in PINNED], "company_id string, company_website string, linkedin_url string, company_name string")
     companies = pinned.unionByName(pages, allowMissingColumns=True).withColumn("linkedin_domain", F.lit(None).cast("string"))
@@ -127,9 +129,12 @@ def pinned_normalisers(spark, sf_dir):
     keys = normalised_entities(accounts, companies)
     expected = spark.createDataFrame([("company", p[0], *p[4:]) for p in PINNED],
                                      "entity_type string, entity_id string, domain_key string, linkedin_slug string, name_key string")
+    host = F.rtrim(F.regexp_replace(F.lower(F.try_parse_url("company_website", F.lit("HOST"))), r"^www\.", ""), F.lit("."))
     expected = expected.unionByName(pages.select(F.lit("company").alias("entity_type"), F.col("company_id").alias("entity_id"),
-                                                 F.lit("none").alias("domain_key")), allowMissingColumns=True)
-    return pinned_keys(expected, keys)
+                                                 host.alias("domain_key")), allowMissingColumns=True)
+    wrong = pinned_keys(expected, keys).select("entity_id", F.lit(False).alias("agrees"))
+    return keys.join(wrong, "entity_id", "left").select(
+        "entity_id", "domain_key", "linkedin_slug", "name_key", F.coalesce("agrees", F.lit(True)).alias("agrees"))
 
 
 # ------------------------------------------------------------- one row per key, lists, rank
