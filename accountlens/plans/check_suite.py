@@ -230,6 +230,11 @@ def no_signal_lost(news: DataFrame, products: DataFrame, tech: DataFrame, signal
     ).filter("raw_rows <> kept_rows + merged_duplicates")
 
 
+def no_record_lost(balance: DataFrame) -> DataFrame:
+    """Sources whose delivered records are not all staged or rejected. ``balance``: ``Pipeline.staging_balance``."""
+    return balance.filter("rows_in <> rows_staged + rows_rejected")
+
+
 def one_exit_per_company(companies: DataFrame, prospects: DataFrame) -> DataFrame:
     """Every company takes one of the five exits, and is a prospect exactly when it should be."""
     listed = prospects.filter("prospect_source = 'external_signal'").select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +31,7 @@ from accountlens.plans.reports import cli_answer
 from accountlens.plans.scorecard import resolution_quality
 from accountlens.plans.trends import account_trace_trend, org_trace_trend, tracing_orgs
 from accountlens.sources.rules import load_rules
-from accountlens.sources.staging import DELIVERED, stage
+from accountlens.sources.staging import DELIVERED, rejects, stage, staging_balance
 from accountlens.sources.storage import WRITERS, Published, Scratch, register_view
 
 # Tables read by several jobs, and the ones each of them reads, which stand before it.
@@ -62,7 +62,7 @@ READS = {
 }
 # What a run publishes. Every list of a person, org or account stands in a long table of its own.
 RESOLVED = ["identity", "org_accounts", "org_trend", "match_keys", "memberships", "api_keys", "account_trend",
-            "candidates", "account_keys", "people", "companies", "activity", "signals", "org_candidates"]
+            "candidates", "account_keys", "people", "companies", "activity", "signals", "org_candidates", "rejects"]
 MARTS = ["member_surfaces", "members", "adoption", "feed", "signal_companies", "account_360", "prospects", "quality"]
 # The activity of the lookback window is read more often than all of it.
 _PARTITIONED = {"activity": ["is_in_lookback"]}
@@ -195,6 +195,14 @@ class Pipeline:
             self.saved(name)
         return self._counts.get(name)
 
+    # What staging leaves out.
+    def _rejects(self):
+        return reduce(DataFrame.unionByName, [rejects(self.sources[s], s) for s in DELIVERED])
+
+    def staging_balance(self) -> DataFrame:
+        """(source, rows_in, rows_staged, rows_rejected): in = staged + rejected, for each source."""
+        return reduce(DataFrame.unionByName, [staging_balance(self.sources[s], s) for s in DELIVERED])
+
     # Make comparable.
     def _identity(self):
         return resolve_user_identity(self.staged("users"))

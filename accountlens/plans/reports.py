@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accountlens.plans.activity import OBJECTS
+from accountlens.sources.staging import CORRUPT
 
 
 def cli_answer(adoption: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def column_profile(df: DataFrame, table: str) -> DataFrame:
     Equal cells are counted before the shuffle, and no column's values meet in one task. Rows, nulls and blanks are sums
     over these groups, so the table is read once. An empty table has no rows here.
     """
-    dtypes = df.dtypes
+    dtypes = [(c, t) for c, t in df.dtypes if c != CORRUPT]
 
     def hashable(c: str, dtype: str) -> Column:
         """The value in its own type: nothing is written out as text, but for maps, which have no hash."""

@@ -2,10 +2,17 @@
 
 Every delivered column arrives as text; a landed table may have typed ones. Staging trims text, turns blanks into null, renames and casts;
 it holds no business rule. JSON is opened here and nowhere else.
+
+A record is staged or rejected, never lost and never half read: a line that does not fit the file's columns, and a cell
+that has text but is no value of its type, send the whole record to ``rejects`` with the reasons; ``stage`` leaves it out.
+Every record is in exactly one of the two.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +65,9 @@ STAGED = {
 
 _TYPES = {"ts": "timestamp_ntz", "date": "date", "double": "double"}
 
+#: The line as it was read, where it does not fit the columns; null for the others. Files have it, landed tables may.
+CORRUPT = "_corrupt_record"
+
 
 def delivered_schema(source: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in DELIVERED[source].split()])
@@ -68,16 +78,51 @@ def clean(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
-def _target(spec: str, schema: T.StructType) -> Column:
-    """A staged column. A source column that already has a target type other than text is taken as it is, so that
-    filters on it reach the scan."""
-    spec, _, kind = spec.partition(":")
-    name, _, source = spec.partition("=")
-    column = F.col(f"`{source or name}`")
-    if kind and schema[source or name].dataType.simpleString() == _TYPES[kind]:
-        return column.alias(name)
-    text = clean(column.cast("string"))
-    return (text.cast(_TYPES[kind]) if kind else text).alias(name)
+@dataclass(frozen=True)
+class _Target:
+    """One staged column: its name, the delivered column it comes from, and its type if that is not text."""
+
+    name: str
+    source: str
+    kind: str | None
+
+    @staticmethod
+    def of(spec: str) -> _Target:
+        spec, _, kind = spec.partition(":")
+        name, _, source = spec.partition("=")
+        return _Target(name, source or name, _TYPES.get(kind))
+
+    def is_landed(self, schema: T.StructType) -> bool:
+        """A source column that already has a target type other than text is taken as it is, so that filters on it
+        reach the scan. It cannot be wrong."""
+        return self.kind is not None and schema[self.source].dataType.simpleString() == self.kind
+
+    def _text(self) -> Column:
+        return clean(F.col(f"`{self.source}`").cast("string"))
+
+    def column(self, schema: T.StructType) -> Column:
+        if self.is_landed(schema):
+            return F.col(f"`{self.source}`").alias(self.name)
+        return (self._text().try_cast(self.kind) if self.kind else self._text()).alias(self.name)
+
+    def wrong(self, schema: T.StructType) -> Column | None:
+        """Whether the cell has text that is no value of the type; None where that cannot be."""
+        if self.kind is None or self.is_landed(schema):
+            return None
+        return self._text().isNotNull() & self._text().try_cast(self.kind).isNull()
+
+
+def _targets(source: str) -> list[_Target]:
+    return [_Target.of(s) for s in STAGED[source].split()]
+
+
+def _problems(df: DataFrame, source: str) -> list[tuple[Column, str]]:
+    """What can be wrong with a record: a condition, never null, and the reason in words."""
+    found = [(F.col(CORRUPT).isNotNull(), "line does not fit the columns")] if CORRUPT in df.columns else []
+    for t in _targets(source):
+        if (wrong := t.wrong(df.schema)) is not None:
+            found.append((wrong, f"{t.source}: not a {t.kind.removesuffix('_ntz')}"))
+    return found
 
 
 def _field(json: str, key: str) -> Column:
@@ -102,8 +147,10 @@ def _experiment_fields() -> dict[str, Column]:
 
 
 def stage(df: DataFrame, source: str) -> DataFrame:
-    """Delivered table -> staged table."""
-    staged = df.select(*[_target(s, df.schema) for s in STAGED[source].split()])
+    """Delivered table -> staged table, without the records that ``rejects`` has."""
+    for wrong, _ in _problems(df, source):
+        df = df.filter(~wrong)
+    staged = df.select(*[t.column(df.schema) for t in _targets(source)])
     if source == "experiments":
         staged = staged.withColumns(_experiment_fields())
     elif source == "datasets":
@@ -111,11 +158,39 @@ def stage(df: DataFrame, source: str) -> DataFrame:
     return staged
 
 
+def rejects(df: DataFrame, source: str) -> DataFrame:
+    """(source, reasons, record): the records that are not staged, each as it was delivered.
+
+    ``record`` is the line of a file that does not fit, else the delivered columns as JSON.
+    """
+    problems = _problems(df, source)
+    if not problems:
+        return df.sparkSession.createDataFrame([], "source string, reasons string, record string")
+    delivered = F.to_json(F.struct(*[F.col(f"`{c}`") for c in DELIVERED[source].split()]))
+    line = F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None).cast("string")
+    return df.filter(reduce(lambda a, b: a | b, [wrong for wrong, _ in problems])).select(
+        F.lit(source).alias("source"),
+        F.concat_ws("; ", *[F.when(wrong, reason) for wrong, reason in problems]).alias("reasons"),
+        F.coalesce(line, delivered).alias("record"))
+
+
+def staging_balance(df: DataFrame, source: str) -> DataFrame:
+    """(source, rows_in, rows_staged, rows_rejected) of one source, counted on the three tables themselves."""
+    parts = {"rows_in": df, "rows_staged": stage(df, source), "rows_rejected": rejects(df, source)}
+    tagged = reduce(DataFrame.union, [t.select(F.lit(name).alias("part")) for name, t in parts.items()])
+    return tagged.agg(*[F.count_if(F.col("part") == name).alias(name) for name in parts]).select(
+        F.lit(source).alias("source"), *parts)
+
+
 def read_csv_source(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """A delivered CSV file, every column as text."""
+    """A delivered CSV file, every column as text, and ``CORRUPT`` for lines with too few or too many cells.
+
+    Lines are always parsed whole: with fewer columns asked for, Spark would not see that a line does not fit.
+    """
+    schema = T.StructType([*delivered_schema(source), T.StructField(CORRUPT, T.StringType())])
     return (
-        spark.read.schema(delivered_schema(source))
-        .option("header", True).option("escape", '"').option("enforceSchema", False)
+        spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        .option("header", True).option("escape", '"').option("enforceSchema", False).option("columnPruning", False)
         .csv(path)
     )
 

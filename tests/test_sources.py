@@ -7,7 +7,10 @@ from conftest import rows
 
 from accountlens.sources import rules
 from accountlens.sources.freshness import FRESHNESS, check_freshness, check_source_freshness
-from accountlens.sources.staging import DELIVERED, STAGED, clean, read_table_source, stage
+from accountlens.plans.check_suite import no_record_lost
+from accountlens.sources.staging import (
+    DELIVERED, STAGED, clean, read_csv_source, read_table_source, rejects, stage, staging_balance,
+)
 from accountlens.sources.storage import layer_schema
 from pyspark.sql import functions as F
 
@@ -65,3 +68,44 @@ def test_freshness_by_group_is_one_pass(spark):
 def test_freshness_of_nothing(spark):
     df = spark.createDataFrame([], "t timestamp_ntz")
     assert check_freshness(df, "t", 1, 2).first().status == "error"
+
+
+CSV = """org_id,ds,ingested_gb
+o1,2026-01-01,1.5
+o2,2026-01-02
+o3,2026-01-03,2,extra
+o4,not a date,x
+"o,5",2026-01-05,
+ o6 ,, 7
+"""
+
+
+def test_records_are_staged_or_rejected(spark, tmp_path):
+    (tmp_path / "raw_trace_volume.csv").write_text(CSV)
+    df = read_csv_source(spark, str(tmp_path / "raw_trace_volume.csv"), "trace_volume")
+    staged = stage(df, "trace_volume")
+    assert rows(staged) == [("o,5", dt.date(2026, 1, 5), None), ("o1", dt.date(2026, 1, 1), 1.5), ("o6", None, 7.0)]
+    # However few columns are asked for, a line that does not fit is seen.
+    assert staged.count() == 3 and rows(staged, "org_id") == [("o,5",), ("o1",), ("o6",)]
+    assert rows(rejects(df, "trace_volume")) == [
+        ("trace_volume", "ds: not a date; ingested_gb: not a double", '{"org_id":"o4","ds":"not a date","ingested_gb":"x"}'),
+        ("trace_volume", "line does not fit the columns", "o2,2026-01-02"),
+        ("trace_volume", "line does not fit the columns", "o3,2026-01-03,2,extra")]
+    balance = staging_balance(df, "trace_volume")
+    assert rows(balance) == [("trace_volume", 6, 3, 3)] and no_record_lost(balance).count() == 0
+    assert no_record_lost(balance.withColumn("rows_rejected", F.lit(2))).count() == 1
+
+
+def test_typed_cells_of_landed_tables_cannot_be_wrong(spark):
+    df = spark.sql("SELECT 'o' AS org_id, DATE'2026-01-02' AS ds, 1.5D AS ingested_gb")
+    assert rejects(df, "trace_volume").count() == 0
+    plan = stage(df, "trace_volume")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan and "cast" not in plan
+    text_only = spark.sql("SELECT 'p' AS project_id, 'o' AS org_id, 'n' AS name")
+    assert rejects(text_only, "projects").collect() == []
+
+
+def test_one_bad_cell_does_not_stop_a_run(spark):
+    df = spark.createDataFrame([("u", "a@b.c", "yesterday"), ("v", "", None), ("w", None, "2026-01-02 03:04:05")], "user_id string, email string, created_at string")
+    assert rows(stage(df, "users"), "user_id", "email") == [("v", None), ("w", None)]
+    assert rows(rejects(df, "users"), "reasons") == [("created_at: not a timestamp",)]

@@ -21,7 +21,7 @@ from accountlens.plans.check_suite import pinned_keys
 from accountlens.plans.match_keys import normalised_entities
 from accountlens.plans.reports import column_profiles, table_row_counts
 from accountlens.sources.freshness import check_source_freshness
-from accountlens.sources.staging import clean
+from accountlens.sources.staging import clean, rejects, stage
 from accountlens.sources.storage import Scratch
 from workload.oracle_jobs import half_up, listed
 
@@ -374,3 +374,36 @@ def freshness(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     now = F.lit(_NOW).cast("timestamp_ntz")
     return check_source_freshness(events, "product", now, loaded_at="ts", by=["event_type"])
+
+
+# ------------------------------------------------------------- records that staging rejects
+
+#: Events as delivered news: errors carry their name for a time, and large values a word for a confidence.
+_DELIVERED_NEWS = """
+    SELECT CAST(event_id AS {text}) AS id, CAST(user_id AS {text}) AS company_id, event_type AS category, props AS summary,
+           CASE WHEN event_type = 'error' THEN event_type ELSE ' 2024-01-02 03:04:05 ' END AS found_at,
+           CASE WHEN value > 150 THEN 'large' WHEN value > 100 THEN '' ELSE '0.5' END AS confidence,
+           CAST(NULL AS {text}) AS product_name, 'u' AS source_url FROM events"""
+
+
+def _delivered_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(_DELIVERED_NEWS.format(text="STRING").replace("FROM events", "FROM {events}"), events=table(spark, sf_dir, "events"))
+
+
+@operator(f"""SELECT 'news_events' AS source, concat_ws('; ',
+                 CASE WHEN try_cast(trim(found_at) AS TIMESTAMP) IS NULL THEN 'found_at: not a timestamp' END,
+                 CASE WHEN confidence <> '' AND try_cast(confidence AS DOUBLE) IS NULL THEN 'confidence: not a double' END) AS reasons,
+                 '{{"id":"' || id || '","company_id":"' || company_id || '","category":"' || category || '","summary":"'
+                 || replace(summary, '"', chr(92) || '"') || '","found_at":"' || found_at || '","confidence":"' || confidence
+                 || '","source_url":"u"}}' AS record
+              FROM ({_DELIVERED_NEWS.format(text="VARCHAR")})
+              WHERE try_cast(trim(found_at) AS TIMESTAMP) IS NULL OR (confidence <> '' AND try_cast(confidence AS DOUBLE) IS NULL)""")
+def rejected_records(spark, sf_dir):
+    return rejects(_delivered_news(spark, sf_dir), "news_events")
+
+
+@operator(f"""SELECT id AS news_id, company_id, category, summary, TIMESTAMP '2024-01-02 03:04:05' AS found_at,
+                 CASE WHEN confidence <> '' THEN 0.5::DOUBLE END AS vendor_confidence, NULL::VARCHAR AS product_name, source_url
+              FROM ({_DELIVERED_NEWS.format(text="VARCHAR")}) WHERE category <> 'error' AND confidence <> 'large'""")
+def staged_beside_rejects(spark, sf_dir):
+    return stage(_delivered_news(spark, sf_dir), "news_events")
