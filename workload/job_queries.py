@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from accountlens.plans import check_suite as S
 from accountlens.plans import reports
 from accountlens.plans.pipeline import Pipeline
+from accountlens.plans.trends import DailyVolume
 from accountlens.sources.staging import DELIVERED
 from workload import oracle_checks
 from workload.feeds import CFG, feeds
@@ -194,6 +196,17 @@ def staging_balance(spark, sf_dir):
     return pipeline(spark, sf_dir).staging_balance()
 
 
+@job("SELECT * FROM org_trend")
+def org_trace_trend_by_days(spark, sf_dir):
+    """The trend from daily sums that are kept: first without the rows of small volume, which then come late."""
+    p = pipeline(spark, sf_dir)
+    volume = p.staged("trace_volume")
+    kept = DailyVolume(spark, f"{p.scratch.folder}/daily-{uuid.uuid4().hex[:8]}")
+    kept.refresh(volume.filter("ingested_gb >= 1"))
+    kept.refresh(volume, volume.filter("NOT ingested_gb >= 1"))
+    return kept.trend(CFG)
+
+
 # Delivered cells of each source as conditions on its staged columns: null where the cell is null or blank.
 _CELLS = {
     "account_org_map": ["org_id", "account_id", "mapping_source"],
