@@ -25,6 +25,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -169,24 +171,43 @@ def _segment_rows(texts: DataFrame, window: int, gram: int, by_words: bool = Fal
     return texts.mapInArrow(run, "k1 long, k2 long, at int, lo int, hi int, g long, c long")
 
 
-def _strings(texts: DataFrame, wanted: DataFrame, window: int, gram: int, by_words: bool = False) -> DataFrame:
-    """The strings of the ``wanted`` segments, cut at the borders of their slices of anchor places."""
-    lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "lo", "hi", "g", "slices")).alias("list"))
+@dataclass(frozen=True)
+class Rule:
+    """Which windows count: of so many bytes, or words; and how long their grams are. Windows of bytes with ``dense``
+    words are left out."""
+
+    window: int
+    gram: int
+    by_words: bool = False
+    dense: int = 0
+
+    @property
+    def places(self) -> int:
+        """The places that an anchor can have within a window."""
+        return self.window - self.gram + 1
+
+
+def _strings(texts: DataFrame, wanted: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The strings of the ``wanted`` segments of all rules, cut at the borders of their slices of anchor places.
+
+    The texts are moved once, whatever the number of rules.
+    """
+    lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("rule", "at", "lo", "hi", "g", "slices")).alias("list"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = window - gram + 1
         for batch in in_slices(batches, 2):
             rows = []
             for k1, k2, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                text = as_words(text) if by_words else text
+                words = as_words(text) if any(rules[s["rule"]].by_words for s in found) else None
                 for s in found:
-                    at, n = s["at"], s["slices"]
+                    rule, at, n = rules[s["rule"]], s["at"], s["slices"]
+                    body = words if rule.by_words else text
                     for part in range(n):
                         # Windows whose anchor stands at offsets first .. end - 1.
-                        first, end = places * part // n, places * (part + 1) // n
+                        first, end = rule.places * part // n, rule.places * (part + 1) // n
                         lo, hi = max(s["lo"], at - end + 1), min(s["hi"], at - first)
                         if lo <= hi:
-                            rows.append((s["g"], part, k1, k2, lo, bytes(text[lo:hi + window])))
+                            rows.append((s["rule"], s["g"], part, k1, k2, lo, bytes(body[lo:hi + rule.window])))
                 if len(rows) > 5000:
                     yield _batch(rows)
                     rows = []
@@ -194,22 +215,29 @@ def _strings(texts: DataFrame, wanted: DataFrame, window: int, gram: int, by_wor
                 yield _batch(rows)
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
-                                          names=["g", "part", "k1", "k2", "lo", "body"])
+                                          names=["rule", "g", "part", "k1", "k2", "lo", "body"])
 
     return texts.join(lists, ["k1", "k2"]).select("k1", "k2", "body", "list").mapInArrow(
-        run, "g long, part int, k1 long, k2 long, lo int, body binary")
+        run, "rule int, g long, part int, k1 long, k2 long, lo int, body binary")
 
 
-def _equal_windows(strings: DataFrame, window: int, by_words: bool = False) -> DataFrame:
-    """Runs (k1, k2, lo, hi) of window starts in ``strings`` that share their window with another start."""
-    kind = np.dtype(np.uint64 if by_words else np.uint8)
+def _by_rule(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The parts of a batch that belong to one rule; its first column has them in order."""
+    rule = batch.column(0).to_numpy()
+    edges = [0, *(np.flatnonzero(np.diff(rule)) + 1).tolist(), len(rule)]
+    for begin, end in zip(edges, edges[1:], strict=False):
+        yield int(rule[begin]), batch.slice(begin, end - begin)
 
-    def hashed(batch: pa.RecordBatch) -> list[np.ndarray]:
+
+def _equal_windows(strings: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Runs (rule, k1, k2, lo, hi) of window starts in ``strings`` that share their window with another start."""
+    def hashed(batch: pa.RecordBatch, rule: Rule) -> list[np.ndarray]:
         """g, part, k1, k2, start and hash of each window of a batch."""
-        *keys, lo = (batch.column(i).to_numpy() for i in range(5))
-        bodies = batch.column(5).to_pylist()
+        kind = np.dtype(np.uint64 if rule.by_words else np.uint8)
+        *keys, lo = (batch.column(i).to_numpy() for i in range(1, 6))
+        bodies = batch.column(6).to_pylist()
         out = []
         i = 0
         while i < len(bodies):
@@ -218,17 +246,17 @@ def _equal_windows(strings: DataFrame, window: int, by_words: bool = False) -> D
                 size += len(bodies[j])
                 j += 1
             lengths = np.array([len(b) for b in bodies[i:j]]) // kind.itemsize
-            offsets = np.cumsum(lengths) - lengths
-            every = rolling(np.frombuffer(b"".join(bodies[i:j]), kind), window)
-            row = np.repeat(np.arange(j - i), lengths - window + 1)
-            inner = np.arange(len(row)) - np.repeat(np.cumsum(lengths - window + 1) - (lengths - window + 1), lengths - window + 1)
+            offsets, starts = np.cumsum(lengths) - lengths, lengths - rule.window + 1
+            every = rolling(np.frombuffer(b"".join(bodies[i:j]), kind), rule.window)
+            row = np.repeat(np.arange(j - i), starts)
+            inner = np.arange(len(row)) - np.repeat(np.cumsum(starts) - starts, starts)
             out.append((row + i, lo[i:j][row] + inner, every[offsets[row] + inner]))
             i = j
         row, start, code = (np.concatenate(x) for x in zip(*out, strict=True))
         return [*(k[row] for k in keys), start, code]
 
-    def solve(rows: list[np.ndarray]) -> pa.RecordBatch:
-        _, _, k1, k2, start, code = rows
+    def solve(rule: int, held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        _, _, k1, k2, start, code = (np.concatenate(x) for x in zip(*held, strict=True))
         _, inverse, counts = np.unique(code, return_inverse=True, return_counts=True)
         marked = counts[inverse] > 1
         k1, k2, start = k1[marked], k2[marked], start[marked]
@@ -237,52 +265,56 @@ def _equal_windows(strings: DataFrame, window: int, by_words: bool = False) -> D
         first = np.flatnonzero(new)
         last = np.concatenate([first[1:], [len(start)]]).astype(np.int64)[:len(first)] - 1
         return pa.RecordBatch.from_arrays(
-            [pa.array(k1[first]), pa.array(k2[first]), pa.array(start[first].astype(np.int32)),
-             pa.array(start[last].astype(np.int32))], names=["k1", "k2", "lo", "hi"])
+            [pa.array(np.full(len(first), rule, np.int32)), pa.array(k1[first]), pa.array(k2[first]),
+             pa.array(start[first].astype(np.int32)), pa.array(start[last].astype(np.int32))], names=["rule", "k1", "k2", "lo", "hi"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
+        now = -1
         # A byte of a string becomes some fifteen bytes of windows.
         for batch in in_slices(batches, limit=1_000_000):
-            if not batch.num_rows:
-                continue
-            rows = hashed(batch)
-            # Windows of the last group wait for the next batch.
-            cut = len(rows[0]) - int(np.count_nonzero((rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])))
-            goes_on = bool(held) and cut == 0 and held[-1][0][-1] == rows[0][-1] and held[-1][1][-1] == rows[1][-1]
-            if not goes_on:
-                held.append([x[:cut] for x in rows])
-                done = [np.concatenate(x) for x in zip(*held, strict=True)]
-                held = []
-                if len(done[0]):
-                    yield solve(done)
-            held.append([x[cut:] for x in rows])
+            for rule, part in _by_rule(batch) if batch.num_rows else ():
+                if rule != now and held:
+                    yield solve(now, held)
+                    held = []
+                now = rule
+                rows = hashed(part, rules[rule])
+                # Windows of the last group wait for what comes next.
+                cut = len(rows[0]) - int(np.count_nonzero((rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])))
+                goes_on = bool(held) and cut == 0 and held[-1][0][-1] == rows[0][-1] and held[-1][1][-1] == rows[1][-1]
+                if not goes_on:
+                    held.append([x[:cut] for x in rows])
+                    if any(len(x[0]) for x in held):
+                        yield solve(rule, held)
+                    held = []
+                held.append([x[cut:] for x in rows])
         if held:
-            yield solve([np.concatenate(x) for x in zip(*held, strict=True)])
+            yield solve(now, held)
 
-    return (strings.repartition("g", "part").sortWithinPartitions("g", "part")
-            .mapInArrow(run, "k1 long, k2 long, lo int, hi int"))
+    return (strings.repartition("rule", "g", "part").sortWithinPartitions("rule", "g", "part")
+            .mapInArrow(run, "rule int, k1 long, k2 long, lo int, hi int"))
 
 
-def repeated_starts(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, unit: int = UNIT, by_words: bool = False,
-                    dense: int = 0) -> DataFrame:
-    """Runs (k1, k2, lo, hi) of starts of windows that also start elsewhere. ``texts``: one row (k1, k2, body) a document.
+def repeated_starts(texts: DataFrame, rules: list[Rule], unit: int = UNIT) -> DataFrame:
+    """Runs (rule, k1, k2, lo, hi) of starts of windows that also start elsewhere, by each rule.
 
-    ``by_words``: windows, grams and starts count words. ``dense``: windows of bytes with so many words are left out.
+    ``texts``: one row (k1, k2, body) a document. The starts of a rule by words count words.
     """
-    rows = written(_segment_rows(texts, window, gram, by_words, dense), "suffix-segments")
-    # Second pass. ``one`` stands for all segments with its string.
-    strings = rows.groupBy("g", "c").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at", "lo", "hi")).alias("one"))
-    strings = written(strings, "suffix-strings")
-    whole = strings.filter("n > 1").select("g", "c")
-    equal = rows.join(whole, ["g", "c"]).select("k1", "k2", "lo", "hi").distinct()
-    # Third pass, for anchors with a string that stands alone beside others.
-    open_groups = (strings.groupBy("g").agg(F.count("*").alias("held"), F.count_if(F.col("n") == 1).alias("alone"))
-                   .filter("held > 1 AND alone > 0")
-                   .select("g", F.least(F.ceil(F.col("held") / unit), F.lit(window - gram + 1)).cast("int").alias("slices")))
-    wanted = strings.join(open_groups, "g").select("one.*", "g", "slices")
-    strings = _strings(one_each(texts), wanted, window, gram, by_words)
-    return equal.unionByName(_equal_windows(strings, window, by_words))
+    equal, wanted = [], []
+    for number, rule in enumerate(rules):
+        rows = written(_segment_rows(texts, rule.window, rule.gram, rule.by_words, rule.dense), "suffix-segments")
+        # Second pass. ``one`` stands for all segments with its string.
+        strings = rows.groupBy("g", "c").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at", "lo", "hi")).alias("one"))
+        strings = written(strings, "suffix-strings")
+        whole = strings.filter("n > 1").select("g", "c")
+        equal.append(rows.join(whole, ["g", "c"]).select(F.lit(number).alias("rule"), "k1", "k2", "lo", "hi").distinct())
+        # Third pass, for anchors with a string that stands alone beside others.
+        open_groups = (strings.groupBy("g").agg(F.count("*").alias("held"), F.count_if(F.col("n") == 1).alias("alone"))
+                       .filter("held > 1 AND alone > 0")
+                       .select("g", F.least(F.ceil(F.col("held") / unit), F.lit(rule.places)).cast("int").alias("slices")))
+        wanted.append(strings.join(open_groups, "g").select(F.lit(number).alias("rule"), "one.*", "g", "slices"))
+    strings = _strings(one_each(texts), reduce(DataFrame.unionByName, wanted), rules)
+    return reduce(DataFrame.unionByName, [*equal, _equal_windows(strings, rules)])
 
 
 def text_keys() -> tuple[Column, Column]:
@@ -319,14 +351,13 @@ def cleaned(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, unit: int =
     and beside them the windows of bytes that hold fewer words than that.
     """
     texts = keyed(docs)
-    runs = repeated_starts(texts, window, gram, unit, dense=words).withColumn("words", F.lit(0))
-    if words:
-        runs = runs.unionByName(repeated_starts(texts, words, word_gram, unit, by_words=True).withColumn("words", F.lit(words)))
-    runs = runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "words")).alias("runs"))
+    rules = [Rule(window, gram, dense=words), *([Rule(words, word_gram, by_words=True)] if words else [])]
+    runs = repeated_starts(texts, rules, unit)
+    runs = runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "rule")).alias("runs"))
 
     def spans_of(text: bytes, found: list[dict]) -> list[tuple[int, int]]:
-        first, end = word_places(text) if any(r["words"] for r in found) else ([], [])
-        return _cut([(int(first[r["lo"]]), int(end[r["hi"] + words - 1])) if r["words"]
+        first, end = word_places(text) if any(rules[r["rule"]].by_words for r in found) else ([], [])
+        return _cut([(int(first[r["lo"]]), int(end[r["hi"] + words - 1])) if rules[r["rule"]].by_words
                      else (r["lo"], min(r["hi"] + window, len(text))) for r in found])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
