@@ -1,4 +1,4 @@
-"""The pipeline's rows against plain versions of its stages."""
+"""The pipeline's stages: tokens, columns, and odd input."""
 
 from __future__ import annotations
 
@@ -8,32 +8,21 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from accountlens.llm import pieces, quality_rules
-from tests_llm_plain import documents, plain_groups, plain_leak, plain_print, plain_repeats  # noqa: F401
+from accountlens.llm import pieces
+from tests_llm_plain import documents  # noqa: F401
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="supplied tables are not here")
 spm = pytest.importorskip("sentencepiece")
 
 
-def test_run_equals_plain_stages(spark):
+def test_tokens_of_a_run_are_the_librarys(spark):
+    """What the stages before leave of each document is held against brute force in ``test_pipeline_rules``."""
     import public_tokenizers
 
-    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
-    benchmark = {r.item_id: r.text for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
-
-    # The trees are learnt, so their verdict is taken as it is; the base rules are plain.
-    trees = quality_rules.learn(spark.read.parquet(f"{SF_DIR}/documents.parquet"), spark.read.parquet(f"{SF_DIR}/labels.parquet"))
-    kept = {i: t for i, t in docs.items() if quality_rules.judge_texts([(t or "").encode()], trees)[6][0]}
-    prints = [(i, plain_print(t)) for i, t in kept.items()]
-    groups = plain_groups(prints)
-    kept = {i: kept[i] for i, p in prints if groups[p] == i}
-    kept = plain_repeats(kept, 400)
-    kept = {i: t for i, t in kept.items() if not any(plain_leak(t, b, 5, 0.6) for b in benchmark.values())}
     library = spm.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    assert {r.doc_id: r.text for r in rows} == kept
-    assert len(rows) == len(kept)
+    assert len(rows) > 50
     for r in rows:
         assert r.ids == [*library.encode(r.text), 2]
         assert len(r.ends) == len(r.ids)
