@@ -89,14 +89,21 @@ def _sentence(sdk: Column, traces: Column) -> Column:
         (F.col("usage_is_measurable"), measured), otherwise=unmeasured)
 
 
+#: Surfaces that a rule table may have: they are read while planning.
+MOST_SURFACES = 64
+
+
 def account_surface_adoption(accounts: DataFrame, memberships: DataFrame, activity: DataFrame,
                              trace_trend: DataFrame, surface_rules: DataFrame) -> DataFrame:
     """Every account times every surface of the rule table."""
     # The handful of surfaces in the rule table become literals, so the grid needs no join.
+    rules = rule_surfaces(surface_rules).limit(MOST_SURFACES + 1).collect()
+    if len(rules) > MOST_SURFACES:
+        raise ValueError(f"the rule table has more than {MOST_SURFACES} surfaces; each account gets a row for each")
     surfaces = F.array(*[
         F.struct(F.lit(r.surface).alias("surface"), F.lit(r.surface_order).alias("surface_order"),
                  F.lit(r.usage_is_measurable).alias("usage_is_measurable"))
-        for r in rule_surfaces(surface_rules).collect()])
+        for r in rules])
     grid = accounts.select("account_id", "account_name", F.explode(surfaces).alias("s")).select("*", "s.*").drop("s")
     known = account_members(memberships)
     sizes = known.groupBy("account_id").agg(F.count("*").alias("known_members"))

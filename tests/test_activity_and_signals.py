@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import replace
 
+import pytest
 from conftest import rows
 
 from accountlens.config import DEFAULTS
@@ -202,3 +203,13 @@ def test_the_as_of_day_can_be_today(spark):
     from accountlens.functions.measures import in_lookback
     from pyspark.sql import functions as F
     assert rows(df.select(in_lookback(F.col("t"), replace(DEFAULTS, as_of_date="today")))) == [(False,), (True,)]
+
+
+def test_a_rule_table_of_too_many_surfaces_is_refused(spark, monkeypatch):
+    from accountlens.plans import adoption
+    from accountlens.sources.rules import load_rules
+
+    monkeypatch.setattr(adoption, "MOST_SURFACES", 2)
+    accounts = spark.createDataFrame([("a", "A")], "account_id string, account_name string")
+    with pytest.raises(ValueError, match="more than 2 surfaces"):
+        adoption.account_surface_adoption(accounts, accounts, accounts, accounts, load_rules(spark, "surface_signals"))
