@@ -407,3 +407,28 @@ def rejected_records(spark, sf_dir):
               FROM ({_DELIVERED_NEWS.format(text="VARCHAR")}) WHERE category <> 'error' AND confidence <> 'large'""")
 def staged_beside_rejects(spark, sf_dir):
     return stage(_delivered_news(spark, sf_dir), "news_events")
+
+
+# ------------------------------------------------------------------------- freshness of the other kinds of sources
+
+def _freshness_sql(source: str, group: str, loaded_at: str, now: str, warn: int, error: int) -> str:
+    return f"""SELECT {group}, max({loaded_at}) AS max_loaded_at,
+        round(date_diff('second', max({loaded_at}), TIMESTAMP '{now}') / 3600.0, 4)::DOUBLE AS age_hours,
+        CASE WHEN age_hours > {error} THEN 'error' WHEN age_hours > {warn} THEN 'warn' ELSE 'pass' END AS status
+        FROM {source} GROUP BY {group}"""
+
+
+# Half a day after the last order, and after the last shipment.
+_LAST_ORDER, _LAST_SHIPMENT = "2001-08-01 12:00:00", "2001-11-05 12:00:00"
+
+
+@operator(_freshness_sql("orders", "o_orderpriority", "o_orderdate", _LAST_ORDER, 6, 24))
+def freshness_crm(spark, sf_dir):
+    now = F.lit(_LAST_ORDER).cast("timestamp_ntz")
+    return check_source_freshness(table(spark, sf_dir, "orders"), "crm", now, loaded_at="o_orderdate", by=["o_orderpriority"])
+
+
+@operator(_freshness_sql("lineitem", "l_suppkey", "l_shipdate", _LAST_SHIPMENT, 36, 72))
+def freshness_signals(spark, sf_dir):
+    now = F.lit(_LAST_SHIPMENT).cast("timestamp_ntz")
+    return check_source_freshness(table(spark, sf_dir, "lineitem"), "signals", now, loaded_at="l_shipdate", by=["l_suppkey"])
