@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from accountlens.llm.common import SPACES, as_bytes, in_slices, read_table, written
 
@@ -343,40 +344,65 @@ def _cut(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def cleaned(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, unit: int = UNIT, words: int = 0,
-            word_gram: int = WORD_GRAM) -> DataFrame:
-    """For each distinct text its key, counts, the digest of what is left, and what is left as a text.
-
-    With ``words``, windows of so many words count, however few bytes they have and whatever white space parts them,
-    and beside them the windows of bytes that hold fewer words than that.
-    """
-    texts = keyed(docs)
-    rules = [Rule(window, gram, dense=words), *([Rule(words, word_gram, by_words=True)] if words else [])]
+def _grouped_runs(texts: DataFrame, rules: list[Rule], unit: int) -> DataFrame:
+    """(k1, k2, runs) of the texts that hold repeated windows."""
     runs = repeated_starts(texts, rules, unit)
-    runs = runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "rule")).alias("runs"))
+    return runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "rule")).alias("runs"))
+
+
+_LEFT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
+
+
+def _cut_texts(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """``df`` ends with the columns body and runs; in their place come the counts, the digest and the text of what is left."""
+    carried = df.columns[:-2]
+    out = StructType([*df.select(*carried).schema, *StructType.fromDDL(_LEFT)])
 
     def spans_of(text: bytes, found: list[dict]) -> list[tuple[int, int]]:
         first, end = word_places(text) if any(rules[r["rule"]].by_words for r in found) else ([], [])
-        return _cut([(int(first[r["lo"]]), int(end[r["hi"] + words - 1])) if rules[r["rule"]].by_words
-                     else (r["lo"], min(r["hi"] + window, len(text))) for r in found])
+        return _cut([(int(first[r["lo"]]), int(end[r["hi"] + rules[r["rule"]].window - 1])) if rules[r["rule"]].by_words
+                     else (r["lo"], min(r["hi"] + rules[r["rule"]].window, len(text))) for r in found])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches, 2):
-            out = []
-            for text, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+        for batch in in_slices(batches, len(carried)):
+            rows = []
+            for text, found in zip(batch.column(len(carried)).to_pylist(), batch.column(len(carried) + 1).to_pylist(), strict=True):
                 spans = spans_of(text, found or [])
                 edges = [0, *(x for s in spans for x in s), len(text)]
                 left = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                out.append((len(text), len(text) - len(left), len(spans), hashlib.sha256(left).hexdigest(),
-                            left.decode("utf-8", "ignore")))
+                rows.append((len(text), len(text) - len(left), len(spans), hashlib.sha256(left).hexdigest(),
+                             left.decode("utf-8", "ignore")))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            columns = zip(*out, strict=True) if out else [[]] * 5
+            columns = zip(*rows, strict=True) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True))],
-                names=["k1", "k2", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                [*batch.columns[:len(carried)], *(pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True))], names=out.names)
 
-    return one_each(texts).join(runs, ["k1", "k2"], "left").select("k1", "k2", "body", "runs").mapInArrow(
-        run, "k1 long, k2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    return df.mapInArrow(run, out)
+
+
+def cleaned(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, unit: int = UNIT, words: int = 0,
+            word_gram: int = WORD_GRAM) -> DataFrame:
+    """For each distinct text its key, counts, the digest of what is left, and what is left as a text.
+
+    With ``words``, windows of so many words count, however few bytes they have and whatever white space parts them,
+    and beside them the windows of bytes that hold fewer words than that.
+    """
+    texts = keyed(docs)
+    rules = [Rule(window, gram, dense=words), *([Rule(words, word_gram, by_words=True)] if words else [])]
+    met = one_each(texts).join(_grouped_runs(texts, rules, unit), ["k1", "k2"], "left")
+    return _cut_texts(met.select("k1", "k2", "body", "runs"), rules)
+
+
+def reported(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, unit: int = UNIT) -> DataFrame:
+    """For each row of ``docs`` its doc_id, counts, the digest of what is left, and what is left as ``text``.
+
+    Every row meets its runs by the key of its text, so its text moves once; a text that very many rows hold is a
+    skewed key with one row on the other side, which adaptive execution splits.
+    """
+    rules = [Rule(window, gram)]
+    rows = keyed(docs, "doc_id")
+    met = rows.join(_grouped_runs(keyed(docs), rules, unit), ["k1", "k2"], "left").select("doc_id", "body", "runs")
+    return _cut_texts(met, rules).withColumnRenamed("kept", "text")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -396,7 +422,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    found = cleaned(docs).drop("kept")
-    return keyed(docs, "doc_id").drop("body").join(found, ["k1", "k2"]).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    """``text`` is what is left without the bytes of characters that a cut parted; the digest is of all bytes that are left."""
+    return reported(read_table(spark, sf_dir, "documents"))
