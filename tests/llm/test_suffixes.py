@@ -48,18 +48,6 @@ def test_equal_to_the_plain_version(documents, window, gram, unit, seed):
     assert sorted(map(tuple, rows)) == [(i, *x) for i, x in enumerate(plain(texts, window))]
 
 
-def test_reported_rows_carry_what_is_left(documents):
-    texts = some_texts(random.Random(5), 30, 60)
-    docs = documents([*texts, texts[0]], [*range(len(texts)), None]).withColumn("runs", F.lit(1))
-    rows = suffixes.reported(docs, 60, 12).collect()
-    expected = plain([*texts, texts[0]], 60)
-    assert sorted((tuple(r)[:5] for r in rows), key=str) == sorted(
-        ((i, *x) for i, x in zip([*range(len(texts)), None], expected, strict=True)), key=str)
-    for r in rows:
-        # Cuts may part a character, whose bytes are left out of the text.
-        assert 0 <= r.n_bytes - r.n_removed - len(r.text.encode()) <= 2 * (r.n_spans + 1)
-
-
 def test_segments_cover_each_start_once_and_equal_windows_have_equal_anchors(monkeypatch):
     rng = np.random.default_rng(4)
     shared = rng.integers(97, 101, 900).astype(np.uint8).tobytes()
