@@ -116,9 +116,16 @@ def _targets(source: str) -> list[_Target]:
     return [_Target.of(s) for s in STAGED[source].split()]
 
 
+def _does_not_fit(source: str) -> Column:
+    """Whether ``CORRUPT`` has a line. Spark refuses to read that column of a file alone, as a count would where no cell
+    can be wrong, so a delivered column, whatever it holds, is read with it."""
+    beside = F.coalesce(F.col(f"`{DELIVERED[source].split()[0]}`").cast("string"), F.lit(""))
+    return F.concat(F.col(CORRUPT), beside).isNotNull()
+
+
 def _problems(df: DataFrame, source: str) -> list[tuple[Column, str]]:
     """What can be wrong with a record: a condition, never null, and the reason in words."""
-    found = [(F.col(CORRUPT).isNotNull(), "line does not fit the columns")] if CORRUPT in df.columns else []
+    found = [(_does_not_fit(source), "line does not fit the columns")] if CORRUPT in df.columns else []
     for t in _targets(source):
         if (wrong := t.wrong(df.schema)) is not None:
             found.append((wrong, f"{t.source}: not a {t.kind.removesuffix('_ntz')}"))

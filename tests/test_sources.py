@@ -109,3 +109,17 @@ def test_one_bad_cell_does_not_stop_a_run(spark):
     df = spark.createDataFrame([("u", "a@b.c", "yesterday"), ("v", "", None), ("w", None, "2026-01-02 03:04:05")], "user_id string, email string, created_at string")
     assert rows(stage(df, "users"), "user_id", "email") == [("v", None), ("w", None)]
     assert rows(rejects(df, "users"), "reasons") == [("created_at: not a timestamp",)]
+
+
+@pytest.mark.parametrize("source", [s for s in DELIVERED if ":" not in STAGED[s]])
+def test_rows_of_files_without_typed_columns_are_counted(spark, tmp_path, source):
+    """Nothing but the fit of a line decides on these records, and a count asks for no column."""
+    columns = DELIVERED[source].split()
+    lines = [columns, [f"{c}1" for c in columns], ["only_id"], [f"{c}2" for c in columns] + ["too", "many"], ["", *columns[1:]]]
+    (tmp_path / "f.csv").write_text("".join(",".join(x) + "\n" for x in lines))
+    df = read_csv_source(spark, str(tmp_path / "f.csv"), source)
+    assert (stage(df, source).count(), rejects(df, source).count()) == (2, 2)
+    assert rows(staging_balance(df, source)) == [(source, 4, 2, 2)]
+    assert rows(stage(df, source)) == sorted([tuple(f"{c}1" for c in columns), (None, *columns[1:])],
+                                             key=lambda t: [(v is not None, str(v)) for v in t])
+    assert [r[0] for r in rows(rejects(df, source), "record")] == sorted(",".join(x) for x in (lines[2], lines[3]))
