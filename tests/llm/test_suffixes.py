@@ -78,3 +78,15 @@ def test_texts_keep_their_rows_and_columns(documents):
 
 def test_empty_table(documents):
     assert suffixes.remove_repeats(documents(["x"]).filter("doc_id < 0")).collect() == []
+
+
+@pytest.mark.parametrize(("size", "goes"), [(399, False), (400, True)])
+def test_passages_of_over_fifty_words_go_by_their_bytes(spark, documents, tmp_path, size, goes):
+    """The query's border is 400 bytes, however many words these hold."""
+    rng = random.Random(size)
+    passage = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(58))[:size]
+    assert len(passage.encode()) == size and len(passage.split()) > 50
+    texts = [f"<{passage}>", f"one [{passage}] two", "left alone"]
+    documents(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    left = {r.doc_id: (r.n_bytes, r.n_removed, r.text) for r in suffixes.query(spark, str(tmp_path)).collect()}
+    assert left == {i: (len(t), size * goes if i < 2 else 0, t.replace(passage, "") if goes else t) for i, t in enumerate(texts)}
