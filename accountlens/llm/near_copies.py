@@ -180,7 +180,8 @@ def beyond(links: DataFrame, texts: DataFrame, sets: DataFrame) -> DataFrame:
     keys = _keys(texts)
     shared = (keys.groupBy("key").agg(F.count("*").alias("held"), F.min(F.struct("at", "id", "n")).alias("one"))
               .filter("held > 1"))
-    met = written(keys.join(shared, "key").select(
+    # A text has many keys, and Spark knows only the size of its file: neither side is broadcast.
+    met = written(keys.join(shared.hint("merge"), "key").select(
         "key", "id", "n", "at", F.col("one.id").alias("u"), F.col("one.n").alias("u_n"), F.col("one.at").alias("u_at")), "near-keys")
     sketches = sets.drop("fp")
 

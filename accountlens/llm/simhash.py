@@ -153,7 +153,8 @@ def find_links(distinct: DataFrame, blocks: int = BLOCKS, max_bits: int = MAX_BI
         for i, m in enumerate(_masks(blocks, max_bits))])).alias("k")).select("fp", "k.t", "k.key")
     shared = (keyed.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
               .withColumn("parts", F.ceil(F.col("n") / unit_size)))
-    dealt = (keyed.join(shared, ["t", "key"])
+    # Spark sizes what ``explode`` makes as one row each; the hint keeps the keys, 20 or 45 a fingerprint, out of a broadcast.
+    dealt = (keyed.join(shared.hint("merge"), ["t", "key"])
              .withColumn("part", F.when(F.col("parts") == 1, 0).otherwise(F.pmod(F.xxhash64("fp"), "parts")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))))
              .select("t", "key", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", "fp"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from accountlens.llm import near_copies, simhash
+from accountlens.llm import common, near_copies, simhash
 from tests_llm_plain import documents  # noqa: F401
 
 
@@ -42,3 +43,23 @@ def test_direct_links_are_within_the_bits(spark):
     near = {frozenset((a, b)) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= simhash.NEAR_BITS}
     assert found <= near
     assert set().union(*found) == set().union(*near)
+
+
+def test_block_keys_are_not_broadcast(spark):
+    """Each fingerprint has 45 keys, which Spark does not count: a table of a few MB became a broadcast of over 1 GB."""
+    df = spark.range(1000).select(F.xxhash64("id").alias("fp"))
+    for numbers in ((simhash.BLOCKS, simhash.MAX_BITS), (simhash.NEAR_BLOCKS, simhash.NEAR_BITS)):
+        plan = simhash.find_links(df, *numbers)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_shingle_keys_are_not_broadcast(documents, monkeypatch):
+    plans = {}
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return common.written(df, name)
+
+    monkeypatch.setattr(near_copies, "written", kept)
+    simhash.keep_one(documents(["one text of some seven words here", "another text of some seven words there"])).collect()
+    assert "SortMergeJoin" in plans["near-keys"] and "BroadcastHashJoin" not in plans["near-keys"]
