@@ -1,8 +1,14 @@
-"""Every product event in one shape: which surface, what kind of proof, how sure, who acted."""
+"""Every product event in one shape: which surface, what kind of proof, how sure, who acted.
+
+The events are moved three times: to be kept once, to meet their place, and to meet their person. On the way they are
+``packed``: what all events of a source have in common, and labels of fixed lists, are small numbers, and no id is held twice.
+With a ``Relay`` they are written after each move, so that the shuffle files of one are gone before the next.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +19,7 @@ from accountlens.functions.ladders import ci_author, ci_flag, ci_source, is_ci,
 from accountlens.functions.measures import in_lookback, truthy
 from accountlens.operators.dedupe import keep_first
 from accountlens.operators.joins import lookup
+from accountlens.sources.storage import Relay
 
 OBJECTS = ("experiment", "dataset", "prompt")
 RESOLVED = ("resolved", "resolved_low_confidence")
@@ -132,12 +139,90 @@ CLASSIFIERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def classified_events(sources: dict[str, DataFrame]) -> DataFrame:
-    """All events of all sources, each once. ``api_keys`` is the output of ``api_key_hints``."""
-    events = reduce(DataFrame.unionByName, [f(sources[s]) for s, f in CLASSIFIERS.items()])
-    identified = events.filter(F.col("activity_id").isNotNull())
-    nameless = events.filter(F.col("activity_id").isNull())
-    return keep_first(identified, ["activity_id"], ["activity_at"]).unionByName(nameless)
+# Labels of the classifiers. In the order of the texts, so that packed events are ordered as unpacked ones.
+SIGNALS = ("cli_key_name_hint", "cli_setup_wizard", "code_ci_run", "code_repo_info", "code_runtime_source",
+           "mcp_docs_click", "object_origin_unknown", "ui_page_view")
+ACTORS = ("automation", "human", "unknown")
+
+
+@dataclass(frozen=True)
+class _Kind:
+    """What all events of a source have in common."""
+
+    table: str
+    activity: str
+    prefix: str              # of the activity id
+    place: str | None = None  # column that says where: project_id or direct_org_id
+    is_object: bool = False  # the activity id is the prefix and the object's id
+
+
+_KINDS = {
+    "experiments": _Kind("raw_experiments", "experiment", "experiment", "project_id", True),
+    "datasets": _Kind("raw_datasets", "dataset", "dataset", "project_id", True),
+    "prompts": _Kind("raw_prompts", "prompt", "prompt", "project_id", True),
+    "segment_pages": _Kind("raw_segment_pages", "page_view", "page_view"),
+    "cli_wizard": _Kind("raw_cli_wizard", "cli_setup_wizard", "cli_wizard"),
+    "docs_mcp_events": _Kind("raw_docs_mcp_events", "docs_mcp_click", "docs_mcp"),
+    "api_keys": _Kind("raw_api_keys", "api_key", "api_key", "direct_org_id", True),
+}
+# First letters of a place: what its id stands for.
+_PLACE = {"project_id": "p:", "direct_org_id": "o:"}
+
+
+def _code(label: Column, labels: tuple[str, ...]) -> Column:
+    return F.array_position(F.array(*map(F.lit, labels)), label).cast("tinyint")
+
+
+def _label(code: str, labels: Iterable[str | bool | None]) -> Column:
+    return F.element_at(F.array(*map(F.lit, labels)), F.col(code).cast("int"))
+
+
+def packed(events: DataFrame, source: str) -> DataFrame:
+    """The classified events of a source as they travel; ``kind`` is the number of the source."""
+    kind = _KINDS[source]
+    null = F.lit(None).cast("string")
+    return events.select(
+        F.lit([*_KINDS].index(source) + 1).cast("tinyint").alias("kind"),
+        F.substring("activity_id", len(kind.prefix) + 2, 2**31 - 1).alias("id"),
+        "activity_at", (null if kind.is_object else F.col("object_id")).alias("object"), "user_id",
+        (F.concat(F.lit(_PLACE[kind.place]), F.col(kind.place)) if kind.place else null).alias("place"),
+        _code(F.col("signal_code"), SIGNALS).alias("signal"), _code(F.col("actor_type"), ACTORS).alias("actor"),
+        "evidence_detail")
+
+
+def _unpacked() -> dict[str, Column]:
+    """The columns of a classified event from those of a packed one."""
+    kinds = _KINDS.values()
+
+    def place(column: str) -> Column:
+        return F.when(F.col("place").startswith(_PLACE[column]), F.substring("place", 3, 2**31 - 1))
+
+    return {
+        "activity_id": F.concat(_label("kind", [f"{k.prefix}:" for k in kinds]), F.col("id")),
+        "source_table": _label("kind", [k.table for k in kinds]),
+        "activity_type": _label("kind", [k.activity for k in kinds]),
+        "object_id": F.when(_label("kind", [k.is_object for k in kinds]), F.col("id")).otherwise(F.col("object")),
+        "project_id": place("project_id"), "direct_org_id": place("direct_org_id"),
+        "signal_code": _label("signal", SIGNALS), "actor_type": _label("actor", ACTORS),
+    }
+
+
+def _moved(events: DataFrame, relay: Relay | None, keys: list[str], move: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return relay.step(keys, move) if relay else move(events)
+
+
+def _each_once(events: DataFrame) -> DataFrame:
+    identified = events.filter(F.col("id").isNotNull())
+    nameless = events.filter(F.col("id").isNull())
+    return keep_first(identified, ["kind", "id"], ["activity_at"]).unionByName(nameless)
+
+
+def classified_events(sources: dict[str, DataFrame], relay: Relay | None = None) -> DataFrame:
+    """All events of all sources, each once, ``packed``. ``api_keys`` is the output of ``api_key_hints``."""
+    events = reduce(DataFrame.unionByName, [packed(f(sources[s]), s) for s, f in CLASSIFIERS.items()])
+    if relay:
+        events = relay.begin(events)
+    return _moved(events, relay, ["kind", "id"], _each_once)
 
 
 def _places(projects: DataFrame, orgs: DataFrame) -> DataFrame:
@@ -147,30 +232,33 @@ def _places(projects: DataFrame, orgs: DataFrame) -> DataFrame:
                       F.col("mapping_confidence").alias("org_confidence"))
     by_project = (
         projects.select("project_id", "org_id").join(org, "org_id", "left")
-        .withColumn("place", F.concat(F.lit("project:"), F.col("project_id"))).drop("project_id"))
-    by_org = org.withColumn("place", F.concat(F.lit("org:"), F.col("org_id")))
+        .withColumn("place", F.concat(F.lit(_PLACE["project_id"]), F.col("project_id"))).drop("project_id"))
+    by_org = org.withColumn("place", F.concat(F.lit(_PLACE["direct_org_id"]), F.col("org_id")))
     return by_project.unionByName(by_org).filter(F.col("place").isNotNull()) \
         .withColumnRenamed("org_id", "place_org_id")
 
 
 def product_activity(events: DataFrame, projects: DataFrame, identity: DataFrame, people: DataFrame,
-                     org_accounts: DataFrame, surface_rules: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+                     org_accounts: DataFrame, surface_rules: DataFrame, cfg: Settings = DEFAULTS,
+                     relay: Relay | None = None) -> DataFrame:
     """One row per event with its place, person, evidence grade and account.
 
     Objects follow the org of their project, keys their own org, browser events the
-    account of a person who has only one. ``events`` is ``classified_events``.
+    account of a person who has only one. ``events`` is ``classified_events``, by the same ``relay`` if there is one.
     """
-    events = events.withColumn("place", F.coalesce(
-        F.concat(F.lit("project:"), F.col("project_id")), F.concat(F.lit("org:"), F.col("direct_org_id"))))
     person = people.select(
         "person_id", F.col("account_id").alias("person_account_id"),
         F.col("resolution_status").alias("person_status"), F.col("account_confidence").alias("person_confidence"))
     logins = identity.select("user_id", "person_id").join(person, "person_id", "left")
+    places = _places(projects, org_accounts)
+    if relay:
+        places, logins = relay.beside(places), relay.beside(logins)
     rules = surface_rules.select("signal_code", "surface", "evidence_kind", "attribution", "confidence_score")
 
-    located = lookup(events, _places(projects, org_accounts), ["place"])
+    located = _moved(events, relay, ["place"], lambda some: lookup(some, places, ["place"]))
+    known = _moved(located, relay, ["user_id"], lambda some: lookup(some, logins, ["user_id"]))
     joined = (
-        lookup(located, logins, ["user_id"])
+        known.withColumns(_unpacked())
         .join(rules, "signal_code", "left")
         .withColumn("org_id", F.coalesce("place_org_id", "direct_org_id"))
     )

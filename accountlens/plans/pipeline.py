@@ -32,7 +32,7 @@ from accountlens.plans.scorecard import resolution_quality
 from accountlens.plans.trends import account_trace_trend, org_trace_trend, tracing_orgs
 from accountlens.sources.rules import load_rules
 from accountlens.sources.staging import DELIVERED, rejects, stage, staging_balance
-from accountlens.sources.storage import WRITERS, Published, Scratch, register_view
+from accountlens.sources.storage import WRITERS, Published, Relay, Scratch, register_view
 
 # Tables read by several jobs, and the ones each of them reads, which stand before it.
 SHARED = {
@@ -83,6 +83,8 @@ class Pipeline:
         self._published: Published | None = None
         # What the checks on single rows have counted while a table was written.
         self._counts: dict[str, S.Counts] = {}
+        # Shared tables that are being made in steps.
+        self._relays: dict[str, Relay] = {}
 
     @cached_property
     def scratch(self) -> Scratch:
@@ -178,6 +180,8 @@ class Pipeline:
             place = published.add(df, "cleansed" if name in RESOLVED else "unified", name, cut)
         else:
             place = self.scratch.write(df, name, cut)
+        if name in self._relays:
+            self._relays.pop(name).end()
         self._saved[name] = place, published, schema
         self._counts[name] = counts()
 
@@ -289,9 +293,10 @@ class Pipeline:
     def _activity(self):
         sources = {s: self.staged(s) for s in ("experiments", "datasets", "prompts", "segment_pages",
                                                "cli_wizard", "docs_mcp_events")}
-        events = classified_events(sources | {"api_keys": self.plan("api_keys")})
+        relay = self._relays["activity"] = Relay(self.scratch, "activity")
+        events = classified_events(sources | {"api_keys": self.plan("api_keys")}, relay)
         return product_activity(events, self.staged("projects"), self.plan("identity"), self.plan("people"),
-                                self.plan("org_accounts"), self.rules("surface_signals"), self.cfg)
+                                self.plan("org_accounts"), self.rules("surface_signals"), self.cfg, relay)
 
     def _signals(self):
         return external_signals(self.plan("stream"), self.plan("match_keys"), self.plan("companies"), self.cfg)
